@@ -15,6 +15,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for name, value in conf.items():
