@@ -124,7 +124,8 @@ def correct_terms(text: Column | str, terms: Sequence[tuple[str, str]]) -> Colum
 
 def segment_line(start: Column | str, end: Column | str, text: Column | str) -> Column:
     """``[sss.ss - sss.ss] text``."""
-    return F.format_string("[%06.2f - %06.2f] %s", as_col(start), as_col(end), strip(text))
+    times = [F.bround(as_col(c), 2) for c in (start, end)]
+    return F.format_string("[%06.2f - %06.2f] %s", *times, strip(text))
 
 
 def local_time(seconds: Column | str, tz: str = "UTC") -> Column:

@@ -228,7 +228,7 @@ def _(v):
 WITH u AS ({LATEST_SQL}), p AS (SELECT account, aweme_id, {COUNT_SQL.format('liked_count')} AS likes, first_seq,
   coalesce(nullif("desc", ''), nullif(title, ''), '') AS title,
   array_to_string(list_filter(list_transform(string_split(coalesce(note_download_url, ''), ','), lambda x: trim(x)), lambda x: x <> ''), ' ') AS notes FROM u)
-SELECT account, aweme_id, likes, title, notes, row_number() OVER (PARTITION BY account ORDER BY likes DESC, first_seq) AS rank FROM p""")
+SELECT account, aweme_id, likes, title, notes, CAST(row_number() OVER (PARTITION BY account ORDER BY likes DESC, first_seq) AS INTEGER) AS rank FROM p""")
 def _(v):
     path = staged(v, "manifest")
     sinks.write_posts(ingest.build_posts(v("posts_raw")), path)

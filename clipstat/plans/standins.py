@@ -29,6 +29,7 @@ _SPARK = {
     "digits": "regexp_extract({0}, '([0-9]+)', 1)",
     "doubles": "CAST({0} AS ARRAY<DOUBLE>)",
     "octets": "octet_length({0})",
+    "upto": "explode(sequence(0, CAST({0} AS INT)))",
 }
 _DUCK = {
     "days": "CAST(date_diff('day', DATE '1970-01-01', CAST({0} AS DATE)) AS BIGINT)",
@@ -37,6 +38,7 @@ _DUCK = {
     "digits": "regexp_extract({0}, '([0-9]+)', 1)",
     "doubles": "CAST({0} AS DOUBLE[])",
     "octets": "octet_length(encode({0}))",
+    "upto": "unnest(range(0, CAST({0} AS INT) + 1))",
 }
 
 VIEWS = {
@@ -194,6 +196,15 @@ FROM $part""",
 SELECT {_account('page_id')} AS account, CAST(page_id AS STRING) AS aweme_id, url,
   concat(url, ',', ' ', url, ' ,,x') AS urls, html AS body
 FROM $pages""",
+    "doc_audio": f"""
+SELECT {_account('doc_id')} AS account, CAST(doc_id AS STRING) AS aweme_id,
+  CAST(floor(@octets(text) / 2) AS DOUBLE) / 16000 AS duration, CAST(floor(@octets(text) / 2) AS BIGINT) AS samples
+FROM $documents""",
+    "doc_segments": f"""
+SELECT account, aweme_id, CAST(j AS BIGINT) AS seq, 0.06E0 * j + 0.01E0 AS start,
+  0.06E0 * j + 0.03E0 + CAST(doc_id % 3 AS DOUBLE) / 100 AS "end"
+FROM (SELECT {_account('doc_id')} AS account, CAST(doc_id AS STRING) AS aweme_id, doc_id,
+  @upto(floor(@octets(text) / 1920)) AS j FROM $documents) d""",
     "artifacts": """
 SELECT CAST(l_orderkey AS STRING) AS aweme_id, CAST(l_orderkey % 50 AS STRING) AS account, l_returnflag AS config_hash,
   l_linestatus AS content_hash, CAST(l_linenumber AS STRING) AS version, CAST(l_suppkey % 5 AS STRING) AS current_sha256,
