@@ -1,0 +1,285 @@
+"""Profiles, report sections, sinks and streams over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from clipstat.operators import comments as co
+from clipstat.operators import profiles, reconcile, soundtrack
+from clipstat.operators import visual as vi
+from clipstat.operators.ingest import rank_posts
+from clipstat.plans import report
+from clipstat.plans.queries_media import GATED_SQL, GROUP, SUMMARY_SQL
+from clipstat.plans.queries_posts import ARCHETYPE_SQL, KEPT_SQL, staged
+from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, RATES_SQL, THEME_SQL, TITLE_RULES, TOTALS_SQL
+from clipstat.plans.registry import query
+from clipstat.sources import sinks
+from clipstat.streaming import streams
+
+
+def kept(v):
+    return co.build_comments(v("comments_raw"), n=3)
+
+
+def sources(v) -> report.Sources:
+    """Report over the stand-in views, leaving out what a section does not need costs nothing."""
+    return report.Sources(
+        posts=v("posts"), comments=kept(v), transcripts=v("transcripts"), soundtrack=v("soundtrack"),
+        frames=v("frame_rows").filter("subtitle_present"), summaries=vi.visual_summary(v("frame_rows")),
+        covers=v("labelled"), theme_rules=TITLE_RULES, comment_patterns=(("returned", "^R"), ("open", "O part"), ("none", "zz")),
+        comment_groups=(("returned", "^R", 4), ("nine", "9", 3)),
+    )
+
+
+def build(v):
+    posts = rank_posts(v("posts"), seq="seq")
+    counts = v("frame_rows").filter("subtitle_present").groupBy(*GROUP).agg(F.count("*").alias("frame_count"))
+    return profiles.build_profiles(
+        posts, v("transcripts"), v("soundtrack"), counts, vi.visual_summary(v("frame_rows")),
+        co.nest_comments(kept(v), 3),
+    )
+
+
+PROFILE_SQL = f"""
+{KEPT_SQL}, {SUMMARY_SQL},
+f AS (SELECT account, aweme_id, count(*) AS frame_count FROM frame_rows WHERE subtitle_present GROUP BY 1, 2),
+c AS (SELECT account, aweme_id, CAST(count(*) AS INTEGER) AS n, string_agg(substr(content, 1, 30), ' / ' ORDER BY pos) AS best FROM kept WHERE pos <= 3 GROUP BY 1, 2),
+prof AS (SELECT p.account, p.aweme_id, CAST(row_number() OVER (PARTITION BY p.account ORDER BY p.likes DESC, p.seq) AS INTEGER) AS rank, p.title, p.likes, p.collects, p.shares, p.comments AS comment_count,
+  CAST(make_timestamp(create_time * 1000000) AS DATE) AS create_day,
+  CAST(round_even(coalesce(nullif(t.duration, 0), nullif(s.duration, 0), 0), 1) AS DOUBLE) AS duration_sec, coalesce(t.transcript, '') AS transcript,
+  coalesce(s.bgm_level, '?') AS bgm_level, coalesce(s.mood, '?') AS mood, coalesce(s.vocal, '?') AS vocal, coalesce(f.frame_count, 0) AS frame_count, v.visual_style, v.temperature, v.composition, v.scene,
+  coalesce(c.n, 0) AS comment_n, coalesce(c.best, '') AS best
+FROM posts p LEFT JOIN transcripts t ON t.account = p.account AND t.aweme_id = p.aweme_id LEFT JOIN soundtrack s ON s.account = p.account AND s.aweme_id = p.aweme_id
+LEFT JOIN f ON f.account = p.account AND f.aweme_id = p.aweme_id LEFT JOIN summary v ON v.account = p.account AND v.aweme_id = p.aweme_id LEFT JOIN c ON c.account = p.account AND c.aweme_id = p.aweme_id)"""
+
+
+@query("J1_build_profiles", f"WITH {PROFILE_SQL} SELECT account, aweme_id, rank, duration_sec, create_day, length(transcript) AS chars, bgm_level, mood, frame_count, visual_style, comment_n, best FROM prof")
+def _(v):
+    best = F.array_join(F.transform("comments", lambda c: F.left(c["content"], F.lit(30))), " / ")
+    return build(v).select(
+        *GROUP, "rank", "duration_sec", "create_day", F.char_length("transcript").cast("bigint").alias("chars"), "bgm_level", "mood",
+        "frame_count", "visual_style", "comment_n", F.coalesce(best, F.lit("")).alias("best"))
+
+
+@query("K3_write_profiles", f"WITH {PROFILE_SQL} SELECT account, count(*) AS n, CAST(sum(comment_n) AS BIGINT) AS kept, count(visual_style) AS looked FROM prof GROUP BY 1")
+def _(v):
+    path = staged(v, "profiles")
+    sinks.write_profiles(build(v), path)
+    return v.spark.read.parquet(path).groupBy("account").agg(
+        F.count("*").alias("n"), F.sum("comment_n").alias("kept"), F.count("visual_style").alias("looked"))
+
+
+@query("K4_profile_digest", f"""
+WITH {PROFILE_SQL} SELECT account, aweme_id, rank, concat_ws(chr(10),
+  concat('## [', rank, '] ', aweme_id, ' | ', coalesce(CAST(create_day AS VARCHAR), '-'), ' | likes ', likes, ' / collects ', collects, ' / shares ', shares, ' / comments ', comment_count,
+    ' (kept ', comment_n, ') | ', CAST(duration_sec AS VARCHAR), 's | music ', bgm_level, '/', mood),
+  concat('- title: ', title), concat('- speech: ', CASE WHEN transcript = '' THEN '(no speech)' ELSE substr(transcript, 1, 200) END),
+  CASE WHEN visual_style IS NOT NULL THEN concat_ws(' | ', concat('- look: ', visual_style), temperature, composition, scene) END,
+  CASE WHEN comment_n > 0 THEN concat('- top comments: ', best) END) AS digest FROM prof""")
+def _(v):
+    return profiles.profile_digest(build(v))
+
+
+INVENTORY_SQL = f"""
+{GATED_SQL}, {KEPT_SQL},
+inv AS (SELECT p.account, count(*) AS n_posts FROM posts p GROUP BY 1),
+inv2 AS (SELECT i.account, n_posts, (SELECT count(*) FROM transcripts t WHERE t.account = i.account) AS n_transcripts,
+  (SELECT count(*) FROM kept k WHERE k.pos <= 3 AND k.account = i.account) AS n_comments,
+  (SELECT count(DISTINCT aweme_id) FROM kept k WHERE k.account = i.account) AS n_comment_posts,
+  (SELECT count(DISTINCT l.aweme_id) FROM labelled l WHERE l.account = i.account AND l.aweme_id IN (SELECT aweme_id FROM posts)) AS n_covers,
+  (SELECT count(DISTINCT aweme_id) FROM frame_rows f WHERE f.subtitle_present AND f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frame_posts,
+  (SELECT count(*) FROM frame_rows f WHERE f.subtitle_present AND f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frames,
+  (SELECT count(*) FROM gated g WHERE g.evidence AND g.cache_version LIKE 'pub%' AND g.account = i.account) AS n_soundtrack,
+  (SELECT count(DISTINCT aweme_id) FROM frame_rows f WHERE f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_visual FROM inv i),
+inv3 AS (SELECT *, concat_ws(',', CASE WHEN n_comments = 0 THEN 'comments' END, CASE WHEN n_soundtrack = 0 THEN 'soundtrack' END, CASE WHEN n_frame_posts = 0 THEN 'frames' END,
+  CASE WHEN n_transcripts = 0 THEN 'transcripts' END, CASE WHEN n_visual = 0 THEN 'visual' END) AS missing_sources FROM inv2)"""
+
+
+@query("R1_A28_source_inventory", f"WITH {INVENTORY_SQL} SELECT * FROM inv3")
+def _(v):
+    return report.inventory(sources(v))
+
+
+@query("R10_provenance", f"""
+WITH {INVENTORY_SQL} SELECT account, concat_ws('; ', concat(n_posts, ' posts'), CASE WHEN n_comments > 0 THEN concat(n_comments, ' comments') END,
+  CASE WHEN missing_sources <> '' THEN concat('missing: ', missing_sources) END) AS line FROM inv3""")
+def _(v):
+    return report.provenance(sources(v))
+
+
+@query("R2_headline", f"""
+WITH {TOTALS_SQL}, {RATES_SQL}, {PCT_SQL}, y AS (SELECT account, floor((max(create_time) - min(create_time)) / 86400) / 365::DOUBLE AS years, strftime(make_timestamp(min(create_time) * 1000000), '%Y-%m') AS since FROM posts GROUP BY 1)
+SELECT t.account, n, CAST(round_even(years, 1) AS DOUBLE) AS years, since, CAST(round_even(sum_likes::DOUBLE / n, 0) AS BIGINT) AS mean_likes, p50, max_likes,
+  CAST(round_even(collect_rate, 1) AS DOUBLE) AS collect_rate, CAST(round_even(comment_rate, 1) AS DOUBLE) AS comment_rate,
+  CASE WHEN collect_rate > comment_rate THEN 'collect_led' ELSE 'comment_led' END AS audience
+FROM totals t JOIN rates r ON r.account = t.account JOIN pct p ON p.account = t.account JOIN y ON y.account = t.account""")
+def _(v):
+    return report.headline(report.Sources(v("posts")))
+
+
+@query("R3_profile_rows", f"""
+WITH {TOTALS_SQL}, {PCT_SQL}, {DAYS_SQL}, y AS (SELECT account, min(day) AS first_day, max(day) AS last_day FROM dated GROUP BY 1),
+z AS (SELECT account, string_agg(concat(yr, ':', k), ' / ' ORDER BY yr) AS posts_by_year FROM (SELECT account, year(day) AS yr, count(*) AS k FROM dated GROUP BY 1, 2) GROUP BY 1)
+SELECT t.account, n, first_day, last_day, posts_by_year, CAST(round_even(sum_likes::DOUBLE / n, 0) AS BIGINT) AS mean_likes, CAST(round_even(sum_comments::DOUBLE / n, 0) AS BIGINT) AS mean_comments,
+  CAST(round_even(sum_collects::DOUBLE / n, 0) AS BIGINT) AS mean_collects, CAST(round_even(sum_shares::DOUBLE / n, 0) AS BIGINT) AS mean_shares, p50, p90, max_likes
+FROM totals t JOIN pct p ON p.account = t.account JOIN y ON y.account = t.account JOIN z ON z.account = t.account""")
+def _(v):
+    return report.profile_rows(report.Sources(v("posts")))
+
+
+@query("R4_publishing_months", f"""
+WITH {DAYS_SQL}, t AS (SELECT *, count(*) OVER (PARTITION BY account) AS ms, CAST(sum(likes) OVER (PARTITION BY account) AS BIGINT) AS all_likes FROM months)
+SELECT account, month, n, likes::DOUBLE / n AS mean_likes, CASE WHEN all_likes = 0 THEN 0 ELSE least(likes::DOUBLE / n / (all_likes::DOUBLE / ms * 3), 1) END AS scaled FROM t WHERE ms >= 2""")
+def _(v):
+    return report.publishing(report.Sources(v("posts")))["publishing_months"]
+
+
+@query("R5_theme_matrix", f"""
+WITH t AS (SELECT account, {THEME_SQL} AS theme, count(*) AS n, sum(likes)::DOUBLE / count(*) AS mean_likes FROM posts GROUP BY 1, 2)
+SELECT account, theme, n, mean_likes FROM t""")
+def _(v):
+    return report.themes(report.Sources(v("posts"), theme_rules=TITLE_RULES))["theme_matrix"].select("account", "theme", "n", "mean_likes")
+
+
+@query("R6_viral_frames", """
+WITH files AS (SELECT account, aweme_id, file, row_number() OVER (PARTITION BY account, aweme_id ORDER BY file) - 1 AS i, count(*) OVER (PARTITION BY account, aweme_id) AS n FROM frame_rows WHERE subtitle_present),
+r AS (SELECT p.account, p.aweme_id, p.likes, f.file, row_number() OVER (PARTITION BY p.account ORDER BY p.likes DESC, p.seq) AS place
+  FROM posts p JOIN files f ON f.account = p.account AND f.aweme_id = p.aweme_id AND f.i = f.n // 2)
+SELECT account, CAST(place AS INTEGER) AS place, aweme_id, likes, file FROM r WHERE place <= 8""")
+def _(v):
+    return report.best_posts(sources(v))["viral_frames"]
+
+
+@query("R7_ocr_note", """
+SELECT account, bool_or(ok) AS subtitles_judged FROM (SELECT account, max(ocr_status) = 'ok' AS ok FROM frame_rows GROUP BY account, aweme_id) GROUP BY account""")
+def _(v):
+    rows = v("frame_rows")
+    return report.looks(report.Sources(v("posts"), summaries=vi.visual_summary(rows)))["visual_ocr"]
+
+
+@query("R8_comment_themes", f"""
+WITH {KEPT_SQL}, k AS (SELECT * FROM kept WHERE pos <= 3), r AS (SELECT * FROM (VALUES (0, 'returned'), (1, 'open'), (2, 'none')) t(ord, theme)),
+h AS (SELECT account, CASE WHEN content LIKE 'R%' THEN 'returned' WHEN content LIKE '%O part%' THEN 'open' END AS theme FROM k), t AS (SELECT account, count(*) AS total FROM k GROUP BY 1)
+SELECT t.account, r.ord, r.theme, count(h.theme) AS n, t.total, (count(h.theme) * 100)::DOUBLE / t.total AS share_pct
+FROM t CROSS JOIN r LEFT JOIN h ON h.account = t.account AND h.theme = r.theme GROUP BY 1, 2, 3, 5""")
+def _(v):
+    return report.comment_evidence(sources(v))["comment_themes"]
+
+
+@query("R9_soundtrack_header", f"""
+WITH {GATED_SQL}, c AS (SELECT account, count(*) FILTER (evidence) AS n, count(*) FILTER (NOT evidence) AS excluded_records FROM gated
+  WHERE cache_version LIKE 'pub%' AND analysis_scope = 'non_speech_windows' GROUP BY 1)
+SELECT p.account, count(*) AS total_video_records, coalesce(any_value(c.n), 0) AS n, coalesce(any_value(c.excluded_records), 0) AS excluded_records
+FROM posts p LEFT JOIN c ON c.account = p.account WHERE p.aweme_type <> 68 GROUP BY 1""")
+def _(v):
+    return report.soundtrack_section(sources(v))["soundtrack_header"]
+
+
+@query("R11_account_metrics", f"""
+WITH a AS ({ARCHETYPE_SQL}), {DAYS_SQL}, b AS (SELECT account, count(*) AS dated, count(DISTINCT strftime(day, '%Y-%m')) AS m FROM dated GROUP BY 1),
+k AS (SELECT account, string_agg(aweme_id, ',' ORDER BY place) FILTER (archetype = 'collects') AS collect_ids, string_agg(aweme_id, ',' ORDER BY place) FILTER (archetype = 'shares') AS share_ids FROM a GROUP BY 1),
+v AS (SELECT account, string_agg(aweme_id, ',' ORDER BY likes DESC, seq) AS viral_ids FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY likes DESC, seq) AS i FROM posts) WHERE i <= 5 GROUP BY 1),
+s AS (SELECT account, count(*) AS count, CASE WHEN sum(likes) = 0 THEN 0 ELSE CAST(round_even(max(likes)::DOUBLE / sum(likes)::DOUBLE * 100, 0) AS INTEGER) END AS top_share_pct FROM posts GROUP BY 1)
+SELECT s.account, s.count, top_share_pct, CAST(round_even(dated::DOUBLE / m, 1) AS DOUBLE) AS monthly_avg, CAST(g.gap_median AS INTEGER) AS gap_median,
+  coalesce(collect_ids, '') AS collect_ids, coalesce(share_ids, '') AS share_ids, viral_ids
+FROM s JOIN b ON b.account = s.account LEFT JOIN gapmid g ON g.account = s.account LEFT JOIN k ON k.account = s.account JOIN v ON v.account = s.account""")
+def _(v):
+    out = report.account_metrics(sources(v))
+
+    def ids(c):
+        return F.coalesce(F.array_join(F.transform(c, lambda x: x["aweme_id"]), ","), F.lit(""))
+
+    return out.select(
+        "account", "count", "top_share_pct", "monthly_avg", "gap_median", ids("top_collects").alias("collect_ids"),
+        ids("top_shares").alias("share_ids"), ids("viral").alias("viral_ids"))
+
+
+@query("K5_write_metrics", """
+SELECT account, count(*) AS count, least(count(*), 5) AS viral FROM posts GROUP BY account""")
+def _(v):
+    path = staged(v, "metrics")
+    sinks.write_documents(report.account_metrics(report.Sources(v("posts"))), path)
+    return v.spark.read.json(path).select("account", "count", F.size("viral").cast("bigint").alias("viral"))
+
+
+@query("K6_write_report_tables", f"""
+WITH {DAYS_SQL} SELECT 'likes_histogram' AS section, CAST(count(DISTINCT account) * 5 AS BIGINT) AS n FROM posts UNION ALL
+SELECT 'headline', count(DISTINCT account) FROM posts UNION ALL SELECT 'publishing_months', count(*) FROM (SELECT *, count(*) OVER (PARTITION BY account) AS ms FROM months) WHERE ms >= 2""")
+def _(v):
+    path = staged(v, "report")
+    s = report.Sources(v("posts"))
+    tables = {"headline": report.headline(s), "likes_histogram": report.themes(s)["likes_histogram"],
+              "publishing_months": report.publishing(s)["publishing_months"]}
+    sinks.write_report_tables(tables, path)
+    read = [v.spark.read.parquet(f"{path}/{n}").groupBy(F.lit(n).alias("section")).agg(F.count("*").alias("n")) for n in tables]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
+@query("K7_write_targets", "SELECT account, aweme_id, liked_count FROM posts_raw WHERE contains(coalesce(nickname, ''), 'sup7')")
+def _(v):
+    path = staged(v, "targets")
+    sinks.write_targets(v("posts_raw").filter(F.col("nickname").contains("sup7")).select(*GROUP, "liked_count"), path)
+    return v.spark.read.schema("account string, aweme_id string, liked_count string").json(path)
+
+
+@query("A32_artifact_counts", f"""
+WITH {GATED_SQL} SELECT account, 'transcribe' AS stage, count(DISTINCT aweme_id) AS items, CAST(0 AS BIGINT) AS frames FROM transcripts GROUP BY 1
+UNION ALL SELECT account, 'extract_frames', count(*) FILTER (c > 3), CAST(sum(c) AS BIGINT) FROM (SELECT account, aweme_id, count(*) AS c FROM frame_rows GROUP BY 1, 2) GROUP BY 1
+UNION ALL SELECT account, 'transcribe_bgm', count(*) FILTER (evidence), 0 FROM gated GROUP BY 1
+UNION ALL SELECT account, 'analyze_frames', count(*), 0 FROM labelled GROUP BY 1""")
+def _(v):
+    per_post = v("frame_rows").groupBy(*GROUP).agg(F.count("*").alias("frames")).withColumn("completed", F.col("frames") > 3)
+    gated = soundtrack.evidence_gate(v("soundtrack"), v("posts"))
+    return reconcile.artifact_counts(v("transcripts"), per_post, gated, v("labelled"))
+
+
+# ---- streams: the given rows arrive in batches by run ----------------------------------------
+
+
+@query("ST1_stream_posts_latest", """
+SELECT account, aweme_id, max(seq) AS seq, min(seq) AS first_seq FROM posts_raw WHERE aweme_id <> '' GROUP BY 1, 2""")
+def _(v):
+    """Files written in three groups, read by a stream, merged batch by batch."""
+    path, table_path = staged(v, "arrive"), staged(v, "latest")
+    rows = v("posts_raw").select(*GROUP, "seq", "liked_count")
+    rows.withColumn("arrival", F.col("seq") % 3).repartition(3, "arrival").write.partitionBy("arrival").json(path)
+    table = streams.VersionedTable(v.spark, table_path, 8)
+    arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{path}/*")
+    run = (
+        arriving.writeStream.foreachBatch(streams.posts_latest_batch(table))
+        .option("checkpointLocation", staged(v, "stream")).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return table.read("account string, aweme_id string, seq bigint, liked_count string, first_seq bigint").select(*GROUP, "seq", "first_seq")
+
+
+@query("ST2_stream_comments_topn", f"""
+WITH {KEPT_SQL} SELECT account, aweme_id, comment_id, content, like_count FROM kept WHERE pos <= 3""")
+def _(v):
+    """Comments arrive in three batches, oldest first; the kept ones equal those of one run over all."""
+    path = staged(v, "arrive")
+    rows = v("comments_raw")
+    third = F.ntile(3).over(Window.partitionBy("account").orderBy("seq"))
+    cut = rows.withColumn("arrival", third)
+    for i in (1, 2, 3):
+        cut.filter(F.col("arrival") == i).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    best = streams.VersionedTable(v.spark, staged(v, "best"), 8)
+    keys = streams.VersionedTable(v.spark, staged(v, "keys"), 8)
+    arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    run = (
+        arriving.writeStream.foreachBatch(streams.comments_topn_batch(best, keys, 3))
+        .option("checkpointLocation", staged(v, "stream")).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in co.clean_comments(rows).schema.fields)
+    return best.read(fields).select(*GROUP, "comment_id", "content", "like_count")
+
+
+@query("ST3_stream_run_metrics", """
+SELECT date_trunc('hour', updated_at) AS window_start, stage, count(*) AS events, CAST(sum(items) AS BIGINT) AS items, count(*) FILTER (returncode <> 0) AS failed,
+  CAST(sum(CAST(duration_sec AS DECIMAL(18,3))) AS DOUBLE) AS duration_sec,
+  CAST(round_even(CASE WHEN sum(duration_sec) > 0 THEN sum(items) / CAST(sum(CAST(duration_sec AS DECIMAL(18,3))) AS DOUBLE) ELSE 0 END, 3) AS DOUBLE) AS throughput
+FROM stage_events GROUP BY 1, 2""")
+def _(v):
+    return streams.stream_run_metrics(v("stage_events"))

@@ -42,9 +42,9 @@ def _(v):
 
 
 PCT_SQL = """
-placed AS (SELECT account, likes, row_number() OVER (PARTITION BY account ORDER BY likes, seq) - 1 AS i, count(*) OVER (PARTITION BY account) AS n FROM posts),
+pctrows AS (SELECT account, likes, row_number() OVER (PARTITION BY account ORDER BY likes, seq) - 1 AS i, count(*) OVER (PARTITION BY account) AS n FROM posts),
 pct AS (SELECT account, max(likes) FILTER (i = CAST(round_even(50::DOUBLE / 100::DOUBLE * (n - 1), 0) AS BIGINT)) AS p50,
-  max(likes) FILTER (i = CAST(round_even(90::DOUBLE / 100::DOUBLE * (n - 1), 0) AS BIGINT)) AS p90 FROM placed GROUP BY account)"""
+  max(likes) FILTER (i = CAST(round_even(90::DOUBLE / 100::DOUBLE * (n - 1), 0) AS BIGINT)) AS p90 FROM pctrows GROUP BY account)"""
 
 
 @query("A3_nearest_rank_percentile", f"WITH {PCT_SQL} SELECT * FROM pct")
@@ -57,7 +57,7 @@ def _(v):
     return stats.medians(v("posts")).select("account", "median")
 
 
-@query("A6_upper_median", f"WITH {PCT_SQL} SELECT account, max(likes) FILTER (i = n // 2) AS upper_median FROM placed GROUP BY account")
+@query("A6_upper_median", f"WITH {PCT_SQL} SELECT account, max(likes) FILTER (i = n // 2) AS upper_median FROM pctrows GROUP BY account")
 def _(v):
     return stats.medians(v("posts")).select("account", "upper_median")
 
