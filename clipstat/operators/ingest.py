@@ -275,9 +275,11 @@ def ingest_counters(
     return out.withColumn("unique_kept", kept)
 
 
-def rank_posts(posts: DataFrame, *, account: str = "account", seq: str = "first_seq") -> DataFrame:
+def rank_posts(
+    posts: DataFrame, *, account: str = "account", seq: str = "first_seq", hot: list | None = None
+) -> DataFrame:
     """Rank by likes, ties by first appearance."""
-    return ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="rank")
+    return ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="rank", hot=hot)
 
 
 def build_posts(

@@ -168,7 +168,7 @@ def cross_header(gated: DataFrame, posts: DataFrame, *, account: str = "account"
 
 def window_pieces(
     blocks: DataFrame, windows: DataFrame, *, account: str = "account", key: str = "aweme_id",
-    block_samples: int, rate: int = A.RATE,
+    block_samples: int, rate: int = A.RATE, hot: list | None = None,
 ) -> DataFrame:
     """The parts of fixed-size audio blocks inside the windows, with their place in the
     concatenated non-speech audio.
@@ -187,7 +187,7 @@ def window_pieces(
     bounds = bounds.join(length, [account, key]).withColumn("hi", F.least("hi", "_all")).filter("hi > lo")
     placed = ordered(
         bounds.withColumn("_len", F.col("hi") - F.col("lo")), [account, key], [F.asc("lo")],
-        running_sum={"_upto": "_len"},
+        running_sum={"_upto": "_len"}, hot=hot,
     ).withColumn("base", F.col("_upto") - F.col("_len"))
     spread = placed.withColumn(
         "block_no",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
-from clipstat.skew import exact_quantiles, middle, nearest_rank, upper_middle
+from clipstat.skew import exact_quantiles, middle, nearest_rank, spread_hot, upper_middle
 
 METRICS = ("likes", "comments", "collects", "shares")
 
@@ -37,28 +37,33 @@ def engagement_rates(totals: DataFrame) -> DataFrame:
 
 
 def nearest_rank_percentile(
-    posts: DataFrame, percents=(50, 90), *, value: str = "likes", account: str = "account"
+    posts: DataFrame, percents=(50, 90), *, value: str = "likes", account: str = "account",
+    hot: list | None = None,
 ) -> DataFrame:
     """A3."""
     picks = {f"p{p}": nearest_rank(p) for p in percents}
-    return exact_quantiles(posts, [account], value, picks)
+    return exact_quantiles(posts, [account], value, picks, hot=hot)
 
 
-def medians(posts: DataFrame, *, value: str = "likes", account: str = "account") -> DataFrame:
+def medians(
+    posts: DataFrame, *, value: str = "likes", account: str = "account", hot: list | None = None
+) -> DataFrame:
     """A4 and A6 side by side: the usual median and the upper middle value."""
     return exact_quantiles(
-        posts, [account], value, {"median": middle, "upper_median": upper_middle}
+        posts, [account], value, {"median": middle, "upper_median": upper_middle}, hot=hot
     )
 
 
-def ratio_medians(posts: DataFrame, *, account: str = "account") -> DataFrame:
+def ratio_medians(posts: DataFrame, *, account: str = "account", hot: list | None = None) -> DataFrame:
     """Median collects, shares and comments per like over posts with likes."""
     names = ("collects", "shares", "comments")
     pairs = ", ".join(f"'{m}', cast({m} as double) / cast(likes as double)" for m in names)
     long = posts.filter("likes > 0").selectExpr(
         account, f"stack({len(names)}, {pairs}) as (_metric, _value)"
     )
-    found = exact_quantiles(long, [account, "_metric"], "_value", {"_median": middle})
+    found = exact_quantiles(
+        long, [account, "_metric"], "_value", {"_median": middle}, hot=spread_hot(hot, "_metric", names)
+    )
     wide = found.groupBy(account).agg(
         *[F.max(F.when(F.col("_metric") == m, F.col("_median"))).alias(f"_{m}") for m in names]
     )

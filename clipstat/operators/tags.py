@@ -14,9 +14,11 @@ from clipstat.skew import ordered
 TIERS = ("head", "middle", "tail")
 
 
-def performance_tiers(posts: DataFrame, *, account: str = "account", seq: str = "seq") -> DataFrame:
+def performance_tiers(
+    posts: DataFrame, *, account: str = "account", seq: str = "seq", hot: list | None = None
+) -> DataFrame:
     """G1: thirds of an account's posts by likes; a remainder goes to the better tiers."""
-    placed = ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n")
+    placed = ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
     i, n = F.col("_place") - 1, F.col("_n")
     big = F.floor(n / 3) + 1
     extra = n % 3

@@ -21,28 +21,38 @@ def visual_summary(
     Every value combines before the shuffle. Ties of a mode go to the value met first.
     """
     group = [account, key]
-    modes = mode_of(frames, group, {d: d for d in DIMENSIONS}, seq)
-    shown = frames.filter("subtitle_present")
-    region = mode_of(shown, group, {"subtitle_region": "region"}, seq)
-    product_at = F.when(F.col("product_candidate"), F.struct(F.col(seq), F.col("timestamp").alias("t")))
-    agg = frames.groupBy(*group).agg(
+    shown = frames.withColumn("_region", F.when(F.col("subtitle_present"), F.col("region")))
+    modes = mode_of(shown, group, {**{d: d for d in DIMENSIONS}, "subtitle_region": "_region"}, seq)
+    aggs = [
         F.count(F.lit(1)).alias("frames_analyzed"),
         *[F.bround(F.avg(c), 3).alias(c) for c in ("mean_h", "mean_s", "mean_v")],
         F.count_if("subtitle_present").alias("_subs"),
         F.count_if("product_candidate").alias("_prods"),
-        F.transform(F.array_sort(F.collect_list(product_at)), lambda s: s["t"]).alias("candidate_timestamps"),
-        *([F.max("ocr_status").alias("ocr_status")] if "ocr_status" in frames.columns else []),
+    ]
+    if "ocr_status" in frames.columns:
+        aggs.append(F.count_if(_ocr_usable()).alias("_ocr"))
+    base = frames.groupBy(*group).agg(*aggs)
+    candidate = F.struct(F.col(seq).alias("s"), F.col("timestamp").alias("t"))
+    times = frames.filter("product_candidate").groupBy(*group).agg(
+        F.transform(F.array_sort(F.collect_list(candidate)), lambda x: x["t"]).alias("candidate_timestamps")
     )
     n = F.col("frames_analyzed")
-    out = agg.join(modes, group).join(region, group, "left")
-    return out.withColumns(
+    out = base.join(modes, group).join(times, group, "left").withColumns(
         {
             "subtitle_ratio": F.bround(C.ratio("_subs", n), 3),
             "product_ratio": F.bround(C.ratio("_prods", n), 3),
-            "subtitle_region": F.coalesce("subtitle_region", F.lit("unknown")),
-            **{d: F.coalesce(d, F.lit("unknown")) for d in DIMENSIONS},
+            "candidate_timestamps": F.coalesce("candidate_timestamps", F.array().cast("array<double>")),
+            **{d: F.coalesce(d, F.lit("unknown")) for d in (*DIMENSIONS, "subtitle_region")},
         }
-    ).drop("_subs", "_prods")
+    )
+    if "ocr_status" in frames.columns:
+        out = out.withColumn("ocr_status", F.when(F.col("_ocr") > 0, "ok").otherwise("unavailable"))
+    return out.drop("_subs", "_prods", "_ocr")
+
+
+def _ocr_usable():
+    known = F.coalesce(F.lower("ocr_status"), F.lit("none"))
+    return ~known.isin("unavailable", "missing", "unknown", "none")
 
 
 def visual_with_posts(
@@ -95,14 +105,14 @@ def product_exposure(matched: DataFrame, *, account: str = "account") -> DataFra
 
 def top_vs_rest_visual(
     matched: DataFrame, top_share: float = 0.2, min_group: int = 5, *, account: str = "account",
-    seq: str = "post_seq",
+    seq: str = "post_seq", hot: list | None = None,
 ) -> DataFrame:
     """Most frequent value and its share among the best-liked posts and the others.
 
     Shown only when both groups have at least ``min_group`` posts. Unknown values do not compete
     for the mode; shares are over the whole group.
     """
-    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n")
+    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
     top_n = F.greatest(F.lit(5), F.ceil(F.col("_n") * F.lit(top_share)))
     tiered = placed.withColumn("_top", top_n).filter(
         (F.least(F.col("_top"), F.col("_n")) >= min_group) & (F.col("_n") - F.col("_top") >= min_group)
@@ -126,10 +136,10 @@ def top_vs_rest_visual(
 
 def top_vs_rest_product(
     matched: DataFrame, top_share: float = 0.2, min_group: int = 5, *, account: str = "account",
-    seq: str = "post_seq",
+    seq: str = "post_seq", hot: list | None = None,
 ) -> DataFrame:
     """Product candidates among the best-liked posts and the others."""
-    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n")
+    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
     top_n = F.greatest(F.lit(5), F.ceil(F.col("_n") * F.lit(top_share)))
     tiered = placed.withColumn("_top", top_n).filter(
         (F.least(F.col("_top"), F.col("_n")) >= min_group) & (F.col("_n") - F.col("_top") >= min_group)
@@ -144,6 +154,4 @@ def top_vs_rest_product(
 
 def ocr_note(summaries: DataFrame, *, account: str = "account") -> DataFrame:
     """Whether subtitle shares may be judged: only where some summary carries a usable OCR status."""
-    bad = ("unavailable", "missing", "unknown", "none")
-    usable = F.col("ocr_status").isNotNull() & ~F.lower("ocr_status").isin(*bad)
-    return summaries.groupBy(account).agg(F.max(F.coalesce(usable, F.lit(False))).alias("subtitles_judged"))
+    return summaries.groupBy(account).agg(F.max(_ocr_usable()).alias("subtitles_judged"))

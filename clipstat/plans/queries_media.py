@@ -9,6 +9,8 @@ from clipstat.operators import intervals as iv
 from clipstat.operators import soundtrack
 from clipstat.operators import visual as vi
 from clipstat.plans.registry import query
+from clipstat.session import stage
+from clipstat.skew import hot_groups
 
 GROUP = ["account", "aweme_id"]
 
@@ -194,7 +196,8 @@ def whole_audio(v):
 
 
 def audio_sums(v, windows):
-    pieces = soundtrack.window_pieces(v.audio(), windows, block_samples=4096)
+    hot = hot_groups(v("doc_segments"), GROUP)
+    pieces = soundtrack.window_pieces(v.audio(), windows, block_samples=4096, hot=hot)
     return soundtrack.audio_block_sums(soundtrack.reblock(pieces))
 
 
@@ -209,7 +212,7 @@ SELECT CAST(doc_id AS VARCHAR) AS aweme_id, count(*) AS frames, CAST(round_even(
   CAST(round_even(sqrt(greatest(avg(m) - avg(sqrt(m)) * avg(sqrt(m)), 0)), 4) AS DOUBLE) AS energy_var,
   CAST(round_even(count(*) FILTER (sqrt(m) < 0.01)::DOUBLE / count(*), 3) AS DOUBLE) AS silence FROM r GROUP BY doc_id""")
 def _(v):
-    sums = audio_sums(v, whole_audio(v))
+    sums = stage(audio_sums(v, whole_audio(v)), "audio")
     out = soundtrack.audio_features(sums).join(sums.groupBy(*GROUP).agg(F.sum("frames").alias("frames")), GROUP)
     return out.filter("frames > 0").select(
         "aweme_id", "frames", F.bround("energy", 4).alias("energy"), F.bround("energy_var", 4).alias("energy_var"),
@@ -237,7 +240,8 @@ def _(v):
 
 @query("V9_soundtrack_from_audio")
 def _(v):
-    features = soundtrack.classify_soundtrack(soundtrack.audio_features(audio_sums(v, doc_windows(v))))
+    sums = stage(audio_sums(v, doc_windows(v)), "audio")
+    features = soundtrack.classify_soundtrack(soundtrack.audio_features(sums))
     out = soundtrack.soundtrack_record(v("doc_audio").drop("samples"), v("doc_segments"), features, min_seconds=0.3, pad=0.001)
     return out.select(*GROUP, "non_speech_seconds", "analysis_status", "bgm_level", "mood", "energy", "lfe_ratio")
 
@@ -350,16 +354,18 @@ kept AS (SELECT n.* FROM n WHERE total <= 20 OR chosen OR EXISTS (SELECT 1 FROM
 SELECT account, aweme_id, idx, reason FROM (SELECT *, row_number() OVER (PARTITION BY account, aweme_id ORDER BY idx) AS z FROM kept) WHERE z <= 20""")
 def _(v):
     picked = fr.sampling_reasons(v("shots"), v("reviews"), scene_min=0.7)
-    return fr.cap_frames(picked, 20).select(*GROUP, "idx", "reason")
+    return fr.cap_frames(picked, 20, hot=hot_groups(v("shots"), GROUP)).select(*GROUP, "idx", "reason")
 
 
 @query("D5_dedup_frames")
 def _(v):
     """Proxies of the pages, scored, sampled and deduplicated."""
-    scored = fr.scene_score(fr.frame_proxy_features(v.proxies(), keep=PROXY))
-    counts = scored.groupBy(*GROUP).agg((F.max("idx") + 1).alias("frames"))
+    features = stage(fr.frame_proxy_features(v.proxies(), keep=PROXY), "features")
+    hot = hot_groups(features, GROUP)
+    scored = fr.scene_score(features, hot=hot)
+    counts = features.groupBy(*GROUP).agg((F.max("idx") + 1).alias("frames"))
     sampled = fr.sampling_reasons(scored.join(counts, GROUP).withColumn("rate", F.lit(4)), scene_min=0.05)
-    return fr.dedup_frames(sampled.drop("brightness", "sharpness")).select(*GROUP, "idx", "timestamp", "reason", "scene_score")
+    return fr.dedup_frames(sampled.drop("brightness", "sharpness"), hot=hot).select(*GROUP, "idx", "timestamp", "reason", "scene_score")
 
 
 FILES_SQL = "files AS (SELECT account, aweme_id, file, row_number() OVER (PARTITION BY account, aweme_id ORDER BY file) - 1 AS i, count(*) OVER (PARTITION BY account, aweme_id) AS n FROM frame_rows)"
@@ -462,13 +468,13 @@ c AS (SELECT account, tier, dimension, value, count(*) AS k, CAST(sum(count(*))
   row_number() OVER (PARTITION BY account, tier, dimension ORDER BY count(*) DESC, min(place)) AS i FROM l GROUP BY 1, 2, 3, 4)
 SELECT account, tier, dimension, value, n, CAST(round_even((k * 100)::DOUBLE / n, 1) AS DOUBLE) AS share_pct FROM c WHERE i = 1""")
 def _(v):
-    return vi.top_vs_rest_visual(matched(v))
+    return vi.top_vs_rest_visual(matched(v), hot=hot_groups(v("posts"), ["account"]))
 
 
 @query("A24_top_vs_rest_product", f"""
 WITH {TIERS_SQL} SELECT account, tier, count(*) AS n, CAST(round_even((count(*) FILTER (product_ratio > 0) * 100)::DOUBLE / count(*), 1) AS DOUBLE) AS with_candidate_pct,
   CAST(round_even(CAST(sum(CAST(product_ratio AS DECIMAL(20,6))) AS DOUBLE) * 100 / count(*), 1) AS DOUBLE) AS mean_candidate_pct FROM tiered GROUP BY 1, 2""")
 def _(v):
-    return vi.top_vs_rest_product(matched(v))
+    return vi.top_vs_rest_product(matched(v), hot=hot_groups(v("posts"), ["account"]))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clipstat.operators import comments as co
@@ -260,8 +259,8 @@ def _(v):
     """Comments arrive in three batches, oldest first; the kept ones equal those of one run over all."""
     path = staged(v, "arrive")
     rows = v("comments_raw")
-    third = F.ntile(3).over(Window.partitionBy("account").orderBy("seq"))
-    cut = rows.withColumn("arrival", third)
+    year = F.col("create_time") / 86400 / 365.25
+    cut = rows.withColumn("arrival", F.when(year < 27, 1).when(year < 29, 2).otherwise(3))
     for i in (1, 2, 3):
         cut.filter(F.col("arrival") == i).drop("arrival").coalesce(1).write.mode("append").parquet(path)
     best = streams.VersionedTable(v.spark, staged(v, "best"), 8)

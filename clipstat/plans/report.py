@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from clipstat.operators import cadence, ranking, reconcile, soundtrack, stats, t
 from clipstat.operators import comments as co
 from clipstat.operators.frames import median_frame
 from clipstat.plans import rules
+from clipstat.skew import hot_groups
 
 
 @dataclass
@@ -37,6 +39,12 @@ class Sources:
     comment_groups: Sequence = rules.COMMENT_GROUPS
 
 
+    @cached_property
+    def hot(self) -> list[dict]:
+        """Accounts too large for one window task, looked up once per report."""
+        return hot_groups(self.posts, ["account"])
+
+
 GROUP = ["account", "aweme_id"]
 
 
@@ -63,7 +71,7 @@ def inventory(s: Sources) -> DataFrame:
 def headline(s: Sources) -> DataFrame:
     """R2: figures behind the automatic conclusions."""
     rates = stats.engagement_rates(stats.engagement_totals(s.posts))
-    p50 = stats.nearest_rank_percentile(s.posts, (50,))
+    p50 = stats.nearest_rank_percentile(s.posts, (50,), hot=s.hot)
     years = cadence.years_active(s.posts, tz=s.tz)
     first = s.posts.groupBy("account").agg(C.month_key(C.local_date(F.min("create_time"), s.tz)).alias("since"))
     return rates.join(p50, "account").join(years, "account").join(first, "account").select(
@@ -76,7 +84,7 @@ def headline(s: Sources) -> DataFrame:
 def profile_rows(s: Sources) -> DataFrame:
     """Account profile: period, posts per year, means, like distribution."""
     totals = stats.engagement_totals(s.posts)
-    pct = stats.nearest_rank_percentile(s.posts, (50, 90))
+    pct = stats.nearest_rank_percentile(s.posts, (50, 90), hot=s.hot)
     period = s.posts.groupBy("account").agg(
         C.local_date(F.min("create_time"), s.tz).alias("first_day"), C.local_date(F.max("create_time"), s.tz).alias("last_day")
     )
@@ -126,8 +134,8 @@ def looks(s: Sources) -> dict[str, DataFrame]:
     return {
         "visual_distribution": visual.visual_distribution(matched),
         "visual_products": visual.product_exposure(matched),
-        "visual_top_vs_rest": visual.top_vs_rest_visual(matched),
-        "visual_top_vs_rest_products": visual.top_vs_rest_product(matched),
+        "visual_top_vs_rest": visual.top_vs_rest_visual(matched, hot=s.hot),
+        "visual_top_vs_rest_products": visual.top_vs_rest_product(matched, hot=s.hot),
         "visual_ocr": visual.ocr_note(s.summaries),
         "visual_matched": visual.visual_match_counts(s.summaries, s.posts),
     }
@@ -179,7 +187,7 @@ def account_metrics(s: Sources) -> DataFrame:
         items = F.array_sort(F.collect_list(F.struct("place", *cols)))
         return df.groupBy("account").agg(items.alias(name))
 
-    archetypes = ranking.archetype_top5(posts)
+    archetypes = ranking.archetype_top5(posts, hot=s.hot)
     kinds = archetypes.groupBy("account").agg(
         *[
             F.array_sort(
@@ -193,7 +201,7 @@ def account_metrics(s: Sources) -> DataFrame:
     tags = topics.hashtag_stats(body)
     out = posts.groupBy("account").agg(F.count(F.lit(1)).alias("count"))
     parts = [
-        cadence.publish_cadence(posts, tz=s.tz), stats.ratio_medians(posts), stats.top_share(posts),
+        cadence.publish_cadence(posts, tz=s.tz), stats.ratio_medians(posts, hot=s.hot), stats.top_share(posts),
         listed(ranking.viral_top5(posts), "viral", "aweme_id", "likes", "collects", "shares", "comments", "title"),
         kinds, listed(tags, "tags", "tag", "n", "mean_likes"),
     ]

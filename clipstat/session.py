@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -44,6 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an expensive intermediate once and read it back; cuts lineage and repeated work."""
+    path = f"{shared_folder(df.sparkSession)}/clipstat-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping the cluster's own folder."""
     folder = shared_folder(spark)

@@ -27,14 +27,20 @@ def hot_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], limit: int) -> list:
-    """Groups above ``limit`` rows. At most ``rows / limit`` come back, so the list stays small."""
-    return (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-        .collect()
-    )
+def hot_groups(df: DataFrame, group: Sequence[str], limit: int | None = None) -> list[dict]:
+    """Groups above ``limit`` rows. At most ``rows / limit`` come back, so the list stays small.
+
+    A caller looks once, on the table it starts from, and hands the list down: derived tables have
+    no more rows per group, and a group listed in vain only takes the sliced way to the same result.
+    """
+    limit = hot_limit(df) if limit is None else limit
+    found = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    return [row.asDict() for row in found.collect()]
+
+
+def spread_hot(hot: list[dict] | None, name: str, values: Sequence[str]) -> list[dict] | None:
+    """The same groups once per value of a further grouping column."""
+    return None if hot is None else [{**h, name: value} for h in hot for value in values]
 
 
 def ordered(
@@ -87,11 +93,12 @@ def rank_by(
     group: Sequence[str],
     ranks: Mapping[str, Sequence[Column]],
     limit: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Several ``row_number`` columns over one grouping, sharing one exchange and one size check."""
     group = list(group)
     limit = hot_limit(df) if limit is None else limit
-    hot = hot_groups(df, group, limit)
+    hot = hot_groups(df, group, limit) if hot is None else hot
 
     def plain(part: DataFrame) -> DataFrame:
         spec = Window.partitionBy(*group)
@@ -229,6 +236,7 @@ def exact_quantiles(
     value: str,
     picks: Mapping[str, Callable[[Column], Sequence[Column]]],
     limit: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Exact order statistics from a value histogram.
 
@@ -244,7 +252,7 @@ def exact_quantiles(
     )
     cum = ordered(
         hist, group, [F.col(value).asc()], running_sum={"_upto": "_n"}, total={"_all": "_n"},
-        limit=limit,
+        limit=limit, hot=hot,
     )
     aggs = []
     for name, positions in picks.items():

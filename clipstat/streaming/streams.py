@@ -107,9 +107,11 @@ def comments_topn_batch(top: VersionedTable, keys: VersionedTable, n: int = 100)
     """
 
     def merge(batch: DataFrame, version: int) -> None:
-        unique = _with_key(comment_ops.dedup_comments(comment_ops.clean_comments(batch)))
-        touched_keys = _touched(unique, keys, "account", "aweme_id", "_key")
-        known = keys.read("account string, aweme_id string, _key string", touched_keys, version)
+        # A micro-batch is bounded by the trigger, and is used four times below.
+        unique = _with_key(comment_ops.dedup_comments(comment_ops.clean_comments(batch))).persist()
+        known = keys.read(
+            "account string, aweme_id string, _key string", _touched(unique, keys, "account", "aweme_id", "_key"), version
+        )
         fresh = unique.join(known, ["account", "aweme_id", "_key"], "left_anti")
         spec = Window.partitionBy("account", "aweme_id").orderBy(F.desc("like_count"), F.asc("seq"))
         old = top.read(_ddl(unique.drop("_key")), _touched(unique, top, "account", "aweme_id"), version)
@@ -122,6 +124,7 @@ def comments_topn_batch(top: VersionedTable, keys: VersionedTable, n: int = 100)
         top.replace(best.select("*", top.part_of("account", "aweme_id")), version)
         all_keys = known.unionByName(unique.select("account", "aweme_id", "_key")).distinct()
         keys.replace(all_keys.select("*", keys.part_of("account", "aweme_id", "_key")), version)
+        unique.unpersist()
 
     return merge
 
