@@ -15,6 +15,10 @@ LONG_ID = r"(?U)(?<!\d)(\d{8,})(?!\d)"
 ACCOUNT_SLUG = r"^[A-Za-z0-9][A-Za-z0-9._-]{0,79}$"
 INTEGER = r"^[+-]?[0-9]+$"
 NOTE_TYPE = 68
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Python's datetime range in epoch seconds; anything outside has no date.
 _FIRST_SECOND = -62135596800
@@ -27,7 +31,7 @@ def as_col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim every kind of whitespace, not only spaces."""
-    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
 def filled(c: Column | str) -> Column:

@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
+from clipstat.operators.frames import LABELS
 from clipstat.skew import mode_of, ordered
 
 DIMENSIONS = ("visual_style", "temperature", "composition", "scene")
 
 
 def visual_summary(
-    frames: DataFrame, *, account: str = "account", key: str = "aweme_id", seq: str = "seq"
+    frames: DataFrame, labels: Mapping[str, Sequence[str]] | None = LABELS, *, account: str = "account",
+    key: str = "aweme_id", seq: str = "seq",
 ) -> DataFrame:
-    """One row per post from analysed frames.
+    """One row per post from analysed frames. Ties of a mode go to the value met first.
 
-    Every value combines before the shuffle. Ties of a mode go to the value met first.
+    ``labels`` lists the values each label column can have: then one aggregate with one shuffle
+    counts them all, and a value outside the list fails the query. With ``labels=None`` any value is
+    allowed and the modes are counted value by value.
     """
     group = [account, key]
-    shown = frames.withColumn("_region", F.when(F.col("subtitle_present"), F.col("region")))
-    modes = mode_of(shown, group, {**{d: d for d in DIMENSIONS}, "subtitle_region": "_region"}, seq)
+    columns = {**{d: d for d in DIMENSIONS}, "subtitle_region": "_region"}
+    rows = frames.withColumn("_region", F.when(F.col("subtitle_present"), F.col("region")))
     aggs = [
         F.count(F.lit(1)).alias("frames_analyzed"),
         *[F.bround(F.avg(c), 3).alias(c) for c in ("mean_h", "mean_s", "mean_v")],
@@ -31,23 +35,48 @@ def visual_summary(
     ]
     if "ocr_status" in frames.columns:
         aggs.append(F.count_if(_ocr_usable()).alias("_ocr"))
-    base = frames.groupBy(*group).agg(*aggs)
+    if labels:
+        known = {n: labels["region" if n == "subtitle_region" else n] for n in columns}
+        for name, source in columns.items():
+            for i, value in enumerate(known[name]):
+                hit = F.col(source) == value
+                aggs.append(F.count_if(hit).alias(f"_n_{name}_{i}"))
+                aggs.append(F.min(F.when(hit, F.col(seq))).alias(f"_f_{name}_{i}"))
+            aggs.append(F.count_if(~F.col(source).isin(*known[name])).alias(f"_x_{name}"))
+        out = rows.groupBy(*group).agg(*aggs).withColumns({n: _most(n, known[n]) for n in columns})
+    else:
+        out = rows.groupBy(*group).agg(*aggs).join(mode_of(rows, group, columns, seq), group)
     candidate = F.struct(F.col(seq).alias("s"), F.col("timestamp").alias("t"))
     times = frames.filter("product_candidate").groupBy(*group).agg(
         F.transform(F.array_sort(F.collect_list(candidate)), lambda x: x["t"]).alias("candidate_timestamps")
     )
     n = F.col("frames_analyzed")
-    out = base.join(modes, group).join(times, group, "left").withColumns(
+    out = out.join(times, group, "left").withColumns(
         {
             "subtitle_ratio": F.bround(C.ratio("_subs", n), 3),
             "product_ratio": F.bround(C.ratio("_prods", n), 3),
             "candidate_timestamps": F.coalesce("candidate_timestamps", F.array().cast("array<double>")),
-            **{d: F.coalesce(d, F.lit("unknown")) for d in (*DIMENSIONS, "subtitle_region")},
+            **{d: F.coalesce(d, F.lit("unknown")) for d in columns},
         }
     )
     if "ocr_status" in frames.columns:
         out = out.withColumn("ocr_status", F.when(F.col("_ocr") > 0, "ok").otherwise("unavailable"))
-    return out.drop("_subs", "_prods", "_ocr")
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
+
+
+def _most(name: str, values: Sequence[str]) -> Column:
+    """Value with the highest count, then the earliest first row, from the counted columns."""
+    options = [
+        F.when(
+            F.col(f"_n_{name}_{i}") > 0,
+            F.struct(
+                (-F.col(f"_n_{name}_{i}")).alias("n"), F.col(f"_f_{name}_{i}").alias("first"), F.lit(value).alias("value")
+            ),
+        )
+        for i, value in enumerate(values)
+    ]
+    best = F.array_min(F.array_compact(F.array(*options)))["value"]
+    return F.when(F.col(f"_x_{name}") > 0, F.raise_error(F.lit(f"unlisted label in {name}"))).otherwise(best)
 
 
 def _ocr_usable():

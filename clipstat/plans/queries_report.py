@@ -13,6 +13,7 @@ from clipstat.plans.queries_media import GATED_SQL, GROUP, SUMMARY_SQL
 from clipstat.plans.queries_posts import ARCHETYPE_SQL, KEPT_SQL, staged
 from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, RATES_SQL, THEME_SQL, TITLE_RULES, TOTALS_SQL
 from clipstat.plans.registry import query
+from clipstat.session import stage
 from clipstat.sources import sinks
 from clipstat.streaming import streams
 
@@ -22,9 +23,9 @@ def kept(v):
 
 
 def sources(v) -> report.Sources:
-    """Report over the stand-in views, leaving out what a section does not need costs nothing."""
+    """Report over the stand-in views; the posts are read by every section, so they are written once."""
     return report.Sources(
-        posts=v("posts"), comments=kept(v), transcripts=v("transcripts"), soundtrack=v("soundtrack"),
+        posts=stage(v("posts"), "posts"), comments=kept(v), transcripts=v("transcripts"), soundtrack=v("soundtrack"),
         frames=v("frame_rows").filter("subtitle_present"), summaries=vi.visual_summary(v("frame_rows")),
         covers=v("labelled"), theme_rules=TITLE_RULES, comment_patterns=(("returned", "^R"), ("open", "O part"), ("none", "zz")),
         comment_groups=(("returned", "^R", 4), ("nine", "9", 3)),
@@ -114,7 +115,7 @@ SELECT t.account, n, CAST(round_even(years, 1) AS DOUBLE) AS years, since, CAST(
   CASE WHEN collect_rate > comment_rate THEN 'collect_led' ELSE 'comment_led' END AS audience
 FROM totals t JOIN rates r ON r.account = t.account JOIN pct p ON p.account = t.account JOIN y ON y.account = t.account""")
 def _(v):
-    return report.headline(report.Sources(v("posts")))
+    return report.headline(report.Sources(stage(v("posts"))))
 
 
 @query("R3_profile_rows", f"""
@@ -124,7 +125,7 @@ SELECT t.account, n, first_day, last_day, posts_by_year, CAST(round_even(sum_lik
   CAST(round_even(sum_collects::DOUBLE / n, 0) AS BIGINT) AS mean_collects, CAST(round_even(sum_shares::DOUBLE / n, 0) AS BIGINT) AS mean_shares, p50, p90, max_likes
 FROM totals t JOIN pct p ON p.account = t.account JOIN y ON y.account = t.account JOIN z ON z.account = t.account""")
 def _(v):
-    return report.profile_rows(report.Sources(v("posts")))
+    return report.profile_rows(report.Sources(stage(v("posts"))))
 
 
 @query("R4_publishing_months", f"""
@@ -198,7 +199,7 @@ def _(v):
 SELECT account, count(*) AS count, least(count(*), 5) AS viral FROM posts GROUP BY account""")
 def _(v):
     path = staged(v, "metrics")
-    sinks.write_documents(report.account_metrics(report.Sources(v("posts"))), path)
+    sinks.write_documents(report.account_metrics(report.Sources(stage(v("posts")))), path)
     return v.spark.read.json(path).select("account", "count", F.size("viral").cast("bigint").alias("viral"))
 
 
@@ -207,7 +208,7 @@ WITH {DAYS_SQL} SELECT 'likes_histogram' AS section, CAST(count(DISTINCT account
 SELECT 'headline', count(DISTINCT account) FROM posts UNION ALL SELECT 'publishing_months', count(*) FROM (SELECT *, count(*) OVER (PARTITION BY account) AS ms FROM months) WHERE ms >= 2""")
 def _(v):
     path = staged(v, "report")
-    s = report.Sources(v("posts"))
+    s = report.Sources(stage(v("posts")))
     tables = {"headline": report.headline(s), "likes_histogram": report.themes(s)["likes_histogram"],
               "publishing_months": report.publishing(s)["publishing_months"]}
     sinks.write_report_tables(tables, path)

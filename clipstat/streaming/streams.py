@@ -1,8 +1,9 @@
 """Incremental forms of the post, comment and run queries.
 
-The two upserts keep their state as Parquet tables split by key hash. A batch rewrites only the
-hash parts it touches, into a new versioned folder, and then publishes the version; a replayed batch
-writes the same folder again, so restarts and lost executors do not change the result.
+The two upserts keep their state as Parquet folders, one per batch, split by key hash. A batch
+rewrites only the hash parts it touches, into its own folder, and reads only folders of earlier,
+finished batches; a replayed batch writes the same folder again, so restarts and lost executors do
+not change the result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ PART = "_part"
 
 
 class VersionedTable:
-    """A table of hash parts; each part's newest version is current."""
+    """Parquet folders ``v=<batch>/_part=<hash>``."""
 
     def __init__(self, spark: SparkSession, path: str, parts: int):
         self.spark, self.path, self.parts = spark, path, parts
@@ -33,10 +34,10 @@ class VersionedTable:
         where = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self, before: int | None = None) -> dict[int, int]:
-        """Newest version per part, from folder names ``v=<batch>/_part=<n>`` of finished batches."""
+    def _written(self, before: int | None = None) -> list[tuple[int, int]]:
+        """(version, part) pairs from folder names ``v=<batch>/_part=<n>`` of finished batches."""
         jvm, fs = self._fs()
-        newest: dict[int, int] = {}
+        found: list[tuple[int, int]] = []
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*")
         for version in fs.globStatus(pattern) or []:
             v = int(version.getPath().getName().split("=")[1])
@@ -46,18 +47,25 @@ class VersionedTable:
             for part in fs.listStatus(version.getPath()):
                 name = part.getPath().getName()
                 if name.startswith(f"{PART}="):
-                    p = int(name.split("=")[1])
-                    newest[p] = max(v, newest.get(p, -1))
-        return newest
+                    found.append((v, int(name.split("=")[1])))
+        return sorted(found)
 
     def read(self, schema: str, parts: list[int] | None = None, before: int | None = None) -> DataFrame:
-        now = self._current(before)
-        folders = [f"{self.path}/v={v}/{PART}={p}" for p, v in sorted(now.items()) if parts is None or p in parts]
+        """Current rows: each part as its newest version has it."""
+        newest = {p: v for v, p in self._written(before)}
+        return self._rows(schema, [(v, p) for p, v in newest.items()], parts)
+
+    def history(self, schema: str, parts: list[int] | None = None, before: int | None = None) -> DataFrame:
+        """Rows of all versions, for tables whose batches only add rows."""
+        return self._rows(schema, self._written(before), parts)
+
+    def _rows(self, schema: str, written: list[tuple[int, int]], parts: list[int] | None) -> DataFrame:
+        folders = [f"{self.path}/v={v}/{PART}={p}" for v, p in sorted(written) if parts is None or p in parts]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def replace(self, df: DataFrame, version: int) -> None:
+    def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").partitionBy(PART).parquet(f"{self.path}/v={version}")
 
 
@@ -90,7 +98,7 @@ def posts_latest_batch(table: VersionedTable, seq: str = "seq") -> Callable[[Dat
         merged = both.groupBy("account", "aweme_id").agg(
             F.max_by(F.struct(*rows.columns), F.col(seq)).alias("_row"), F.min("first_seq").alias("first_seq")
         ).select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns], "first_seq")
-        table.replace(merged.select("*", table.part_of("account", "aweme_id")), version)
+        table.write(merged.select("*", table.part_of("account", "aweme_id")), version)
 
     return merge
 
@@ -103,13 +111,14 @@ def comments_topn_batch(top: VersionedTable, keys: VersionedTable, n: int = 100)
     """ST2: top comments per post, kept exact over batches.
 
     The best ``n`` of old and new together need only the old best ``n``. A comment that fell out of
-    them may come again, so every dedup key seen so far is kept in its own table.
+    them may come again, so every dedup key seen so far is kept in its own table; a batch only adds
+    its new keys there and reads back the hash parts it touches.
     """
 
     def merge(batch: DataFrame, version: int) -> None:
         # A micro-batch is bounded by the trigger, and is used four times below.
         unique = _with_key(comment_ops.dedup_comments(comment_ops.clean_comments(batch))).persist()
-        known = keys.read(
+        known = keys.history(
             "account string, aweme_id string, _key string", _touched(unique, keys, "account", "aweme_id", "_key"), version
         )
         fresh = unique.join(known, ["account", "aweme_id", "_key"], "left_anti")
@@ -121,9 +130,8 @@ def comments_topn_batch(top: VersionedTable, keys: VersionedTable, n: int = 100)
             .filter(F.col("_n") <= n)
             .drop("_n")
         )
-        top.replace(best.select("*", top.part_of("account", "aweme_id")), version)
-        all_keys = known.unionByName(unique.select("account", "aweme_id", "_key")).distinct()
-        keys.replace(all_keys.select("*", keys.part_of("account", "aweme_id", "_key")), version)
+        top.write(best.select("*", top.part_of("account", "aweme_id")), version)
+        keys.write(fresh.select("account", "aweme_id", "_key", keys.part_of("account", "aweme_id", "_key")), version)
         unique.unpersist()
 
     return merge
