@@ -84,20 +84,19 @@ def top_share(posts: DataFrame, *, account: str = "account") -> DataFrame:
 def likes_histogram(posts: DataFrame, *, account: str = "account") -> DataFrame:
     """Counts in left-closed bins; negative likes are clamped to the lowest bin and flagged."""
     likes = F.greatest(F.coalesce("likes", F.lit(0)), F.lit(0))
-    which = F.lit(0)
-    for i, (edge, _) in enumerate(LIKE_BINS):
-        which = F.when(likes >= edge, i).otherwise(which)
-    counted = posts.groupBy(account, which.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("likes") < 0).alias("n_negative")
-    )
-    bins = posts.sparkSession.createDataFrame(
-        [(i, label) for i, (_, label) in enumerate(LIKE_BINS)], "bin int, label string"
-    )
-    grid = counted.select(account).distinct().crossJoin(F.broadcast(bins))
-    return grid.join(counted, [account, "bin"], "left").select(
-        account,
-        "bin",
-        "label",
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        F.coalesce("n_negative", F.lit(0)).cast("bigint").alias("n_negative"),
+    edges = [edge for edge, _ in LIKE_BINS] + [None]
+    counts = []
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        inside = (likes >= low) if high is None else (likes >= low) & (likes < high)
+        counts.append(F.count_if(inside).alias(f"_n{i}"))
+    wide = posts.groupBy(account).agg(*counts, F.count_if(F.col("likes") < 0).alias("_neg"))
+    bins = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("bin"), F.lit(label).alias("label"), F.col(f"_n{i}").alias("n"),
+                (F.col("_neg") if i == 0 else F.lit(0).cast("bigint")).alias("n_negative"),
+            )
+            for i, (_, label) in enumerate(LIKE_BINS)
+        ]
     )
+    return wide.select(account, F.inline(bins))

@@ -58,14 +58,18 @@ def comment_theme_counts(
 
     Every rule gets a row per account, also with no hits.
     """
-    hit = C.first_pattern_rule("content", rules)
-    per = comments.groupBy(account, hit.alias("theme")).agg(F.count(F.lit(1)).alias("n"))
-    totals = per.groupBy(account).agg(F.sum("n").alias("total"))
-    labels = comments.sparkSession.createDataFrame(
-        [(i, label) for i, (label, _) in enumerate(rules)], "ord int, theme string"
+    hit = comments.select(account, C.first_pattern_rule("content", rules).alias("_theme"))
+    wide = hit.groupBy(account).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col("_theme") == label).alias(f"_n{i}") for i, (label, _) in enumerate(rules)],
     )
-    grid = totals.crossJoin(F.broadcast(labels))
-    out = grid.join(per, [account, "theme"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
+    counts = F.array(
+        *[
+            F.struct(F.lit(i).alias("ord"), F.lit(label).alias("theme"), F.col(f"_n{i}").alias("n"))
+            for i, (label, _) in enumerate(rules)
+        ]
+    )
+    out = wide.select(account, "total", F.inline(counts))
     return out.select(account, "ord", "theme", "n", "total", C.percent("n", "total").alias("share_pct"))
 
 

@@ -46,14 +46,20 @@ frames array<struct<file: string, timestamp: double, reason: string, scene_score
 sharpness: double>>
 """
 
-_SUMMARY = """
-aweme_id: string, frames_analyzed: int, visual_style: string,
-color: struct<temperature: string, mean_hsv: array<double>>, composition: struct<dominant: string>,
-scene: struct<dominant_candidate: string, status: string>,
-subtitles: struct<frame_ratio: double, dominant_region: string>,
-product_exposure: struct<candidate_frame_ratio: double, candidate_timestamps: array<double>, status: string>,
-ocr_status: string
-"""
+_SUMMARY = {
+    "aweme_id": "string",
+    "frames_analyzed": "int",
+    "visual_style": "string",
+    "color": "struct<temperature: string, mean_hsv: array<double>>",
+    "composition": "struct<dominant: string>",
+    "scene": "struct<dominant_candidate: string, status: string>",
+    "subtitles": "struct<frame_ratio: double, dominant_region: string>",
+    "product_exposure": "struct<candidate_frame_ratio: double, candidate_timestamps: array<double>, status: string>",
+    "ocr_status": "string",
+}
+_SUMMARY_STRUCT = f"struct<{', '.join(f'{n}: {t}' for n, t in _SUMMARY.items())}>"
 
-VISUAL_WRAPPED = f"videos array<struct<{_SUMMARY}>>, records array<struct<{_SUMMARY}>>"
-VISUAL_BOTH = f"{VISUAL_WRAPPED}, {_SUMMARY}"
+# Summaries come wrapped in ``videos`` or ``records``, or as a bare list with the fields on top.
+VISUAL = f"videos array<{_SUMMARY_STRUCT}>, records array<{_SUMMARY_STRUCT}>, " + ", ".join(
+    f"{n} {t}" for n, t in _SUMMARY.items()
+)

@@ -119,7 +119,7 @@ def read_frames(spark: SparkSession, path: str, account: str | None = None) -> D
 
 def read_visual(spark: SparkSession, path: str, account: str | None = None) -> DataFrame:
     """Summaries from a bare list or from a ``videos`` or ``records`` wrapper; rows need an id."""
-    docs = _documents(spark, path, schemas.VISUAL_BOTH, account, "video-analysis/")
+    docs = _documents(spark, path, schemas.VISUAL, account, "video-analysis/")
     names = [f.name for f in docs.schema["videos"].dataType.elementType.fields]
     bare = F.array(F.struct(*names))
     wrapped = F.coalesce(
