@@ -263,10 +263,10 @@ def _(v):
     year = F.col("create_time") / 86400 / 365.25
     cut = rows.withColumn("arrival", F.when(year < 27, 1).when(year < 29, 2).otherwise(3))
     for i in (1, 2, 3):
-        cut.filter(F.col("arrival") == i).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+        cut.filter(F.col("arrival") == i).drop("arrival").repartition(8).write.mode("append").parquet(path)
     best = streams.VersionedTable(v.spark, staged(v, "best"), 8)
     keys = streams.VersionedTable(v.spark, staged(v, "keys"), 8)
-    arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(path)
     run = (
         arriving.writeStream.foreachBatch(streams.comments_topn_batch(best, keys, 3))
         .option("checkpointLocation", staged(v, "stream")).trigger(availableNow=True).start()
