@@ -88,6 +88,7 @@ def publish_cadence(posts: DataFrame, *, tz: str = "UTC", months_k: int = 3, acc
         ).alias("top_months")
     )
     gaps = upper_median_gap(posts, tz=tz, account=account, key=key, seq=seq)
+    # Accounts without any dated post keep a row.
     span = F.when(F.col("dated") >= 2, F.date_diff("last_day", "first_day") + 1).otherwise(0)
     monthly = F.bround(F.col("dated").cast("double") / F.greatest("active_months", F.lit(1)), 1)
     return (

@@ -39,21 +39,17 @@ def nonzero_median(
     posts: DataFrame, metrics=METRICS[1:], *, account: str = "account", hot: list | None = None
 ) -> DataFrame:
     """A5: per account, the median over positive values, 0 when there is none."""
-    wide = _known_medians(posts, metrics, account, hot)
-    return posts.select(account).distinct().join(wide, account, "left").select(
-        account, *[F.coalesce(f"{m}_nzmed", F.lit(0.0)).alias(f"{m}_nzmed") for m in metrics]
-    )
-
-
-def _known_medians(posts: DataFrame, metrics, account: str, hot: list | None) -> DataFrame:
     pairs = ", ".join(f"'{m}', {m}" for m in metrics)
     long = posts.selectExpr(account, f"stack({len(metrics)}, {pairs}) as (_metric, _value)")
     found = exact_quantiles(
-        long.filter("_value > 0"), [account, "_metric"], "_value", {"_median": middle},
+        long.withColumn("_value", F.expr("if(_value > 0, _value, null)")), [account, "_metric"], "_value", {"_median": middle},
         hot=spread_hot(hot, "_metric", metrics),
     )
     return found.groupBy(account).agg(
-        *[F.max(F.when(F.col("_metric") == m, F.col("_median"))).alias(f"{m}_nzmed") for m in metrics]
+        *[
+            F.coalesce(F.max(F.when(F.col("_metric") == m, F.col("_median"))), F.lit(0.0)).alias(f"{m}_nzmed")
+            for m in metrics
+        ]
     )
 
 
@@ -75,11 +71,11 @@ def archetype_top5(
     """
     hot = hot_groups(posts, [account]) if hot is None else hot
     ranked = prominence(metric_ranks(posts, account=account, seq=seq, hot=hot))
-    medians = _known_medians(posts, tuple(prominence_min), account, hot)
+    medians = nonzero_median(posts, tuple(prominence_min), account=account, hot=hot)
     parts = ", ".join(
-        f"'{m}', {m}, {m}_prominence, coalesce({m}_nzmed, 0D), cast({t} as double)" for m, t in prominence_min.items()
+        f"'{m}', {m}, {m}_prominence, {m}_nzmed, cast({t} as double)" for m, t in prominence_min.items()
     )
-    long = ranked.join(medians, account, "left").selectExpr(
+    long = ranked.join(medians, account).selectExpr(
         account, key, "title", *METRICS, "likes_rank",
         f"stack({len(prominence_min)}, {parts}) as (archetype, _value, _prom, _med, _min)",
     )

@@ -57,10 +57,8 @@ def medians(
 def ratio_medians(posts: DataFrame, *, account: str = "account", hot: list | None = None) -> DataFrame:
     """Median collects, shares and comments per like over posts with likes."""
     names = ("collects", "shares", "comments")
-    pairs = ", ".join(f"'{m}', cast({m} as double) / cast(likes as double)" for m in names)
-    long = posts.filter("likes > 0").selectExpr(
-        account, f"stack({len(names)}, {pairs}) as (_metric, _value)"
-    )
+    pairs = ", ".join(f"'{m}', if(likes > 0, cast({m} as double) / cast(likes as double), null)" for m in names)
+    long = posts.selectExpr(account, f"stack({len(names)}, {pairs}) as (_metric, _value)")
     found = exact_quantiles(
         long, [account, "_metric"], "_value", {"_median": middle}, hot=spread_hot(hot, "_metric", names),
         repeats=False,
@@ -68,8 +66,7 @@ def ratio_medians(posts: DataFrame, *, account: str = "account", hot: list | Non
     wide = found.groupBy(account).agg(
         *[F.max(F.when(F.col("_metric") == m, F.col("_median"))).alias(f"_{m}") for m in names]
     )
-    everyone = posts.select(account).distinct()
-    return everyone.join(wide, account, "left").select(
+    return wide.select(
         account,
         *[F.coalesce(F.bround(f"_{m}", 3), F.lit(0.0)).alias(f"{m}_per_like_median") for m in names],
     )

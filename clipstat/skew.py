@@ -242,16 +242,16 @@ def exact_quantiles(
     """Exact order statistics from a value histogram.
 
     ``picks`` maps an output column to a function of the group size giving the zero-based positions
-    whose values are averaged. NULL values do not count. Repeated values are combined before the
-    shuffle, so the sort sees one row per distinct value; ``repeats=False`` saves that step for
-    values that hardly ever repeat, such as ratios.
+    whose values are averaged. NULL values do not count; a group with nothing else gets NULL.
+    Repeated values are combined before the shuffle, so the sort sees one row per distinct value;
+    ``repeats=False`` saves that step for values that hardly ever repeat, such as ratios.
     """
     group = list(group)
-    known = df.filter(F.col(value).isNotNull()).select(*group, value)
+    rows = df.select(*group, value)
     if repeats:
-        hist = known.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+        hist = rows.groupBy(*group, value).agg(F.count(value).alias("_n"))
     else:
-        hist = known.withColumn("_n", F.lit(1).cast("bigint"))
+        hist = rows.withColumn("_n", F.when(F.col(value).isNull(), 0).otherwise(1).cast("bigint"))
     cum = ordered(
         hist, group, [F.col(value).asc()], running_sum={"_upto": "_n"}, total={"_all": "_n"},
         limit=limit, hot=hot,
