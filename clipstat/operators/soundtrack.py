@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clipstat.functions import arrays as A
 from clipstat.functions import columns as C
 from clipstat.operators.intervals import non_speech_windows
+from clipstat.session import ship_package
 from clipstat.skew import ordered
 
 # Contract words and labels other results depend on.
@@ -253,6 +254,7 @@ def audio_block_sums(
         raise ValueError("the block size must be a multiple of the FFT size")
     last_fft = min(fft_blocks * A.FFT_SIZE, A.RATE * 30)
     keys = cells.select(account, key).schema.fields
+    ship_package(cells.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

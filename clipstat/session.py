@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,23 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever the driver started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / "clipstat.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping the cluster's own folder."""
     folder = shared_folder(spark)
