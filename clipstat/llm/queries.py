@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import near_dedup, substring_dedup
+from clipstat.llm import near_dedup, packing, substring_dedup, token_counts
 from clipstat.llm.common import table
 
 
@@ -20,8 +20,25 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
+    "op8_packing": op8_packing,
     "op9_substring": op9_substring,
+    "op10_token_counts": op10_token_counts,
 }
 CHECKS: dict[str, str] = {}
