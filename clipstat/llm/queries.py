@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import near_dedup, packing, substring_dedup, token_counts
+from clipstat.llm import mixing, near_dedup, packing, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 
 
@@ -27,6 +27,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), url_filter.rules(spark))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    m = F.col("_mix")
+    return mixing.mix(docs).select(
+        "doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"), (m["size"] * m["copies"]).alias("taken")
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -37,8 +49,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
+    "op3_urls": op3_urls,
+    "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_substring": op9_substring,
     "op10_token_counts": op10_token_counts,
 }
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op3_urls": url_filter.URL_SQL, "op7_mixing": mixing.MIX_SQL}
