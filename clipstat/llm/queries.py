@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import mixing, near_dedup, packing, substring_dedup, token_counts, url_filter
+from clipstat.llm import language_id, mixing, near_dedup, packing, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 
 
@@ -27,6 +27,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identified(docs.select("doc_id", "text"), language_id.learned(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "_lang.lang_pred", "_lang.score")
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"), url_filter.rules(spark))
 
@@ -49,6 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
+    "op1_language": op1_language,
     "op3_urls": op3_urls,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
