@@ -7,9 +7,11 @@ bin can be empty, and large sets fill all bins in their first rounds. A bin keep
 concentration of independent samples.
 
 Bins are joined to bands; documents that share a band are candidates, and every link is confirmed on
-the full sets. Inside a band bucket nothing is compared all against all: documents meet the bucket's
-first member, those that stay in other components meet a few more first members, and so on. Two
-documents are compared only if their sizes and their known distances to the first member leave a link
+the full sets. Inside a band bucket nothing is compared all against all. Documents meet the bucket's
+first member. If the bucket then holds several components, the members outside the largest one meet the
+members of other components; when there are more than ``CROWD`` of them (texts around one common
+passage), members meet those with which they share a second such bucket, as all but a few in 100,000
+pairs at the threshold do. Two documents are compared only if their sizes and their distances to the first member leave a link
 possible, which the triangle inequality of the Jaccard distance decides exactly.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipstat.llm.common import WordHashes, arrow_map, byte_texts, hold, lists, mixed, seeds, texts_of
@@ -31,8 +33,8 @@ PERCENT = 75
 #: A pair at the threshold shares no band with probability (1 - 0.75 ** ROWS) ** BANDS = 2e-6.
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
-#: First members added per bucket from one round of comparison to the next grow by this factor.
-GROWTH = 4
+#: With more members outside its largest component a bucket is cut by a second band first.
+CROWD = 24
 
 _ROUND = seeds(2 * BINS, 1)
 _BAND = seeds(BANDS, 2)
@@ -153,17 +155,38 @@ def _may_link() -> Column:
     return (F.lit(100) * small >= F.lit(PERCENT) * large) & near
 
 
-def _next_heads(rows: DataFrame, taken: int, fresh: int) -> DataFrame:
-    """Members number ``taken + 1`` to ``taken + fresh`` of every bucket."""
-    order = Window.partitionBy("band").orderBy("node")
-    numbered = rows.withColumn("_n", F.row_number().over(order)).filter((F.col("_n") <= taken + fresh) & (F.col("_n") > taken))
-    return numbered.select("band", *[F.col(c).alias(f"{n}_b") for c, n in (("node", "node"), ("n", "n"), ("d", "d"), ("c", "c"))])
+def _still_split(rows: DataFrame) -> DataFrame:
+    """Rows of buckets that hold more than one component, with its largest one and the members outside it."""
+    sizes = rows.groupBy("key", "c").agg(F.count("*").alias("_n"))
+    whole = sizes.groupBy("key").agg(
+        F.max_by("c", F.struct("_n", "c")).alias("main"), (F.sum("_n") - F.max("_n")).alias("outside")
+    )
+    return rows.join(whole.filter("outside > 0"), "key")
+
+
+def _with_outsiders(rows: DataFrame) -> DataFrame:
+    """Pairs of each member outside the largest component with all members of other components."""
+    ours = rows.filter("c <> main").select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "d", "c")])
+    met = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "d", "c")]).join(ours, "key")
+    return met.filter((F.col("c_a") != F.col("c_b")) & _may_link()).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+    )
+
+
+def _by_two_bands(rows: DataFrame) -> DataFrame:
+    """The same members under every two of their crowded buckets."""
+    own = rows.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"), F.first("n").alias("n"), F.first("c").alias("c"))
+    twos = F.expr(
+        "explode(flatten(transform(sequence(1, size(keys) - 1), i -> transform(slice(keys, i + 1, size(keys)), k -> xxhash64(keys[i - 1], k)))))"
+    )
+    return own.filter("size(keys) > 1").select(twos.alias("key"), "node", "n", "c", F.lit(0.0).alias("d"))
 
 
 def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed edges ``(a, b)`` that connect every component of ``reps(node, rep, set_id, n_shingles, bands)``.
 
-    Every pair that shares a band is compared, or already connected, or proven to have no link.
+    A pair that shares a band is compared, or already connected, or proven to have no link; a pair whose
+    shared buckets are all crowded is, if it shares two.
     """
     rows = reps.select(F.explode("bands").alias("band"), "node", F.col("n_shingles").alias("n"))
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
@@ -178,24 +201,13 @@ def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     edges = compared.filter(_linked()).select("a", "b")
     far = compared.select(F.col("a").alias("node"), F.col("b").alias("head"), (1 - F.col("common") / F.col("total")).alias("d"))
     member = hold(member.join(far.distinct(), ["node", "head"], "left").select("band", "node", "n", F.coalesce("d", F.lit(0.0)).alias("d")), "members")
-    taken, fresh, found = 1, 1, components(edges)
-    while True:
-        tagged = member.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        split = tagged.groupBy("band").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).filter("_lo < _hi").select("band")
-        # A bucket that is still split stays whole, so its numbering holds from round to round.
-        member = hold(tagged.join(split, "band", "left_semi"), "open")
-        fresh *= GROWTH
-        heads = _next_heads(member, taken, fresh)
-        if heads.isEmpty():
-            return edges
-        met = member.select("band", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "d", "c")]).join(heads, "band")
-        pairs = met.filter((F.col("c_a") != F.col("c_b")) & _may_link()).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-        more = hold(_verified(pairs, sets).filter(_linked()).select("a", "b"), "links")
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            found = components(edges)
-        member = member.drop("c")
-        taken += fresh
+    tagged = member.withColumnRenamed("band", "key").join(components(edges), "node", "left")
+    tagged = tagged.select("key", "node", "n", "d", F.coalesce("component", "node").alias("c"))
+    split = hold(_still_split(tagged), "split")
+    crowded = _still_split(_by_two_bands(split.filter(F.col("outside") > CROWD)))
+    pairs = _with_outsiders(split.filter(F.col("outside") <= CROWD)).unionByName(_with_outsiders(crowded)).distinct()
+    more = hold(_verified(pairs, sets).filter(_linked()).select("a", "b"), "links")
+    return edges.unionByName(more)
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
