@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import edit_fingerprints, language_id, mixing, near_dedup, packing, substring_dedup, token_counts, url_filter
+from clipstat.llm import edit_fingerprints, language_id, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     m = F.col("_mix")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_urls": op3_urls,
     "op5_fingerprints": op5_fingerprints,
+    "op6_neighbours": op6_neighbours,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_substring": op9_substring,
