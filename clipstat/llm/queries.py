@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipstat.llm import edit_fingerprints, language_id, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
+from clipstat.llm.tokens import tokenizer_path
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,13 +21,6 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-def tokenizer_path(name: str) -> str:
-    """Place of a public vocabulary file, the same on every machine of the cluster."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language_id.identified(docs.select("doc_id", "text"), language_id.learned(docs))

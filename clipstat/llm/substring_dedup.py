@@ -226,8 +226,10 @@ def covered(n: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one space).
+def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), rejoin: bool = True) -> DataFrame:
+    """Per row: doc_id, the columns of ``carry``, n_words, n_removed, kept_text.
+
+    The kept words are joined by one space; with ``rejoin=False`` a text that loses nothing stays as it is.
 
     A word is removed when a window of ``WINDOW`` words of its document covers it and the same window
     also starts in a document with a smaller doc_id. Null, empty and short texts lose nothing; a row
@@ -239,8 +241,9 @@ def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     marks = hold(marks.groupBy("doc_id").agg(F.collect_list("place").alias("places")), "marks")
     whole = hold(copies.groupBy("doc_id").agg(F.collect_set("sequence").alias("sequences")), "copies")
     notes = marks.join(whole, "doc_id", "full_outer")
-    rows = texts_of(df, doc_id, text).withColumn("mark", _mark())
-    rows = rows.join(notes, "doc_id", "left").select("doc_id", "text", "mark", "places", "sequences")
+    rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.struct(*carry).alias("rest") if carry else F.lit(None).cast("string").alias("rest"))
+    rows = rows.withColumn("mark", _mark())
+    rows = rows.join(notes, "doc_id", "left").select("doc_id", "text", "mark", "places", "sequences", "rest")
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -261,12 +264,14 @@ def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             else:
                 removed = 0
             gone.append(removed)
-            kept.append(b" ".join(words))
+            kept.append(b" ".join(words) if removed or rejoin else text)
+        told = [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_text"],
+            [batch.column("doc_id"), batch.column("rest"), *told], ["doc_id", "rest", "n_words", "n_removed", "kept_text"]
         )
 
     ship_package(spark)
-    return arrow_map(rows, run, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    rest = dict(rows.dtypes)["rest"]
+    out = arrow_map(rows, run, f"doc_id bigint, rest {rest}, n_words bigint, n_removed bigint, kept_text string")
+    return out.select("doc_id", *[F.col("rest")[c].alias(c) for c in carry], "n_words", "n_removed", "kept_text")
 
