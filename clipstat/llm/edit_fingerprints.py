@@ -146,11 +146,11 @@ def _ranged(df: DataFrame) -> DataFrame:
     df = df.withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     edges = df.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 50 * n).alias("e")).first()["e"]
     edges = sorted(set(edges or []))
-    part = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("key"))) if edges else F.lit(0)
+    part = F.size(F.filter(F.array(*[F.lit(e).cast("bigint") for e in edges]), lambda e: e <= F.col("key"))) if edges else F.lit(0)
     df = df.withColumn("part", part.cast("int"))
     firsts = sorted((r["part"], r["k"]) for r in df.groupBy("part").agg(F.min("key").alias("k")).collect())
     before = {key: firsts[k - 1][0] for k, (_, key) in enumerate(firsts)}
-    serves = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("key")] if before else F.lit(None).cast("int")
+    serves = F.create_map(*[x for key, k in before.items() for x in (F.lit(key).cast("bigint"), F.lit(k))])[F.col("key")] if before else F.lit(None).cast("int")
     both = F.array(F.struct(F.col("part"), F.lit(0).alias("look")), F.struct(serves.alias("part"), F.lit(1).alias("look")))
     copies = df.select("doc_id", "text", "key", F.explode(F.filter(both, lambda x: x["part"].isNotNull())).alias("at"))
     return copies.select("doc_id", "text", "key", "at.part", "at.look").repartition(parts, "part").sortWithinPartitions("part", "look", "key", "text")

@@ -114,7 +114,7 @@ def _searching(pivots: np.ndarray, k: int):
     return run
 
 
-def neighbours(df: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def neighbours(df: DataFrame, queries: Column | str, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest other rows of each row for which ``queries`` holds.
 
     ``queries`` is a condition on ``vec_id``. Rows with a null id take no part, nor do vectors that are
