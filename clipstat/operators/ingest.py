@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
-from clipstat.skew import ordered
+from clipstat.skew import down, ordered
 
 # Contract words of the published data.
 MIXED_TRACK, MISSING = "mixed_track", "missing"
@@ -276,10 +276,10 @@ def ingest_counters(
 
 
 def rank_posts(
-    posts: DataFrame, *, account: str = "account", seq: str = "first_seq", hot: list | None = None
+    posts: DataFrame, *, account: str = "account", seq: str = "first_seq"
 ) -> DataFrame:
     """Rank by likes, ties by first appearance."""
-    return ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="rank", hot=hot)
+    return ordered(posts, [account], [F.desc("likes"), F.asc(seq)], slice_by=down("likes"), rank="rank")
 
 
 def build_posts(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.skew import hot_groups, ordered
+from clipstat.skew import ordered
 
 
 def merge_intervals(
     intervals: DataFrame, tol: float = 0.0, pad: float = 0.0, *, account: str = "account",
-    key: str = "aweme_id", end_limit: str | None = None, hot: list | None = None,
+    key: str = "aweme_id", end_limit: str | None = None
 ) -> DataFrame:
     """Pad, then join intervals that touch within ``tol`` into islands.
 
@@ -25,13 +25,12 @@ def merge_intervals(
     starts = padded.groupBy(account, key, "start").agg(
         F.max("end").alias("end"), F.count(F.lit(1)).alias("_n")
     )
-    hot = hot_groups(intervals, [account, key]) if hot is None else hot
-    reach = ordered(starts, [account, key], [F.asc("start")], running_max={"_reach": "end"}, hot=hot)
+    reach = ordered(starts, [account, key], [F.asc("start")], running_max={"_reach": "end"})
     breaks = reach.withColumn(
         "_break",
         F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + tol), 1).otherwise(0),
     )
-    numbered = ordered(breaks, [account, key], [F.asc("start")], running_sum={"island": "_break"}, hot=hot)
+    numbered = ordered(breaks, [account, key], [F.asc("start")], running_sum={"island": "_break"})
     return numbered.groupBy(account, key, F.col("island").cast("int").alias("island")).agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
@@ -41,12 +40,12 @@ def merge_intervals(
 
 def complement_intervals(
     islands: DataFrame, durations: DataFrame, min_gap: float = 0.02, *, account: str = "account",
-    key: str = "aweme_id", duration: str = "duration", hot: list | None = None,
+    key: str = "aweme_id", duration: str = "duration"
 ) -> DataFrame:
     """What the islands leave free of ``[0, duration]``, pieces above ``min_gap`` only."""
     between = ordered(
         islands.select(account, key, "start", "end"), [account, key], [F.asc("start")],
-        previous={"_prev_end": "end"}, hot=hot,
+        previous={"_prev_end": "end"}
     ).select(account, key, F.coalesce("_prev_end", F.lit(0.0)).alias("start"), F.col("start").alias("end"))
     last = islands.groupBy(account, key).agg(F.max("end").alias("start"))
     tail = last.join(durations.select(account, key, F.col(duration).alias("end")), [account, key])
@@ -58,27 +57,25 @@ def complement_intervals(
 
 def speech_islands(
     segments: DataFrame, durations: DataFrame, pad: float = 0.15, *, account: str = "account",
-    key: str = "aweme_id", duration: str = "duration", hot: list | None = None,
+    key: str = "aweme_id", duration: str = "duration"
 ) -> DataFrame:
     """Speech windows: segments clipped to the audio, padded and merged."""
-    hot = hot_groups(segments, [account, key]) if hot is None else hot
     rows = segments.join(durations.select(account, key, duration), [account, key])
     clipped = rows.select(
         account, key, duration,
         F.greatest(F.col("start"), F.lit(0.0)).alias("start"),
         F.least(F.col("end"), F.col(duration)).alias("end"),
     ).filter("end > start")
-    return merge_intervals(clipped, 0.0, pad, account=account, key=key, end_limit=duration, hot=hot)
+    return merge_intervals(clipped, 0.0, pad, account=account, key=key, end_limit=duration)
 
 
 def non_speech_windows(
     segments: DataFrame, durations: DataFrame, pad: float = 0.15, *, account: str = "account",
-    key: str = "aweme_id", duration: str = "duration", hot: list | None = None,
+    key: str = "aweme_id", duration: str = "duration"
 ) -> DataFrame:
     """W7 + W8 for soundtracks."""
-    hot = hot_groups(segments, [account, key]) if hot is None else hot
-    islands = speech_islands(segments, durations, pad, account=account, key=key, duration=duration, hot=hot)
-    return complement_intervals(islands, durations, account=account, key=key, duration=duration, hot=hot)
+    islands = speech_islands(segments, durations, pad, account=account, key=key, duration=duration)
+    return complement_intervals(islands, durations, account=account, key=key, duration=duration)
 
 
 def in_intervals(
@@ -133,8 +130,7 @@ def review_intervals(
         F.greatest(F.col("start") - pad, F.lit(0.0)).alias("start"),
         F.greatest(F.greatest(F.col("start") - pad, F.lit(0.0)), F.col("end") + pad).alias("end"),
     )
-    hot = hot_groups(segments, [account, key])
-    return merge_intervals(low, tol, 0.0, account=account, key=key, hot=hot).select(
+    return merge_intervals(low, tol, 0.0, account=account, key=key).select(
         account, key, "island", F.bround("start", 3).alias("start"), F.bround("end", 3).alias("end"), "segments"
     )
 

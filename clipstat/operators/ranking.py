@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
-from clipstat.skew import exact_quantiles, hot_groups, middle, rank_by, spread_hot
+from clipstat.skew import exact_quantiles, middle, rank_by
 
 METRICS = ("likes", "collects", "shares", "comments")
 PROMINENCE_MIN = {"collects": 1.3, "shares": 1.3, "comments": 1.4}
 
 
 def metric_ranks(
-    posts: DataFrame, *, account: str = "account", seq: str = "seq", hot: list | None = None
+    posts: DataFrame, *, account: str = "account", seq: str = "seq"
 ) -> DataFrame:
     """Four unique ranks per account. Ties follow the manifest order (likes, first seen)."""
     standing = [F.desc("likes"), F.asc(seq)]
     ranks = {"likes_rank": standing}
     for metric in METRICS[1:]:
         ranks[f"{metric}_rank"] = [F.desc(metric), *standing]
-    return rank_by(posts, [account], ranks, hot=hot)
+    return rank_by(posts, [account], ranks)
 
 
 def prominence(ranked: DataFrame) -> DataFrame:
@@ -36,14 +36,13 @@ def prominence(ranked: DataFrame) -> DataFrame:
 
 
 def nonzero_median(
-    posts: DataFrame, metrics=METRICS[1:], *, account: str = "account", hot: list | None = None
+    posts: DataFrame, metrics=METRICS[1:], *, account: str = "account"
 ) -> DataFrame:
     """A5: per account, the median over positive values, 0 when there is none."""
     pairs = ", ".join(f"'{m}', {m}" for m in metrics)
     long = posts.selectExpr(account, f"stack({len(metrics)}, {pairs}) as (_metric, _value)")
     found = exact_quantiles(
-        long.withColumn("_value", F.expr("if(_value > 0, _value, null)")), [account, "_metric"], "_value", {"_median": middle},
-        hot=spread_hot(hot, "_metric", metrics),
+        long.withColumn("_value", F.expr("if(_value > 0, _value, null)")), [account, "_metric"], "_value", {"_median": middle}
     )
     return found.groupBy(account).agg(
         *[
@@ -61,17 +60,15 @@ def archetype_top5(
     require_positive: bool = True,
     account: str = "account",
     key: str = "aweme_id",
-    seq: str = "seq",
-    hot: list | None = None,
+    seq: str = "seq"
 ) -> DataFrame:
     """Posts whose collects, shares or comments outrank their likes.
 
     Only posts at or above the account's non-zero median compete; order is prominence weighted by
     how far the metric exceeds that median.
     """
-    hot = hot_groups(posts, [account]) if hot is None else hot
-    ranked = prominence(metric_ranks(posts, account=account, seq=seq, hot=hot))
-    medians = nonzero_median(posts, tuple(prominence_min), account=account, hot=hot)
+    ranked = prominence(metric_ranks(posts, account=account, seq=seq))
+    medians = nonzero_median(posts, tuple(prominence_min), account=account)
     parts = ", ".join(
         f"'{m}', {m}, {m}_prominence, {m}_nzmed, cast({t} as double)" for m, t in prominence_min.items()
     )

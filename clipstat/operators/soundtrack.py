@@ -84,14 +84,17 @@ def status_counts(gated: DataFrame, *, account: str = "account") -> DataFrame:
 
 
 def group_engagement(gated: DataFrame, *, account: str = "account") -> DataFrame:
-    """Engagement by level, mood and vocal: one pass with grouping sets."""
+    """Engagement by level, mood and vocal: grouping sets over the sums of each combination."""
     rows = gated.filter("evidence").withColumns(
         {c: F.coalesce(c, F.lit("unknown")) for c in ("bgm_level", "mood", "vocal")}
     )
+    rows = rows.groupBy(account, "bgm_level", "mood", "vocal").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m in ("likes", "collects", "shares")]
+    )
     sets = [[F.col(account), F.col(c)] for c in ("bgm_level", "mood", "vocal")]
     agg = rows.groupingSets(sets, account, "bgm_level", "mood", "vocal").agg(
         F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("n"),
+        F.sum("_n").alias("n"),
         *[F.sum(m).alias(f"_{m}") for m in ("likes", "collects", "shares")],
     )
     dimension = F.when(F.col("_set") == 3, "by_level").when(F.col("_set") == 5, "by_mood").otherwise("by_vocal")
@@ -169,7 +172,7 @@ def cross_header(gated: DataFrame, posts: DataFrame, *, account: str = "account"
 
 def window_pieces(
     blocks: DataFrame, windows: DataFrame, *, account: str = "account", key: str = "aweme_id",
-    block_samples: int, rate: int = A.RATE, hot: list | None = None,
+    block_samples: int, rate: int = A.RATE
 ) -> DataFrame:
     """The parts of fixed-size audio blocks inside the windows, with their place in the
     concatenated non-speech audio.
@@ -188,7 +191,7 @@ def window_pieces(
     bounds = bounds.join(length, [account, key]).withColumn("hi", F.least("hi", "_all")).filter("hi > lo")
     placed = ordered(
         bounds.withColumn("_len", F.col("hi") - F.col("lo")), [account, key], [F.asc("lo")],
-        running_sum={"_upto": "_len"}, hot=hot,
+        running_sum={"_upto": "_len"}
     ).withColumn("base", F.col("_upto") - F.col("_len"))
     spread = placed.withColumn(
         "block_no",
@@ -246,38 +249,30 @@ def reblock(
 
 
 def audio_block_sums(
-    cells: DataFrame, size: int = 16384, fft_blocks: int = 60, *, account: str = "account",
-    key: str = "aweme_id",
+    cells: DataFrame, size: int = 16384, *, account: str = "account", key: str = "aweme_id"
 ) -> DataFrame:
-    """V6 + V7 per block: RMS frame sums and low-frequency sums; blocks are independent."""
+    """V6 + V7 per block: RMS frame sums and low-frequency sums of all audio; blocks are independent."""
     if size % A.FFT_SIZE:
         raise ValueError("the block size must be a multiple of the FFT size")
-    last_fft = min(fft_blocks * A.FFT_SIZE, A.RATE * 30)
     keys = cells.select(account, key).schema.fields
     ship_package(cells.sparkSession)
 
+    def samples(pcm: bytes | None) -> np.ndarray:
+        return np.frombuffer(pcm or b"", dtype="<i2").astype(np.float32) / 32768.0
+
+    def sums(cell: int, pcm: bytes, tail: bytes | None) -> tuple:
+        body = samples(pcm)
+        wide = np.concatenate((body, samples(tail)))
+        # Frames start on hops of the whole audio; those that start in this block are its own.
+        skip = -int(cell) * size % A.HOP_SAMPLES
+        room = min(len(body) - 1, len(wide) - A.FRAME_SAMPLES) - skip
+        frames = A.energy_sums(wide[skip:], room // A.HOP_SAMPLES + 1) if room >= 0 else (0, 0.0, 0.0, 0)
+        return (len(body), *frames, *A.spectrum_sums(body))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for cell, pcm, tail in zip(pdf["cell"], pdf["pcm"], pdf["next_pcm"]):
-                body = np.frombuffer(pcm, dtype="<i2").astype(np.float32) / 32768.0
-                more = np.frombuffer(tail, dtype="<i2").astype(np.float32) / 32768.0 if tail else body[:0]
-                wide = np.concatenate((body, more))
-                first = int(cell) * size
-                skip = -first % A.HOP_SAMPLES
-                room = min(len(body) - 1, len(wide) - A.FRAME_SAMPLES) - skip
-                starts = room // A.HOP_SAMPLES + 1 if room >= 0 else 0
-                sums = A.energy_sums(wide[skip:], starts) if starts > 0 else (0, 0.0, 0.0, 0)
-                low = total = 0.0
-                for at in range(0, len(body), A.FFT_SIZE):
-                    if first + at >= last_fft:
-                        break
-                    part = A.spectrum_sums(body[at : min(at + A.FFT_SIZE, last_fft - first)])
-                    low, total = low + part[0], total + part[1]
-                rows.append((len(body), *sums, low, total))
-            out = pd.DataFrame(
-                rows, columns=["samples", "frames", "rms_sum", "square_sum", "silent", "low", "total"]
-            )
+            rows = [sums(*row) for row in zip(pdf["cell"], pdf["pcm"], pdf["next_pcm"])]
+            out = pd.DataFrame(rows, columns=["samples", "frames", "rms_sum", "square_sum", "silent", "low", "total"])
             yield pd.concat([pdf[[account, key, "cell"]].reset_index(drop=True), out], axis=1)
 
     head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keys)

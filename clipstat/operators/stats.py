@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
-from clipstat.skew import exact_quantiles, middle, nearest_rank, spread_hot, upper_middle
+from clipstat.skew import exact_quantiles, middle, nearest_rank, upper_middle
 
 METRICS = ("likes", "comments", "collects", "shares")
 
@@ -37,30 +37,29 @@ def engagement_rates(totals: DataFrame) -> DataFrame:
 
 
 def nearest_rank_percentile(
-    posts: DataFrame, percents=(50, 90), *, value: str = "likes", account: str = "account",
-    hot: list | None = None,
+    posts: DataFrame, percents=(50, 90), *, value: str = "likes", account: str = "account"
 ) -> DataFrame:
     """A3."""
     picks = {f"p{p}": nearest_rank(p) for p in percents}
-    return exact_quantiles(posts, [account], value, picks, hot=hot)
+    return exact_quantiles(posts, [account], value, picks)
 
 
 def medians(
-    posts: DataFrame, *, value: str = "likes", account: str = "account", hot: list | None = None
+    posts: DataFrame, *, value: str = "likes", account: str = "account"
 ) -> DataFrame:
     """A4 and A6 side by side: the usual median and the upper middle value."""
     return exact_quantiles(
-        posts, [account], value, {"median": middle, "upper_median": upper_middle}, hot=hot
+        posts, [account], value, {"median": middle, "upper_median": upper_middle}
     )
 
 
-def ratio_medians(posts: DataFrame, *, account: str = "account", hot: list | None = None) -> DataFrame:
+def ratio_medians(posts: DataFrame, *, account: str = "account") -> DataFrame:
     """Median collects, shares and comments per like over posts with likes."""
     names = ("collects", "shares", "comments")
     pairs = ", ".join(f"'{m}', if(likes > 0, cast({m} as double) / cast(likes as double), null)" for m in names)
     long = posts.selectExpr(account, f"stack({len(names)}, {pairs}) as (_metric, _value)")
     found = exact_quantiles(
-        long, [account, "_metric"], "_value", {"_median": middle}, hot=spread_hot(hot, "_metric", names),
+        long, [account, "_metric"], "_value", {"_median": middle},
         repeats=False,
     )
     wide = found.groupBy(account).agg(

@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.operators.topics import comment_theme_counts
-from clipstat.skew import ordered
+from clipstat.skew import down, ordered
 
 TIERS = ("head", "middle", "tail")
 
 
 def performance_tiers(
-    posts: DataFrame, *, account: str = "account", seq: str = "seq", hot: list | None = None
+    posts: DataFrame, *, account: str = "account", seq: str = "seq"
 ) -> DataFrame:
     """G1: thirds of an account's posts by likes; a remainder goes to the better tiers."""
-    placed = ordered(posts, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
+    placed = ordered(posts, [account], [F.desc("likes"), F.asc(seq)], slice_by=down("likes"), rank="_place", size="_n")
     i, n = F.col("_place") - 1, F.col("_n")
     big = F.floor(n / 3) + 1
     extra = n % 3

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
 from clipstat.operators.frames import LABELS
-from clipstat.skew import mode_of, ordered
+from clipstat.skew import down, mode_of, ordered
 
 DIMENSIONS = ("visual_style", "temperature", "composition", "scene")
 
@@ -134,14 +134,14 @@ def product_exposure(matched: DataFrame, *, account: str = "account") -> DataFra
 
 def top_vs_rest_visual(
     matched: DataFrame, top_share: float = 0.2, min_group: int = 5, *, account: str = "account",
-    seq: str = "post_seq", hot: list | None = None,
+    seq: str = "post_seq"
 ) -> DataFrame:
     """Most frequent value and its share among the best-liked posts and the others.
 
     Shown only when both groups have at least ``min_group`` posts. Unknown values do not compete
     for the mode; shares are over the whole group.
     """
-    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
+    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], slice_by=down("likes"), rank="_place", size="_n")
     top_n = F.greatest(F.lit(5), F.ceil(F.col("_n") * F.lit(top_share)))
     tiered = placed.withColumn("_top", top_n).filter(
         (F.least(F.col("_top"), F.col("_n")) >= min_group) & (F.col("_n") - F.col("_top") >= min_group)
@@ -165,10 +165,10 @@ def top_vs_rest_visual(
 
 def top_vs_rest_product(
     matched: DataFrame, top_share: float = 0.2, min_group: int = 5, *, account: str = "account",
-    seq: str = "post_seq", hot: list | None = None,
+    seq: str = "post_seq"
 ) -> DataFrame:
     """Product candidates among the best-liked posts and the others."""
-    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], rank="_place", size="_n", hot=hot)
+    placed = ordered(matched, [account], [F.desc("likes"), F.asc(seq)], slice_by=down("likes"), rank="_place", size="_n")
     top_n = F.greatest(F.lit(5), F.ceil(F.col("_n") * F.lit(top_share)))
     tiered = placed.withColumn("_top", top_n).filter(
         (F.least(F.col("_top"), F.col("_n")) >= min_group) & (F.col("_n") - F.col("_top") >= min_group)

@@ -15,6 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
+FACTS = "orders lineitem events documents embeddings pages conversations".split()
 
 
 def _account(key: str) -> str:
@@ -252,11 +253,10 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         """A given table. The test files hold one row group each, which one task would read and
-        process alone; only a file with fewer splits than cores is spread over them by its key."""
+        process alone; a fact table with fewer splits than cores is spread over them by its key."""
         rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        large = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > 1 << 20
-        if large and rows.rdd.getNumPartitions() < cores:
+        if name in FACTS and rows.rdd.getNumPartitions() < cores:
             return rows.repartition(cores, rows.columns[0])
         return rows
 

@@ -1,10 +1,11 @@
-"""Order-dependent columns and exact quantiles that hold when one group has most of the rows.
-
-A window over ``account`` sorts a whole account in one task. That is the best plan for accounts of
-ordinary size and a bad one for an account with a third of the table. ``ordered`` counts the groups
-first (one narrow, map-side combined aggregate); groups within the limit go through plain windows,
-larger ones are range-partitioned on their full sort key into slices, numbered inside each slice,
-and stitched together with one small row of carry-over per slice. Both ways give the same values.
+"""Order-dependent columns and exact quantiles in one plan for groups of any size.
+
+Nothing is counted beforehand and nothing comes to the driver. A window over ``account`` sorts an
+account in one task; where the leading sort key allows it, ``ordered`` takes ``slice_by``, a number that
+never falls along the order, and sorts slices of a group instead. Slices are numbered by a small
+aggregate per slice whose running values are joined back, so a group with most of the rows spreads over
+as many tasks as its slices. ``up`` and ``down`` make such numbers from a numeric key: sixteen per doubling of its size,
+which needs no look at the data and gives every run the same slices.
 """
 
 from __future__ import annotations
@@ -14,33 +15,24 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.session import ready_checkpoints
-
-HOT_ROWS = 2_000_000
-HOT_ROWS_CONF = "clipstat.hotGroupRows"
-
 _SLICE = "_slice"
 _POS = "_pos"
+_NULL_SLICE = 1 << 20
 
 
-def hot_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-
+def _magnitude(value: str) -> Column:
+    c = F.col(value).cast("double")
+    return (F.signum(c) * F.floor(F.log2(F.abs(c) + 1) * 16)).cast("int")
 
-def hot_groups(df: DataFrame, group: Sequence[str], limit: int | None = None) -> list[dict]:
-    """Groups above ``limit`` rows. At most ``rows / limit`` come back, so the list stays small.
 
-    A caller looks once, on the table it starts from, and hands the list down: derived tables have
-    no more rows per group, and a group listed in vain only takes the sliced way to the same result.
-    """
-    limit = hot_limit(df) if limit is None else limit
-    found = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    return [row.asDict() for row in found.collect()]
+def up(value: str) -> Column:
+    """Slices along an ascending numeric key, nulls first."""
+    return F.coalesce(_magnitude(value), F.lit(-_NULL_SLICE))
 
 
-def spread_hot(hot: list[dict] | None, name: str, values: Sequence[str]) -> list[dict] | None:
-    """The same groups once per value of a further grouping column."""
-    return None if hot is None else [{**h, name: value} for h in hot for value in values]
+def down(value: str) -> Column:
+    """Slices along a descending numeric key, nulls last."""
+    return F.coalesce(-_magnitude(value), F.lit(_NULL_SLICE))
 
 
 def ordered(
@@ -48,22 +40,20 @@ def ordered(
     group: Sequence[str],
     order: Sequence[Column],
     *,
+    slice_by: Column | None = None,
     rank: str | None = None,
     size: str | None = None,
     previous: Mapping[str, str] | None = None,
     running_max: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
     total: Mapping[str, str] | None = None,
-    limit: int | None = None,
-    hot: list | None = None,
 ) -> DataFrame:
     """Add columns that depend on the order of rows inside a group.
 
     ``rank`` is ``row_number``, ``size`` the group's row count, ``previous`` maps a new column to
     the column whose value on the preceding row it takes, ``running_max`` is the maximum over all
     *preceding* rows, ``running_sum`` the sum up to and including the row and ``total`` the sum
-    over the group. ``order`` must end in a key that is unique inside the group. ``hot`` passes on
-    the large groups when the caller has already looked for them.
+    over the group. ``order`` must end in a key that is unique inside the group.
     """
     asked = dict(
         rank=rank,
@@ -73,61 +63,15 @@ def ordered(
         running_sum=dict(running_sum or {}),
         total=dict(total or {}),
     )
-    group = list(group)
-    limit = hot_limit(df) if limit is None else limit
-    hot = hot_groups(df, group, limit) if hot is None else hot
-    if not hot:
-        return _by_window(df, group, order, **asked)
-    keys = F.broadcast(_hot_table(df, group, hot))
-    same = _same_group(group)
-    cold_part = df.alias("l").join(keys.alias("r"), same, "left_anti")
-    hot_part = df.alias("l").join(keys.alias("r"), same, "left_semi")
-    slices = 1 + 2 * (sum(r["_rows"] for r in hot) // limit)
-    stitched = _by_slice(hot_part, group, order, slices, **asked)
-    plain = _by_window(cold_part, group, order, **asked)
-    return plain.unionByName(stitched.select(*plain.columns))
-
-
-def rank_by(
-    df: DataFrame,
-    group: Sequence[str],
-    ranks: Mapping[str, Sequence[Column]],
-    limit: int | None = None,
-    hot: list | None = None,
-) -> DataFrame:
-    """Several ``row_number`` columns over one grouping, sharing one exchange and one size check."""
-    group = list(group)
-    limit = hot_limit(df) if limit is None else limit
-    hot = hot_groups(df, group, limit) if hot is None else hot
-
-    def plain(part: DataFrame) -> DataFrame:
-        spec = Window.partitionBy(*group)
-        return part.select(
-            "*", *[F.row_number().over(spec.orderBy(*o)).alias(n) for n, o in ranks.items()]
-        )
-
-    if not hot:
-        return plain(df)
-    keys = F.broadcast(_hot_table(df, group, hot))
-    same = _same_group(group)
-    out = plain(df.alias("l").join(keys.alias("r"), same, "left_anti"))
-    part = df.alias("l").join(keys.alias("r"), same, "left_semi")
-    slices = 1 + 2 * (sum(r["_rows"] for r in hot) // limit)
-    for name, order in ranks.items():
-        part = _by_slice(part, group, order, slices, rank=name)
-    return out.unionByName(part.select(*out.columns))
+    if slice_by is None:
+        return _by_window(df, list(group), order, **asked)
+    return _by_slice(df, list(group), order, slice_by, **asked)
 
 
-def _hot_table(df: DataFrame, group: list[str], hot: list) -> DataFrame:
-    schema = df.select(*group).schema
-    return df.sparkSession.createDataFrame([tuple(r[g] for g in group) for r in hot], schema)
-
-
-def _same_group(group: list[str]) -> Column:
-    same = F.lit(True)
-    for name in group:
-        same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
-    return same
+def rank_by(df: DataFrame, group: Sequence[str], ranks: Mapping[str, Sequence[Column]]) -> DataFrame:
+    """Several ``row_number`` columns over one grouping, sharing one exchange."""
+    spec = Window.partitionBy(*group)
+    return df.select("*", *[F.row_number().over(spec.orderBy(*o)).alias(n) for n, o in ranks.items()])
 
 
 def _by_window(df, group, order, rank, size, previous, running_max, running_sum, total):
@@ -147,29 +91,13 @@ def _by_window(df, group, order, rank, size, previous, running_max, running_sum,
     return df.select("*", *cols)
 
 
-def _by_slice(
-    df,
-    group,
-    order,
-    slices,
-    rank=None,
-    size=None,
-    previous=None,
-    running_max=None,
-    running_sum=None,
-    total=None,
-):
-    previous, running_max = previous or {}, running_max or {}
-    running_sum, total = running_sum or {}, total or {}
-    ready_checkpoints(df.sparkSession)
-    # The range bounds come from a sample, so the slicing is written once and both readers below
-    # see the same slices, also after a lost executor.
-    sliced = (
-        df.repartitionByRange(slices, *[F.col(g) for g in group], *order)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .checkpoint(eager=True)
+def _by_slice(df, group, order, slice_by, rank, size, previous, running_max, running_sum, total):
+    # Group keys without nulls, so that windows, sums and the join share one partitioning.
+    keys = [f"_g{k}" for k in range(len(group))]
+    sliced = df.select(
+        "*", *[F.coalesce(F.col(g).cast("string"), F.lit("\0")).alias(k) for g, k in zip(group, keys)], slice_by.alias(_SLICE)
     )
-    whole = Window.partitionBy(*group, _SLICE)
+    whole = Window.partitionBy(*keys, _SLICE)
     spec = whole.orderBy(*order)
     before = spec.rowsBetween(Window.unboundedPreceding, -1)
     upto = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -183,50 +111,35 @@ def _by_slice(
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.max(c).alias(f"m_{n}") for n, c in running_max.items()]
     aggs += [F.sum(c).alias(k) for k, c in sums.items()]
-    summary = sliced.groupBy(*group, _SLICE).agg(*aggs)
+    summary = sliced.groupBy(*keys, _SLICE).agg(*aggs)
     if previous:
-        tail = (
-            rows.groupBy(*group, _SLICE)
-            .agg(F.max_by(F.struct(*sorted(set(previous.values()))), _POS).alias("_tail"))
-        )
-        summary = summary.join(tail, [*group, _SLICE])
-    by_slice = Window.partitionBy(*group).orderBy(_SLICE)
+        tail = rows.groupBy(*keys, _SLICE).agg(F.max_by(F.struct(*sorted(set(previous.values()))), _POS).alias("_tail"))
+        summary = summary.join(tail, [*keys, _SLICE])
+    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    over_all = Window.partitionBy(*group)
-    carry_cols = [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")]
+    over_all = Window.partitionBy(*keys)
+    carry = [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")]
     if size:
-        carry_cols.append(F.sum("_n").over(over_all).alias(size))
+        carry.append(F.sum("_n").over(over_all).alias(f"_size_{size}"))
     if previous:
-        carry_cols.append(F.lag("_tail").over(by_slice).alias("_tail_before"))
-    carry_cols += [F.max(f"m_{n}").over(earlier).alias(f"_cmax_{n}") for n in running_max]
-    carry_cols += [F.sum(f"s_{n}").over(earlier).alias(f"_csum_{n}") for n in running_sum]
-    carry_cols += [F.sum(f"t_{n}").over(over_all).alias(n) for n in total]
-    carry = summary.select(*group, _SLICE, *carry_cols)
-    # One row per slice and hot group: bounded by the slice count, whatever the data size.
-    joined = rows.alias("l").join(
-        F.broadcast(carry).alias("r"),
-        _same_group(group) & (F.col(f"l.{_SLICE}") == F.col(f"r.{_SLICE}")),
-    )
-    out = [F.col(f"l.{c}").alias(c) for c in df.columns]
+        carry.append(F.lag("_tail").over(by_slice).alias("_tail_before"))
+    carry += [F.max(f"m_{n}").over(earlier).alias(f"_cmax_{n}") for n in running_max]
+    carry += [F.sum(f"s_{n}").over(earlier).alias(f"_csum_{n}") for n in running_sum]
+    carry += [F.sum(f"t_{n}").over(over_all).alias(f"_all_{n}") for n in total]
+    joined = rows.join(summary.select(*keys, _SLICE, *carry), [*keys, _SLICE])
+    out = [F.col(c) for c in df.columns]
     if rank:
         out.append((F.col(_POS) + F.col("_before")).cast("int").alias(rank))
     if size:
-        out.append(F.col(size))
+        out.append(F.col(f"_size_{size}").alias(size))
     for name, source in previous.items():
-        out.append(
-            F.when(F.col(_POS) == 1, F.col(f"_tail_before.{source}"))
-            .otherwise(F.col(f"_lag_{name}"))
-            .alias(name)
-        )
+        carried = F.col("_tail_before")[source]
+        out.append(F.when(F.col(_POS) == 1, carried).otherwise(F.col(f"_lag_{name}")).alias(name))
     out += [F.greatest(f"_max_{n}", f"_cmax_{n}").alias(n) for n in running_max]
     for name in running_sum:
         here, carried = F.col(f"_sum_{name}"), F.col(f"_csum_{name}")
-        out.append(
-            F.when(here.isNull(), carried)
-            .otherwise(here + F.coalesce(carried, F.lit(0)))
-            .alias(name)
-        )
-    out += [F.col(n) for n in total]
+        out.append(F.when(here.isNull(), carried).otherwise(here + F.coalesce(carried, F.lit(0))).alias(name))
+    out += [F.col(f"_all_{n}").alias(n) for n in total]
     return joined.select(*out)
 
 
@@ -235,8 +148,6 @@ def exact_quantiles(
     group: Sequence[str],
     value: str,
     picks: Mapping[str, Callable[[Column], Sequence[Column]]],
-    limit: int | None = None,
-    hot: list | None = None,
     repeats: bool = True,
 ) -> DataFrame:
     """Exact order statistics from a value histogram.
@@ -253,8 +164,7 @@ def exact_quantiles(
     else:
         hist = rows.withColumn("_n", F.when(F.col(value).isNull(), 0).otherwise(1).cast("bigint"))
     cum = ordered(
-        hist, group, [F.col(value).asc()], running_sum={"_upto": "_n"}, total={"_all": "_n"},
-        limit=limit, hot=hot,
+        hist, group, [F.col(value).asc()], running_sum={"_upto": "_n"}, total={"_all": "_n"}
     )
     aggs = []
     for name, positions in picks.items():

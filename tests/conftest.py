@@ -8,11 +8,3 @@ def spark():
     session = local_session(8, partitions=4)
     yield session
     session.stop()
-
-
-@pytest.fixture
-def small_groups(spark):
-    """Treat groups above a handful of rows as large, so the sliced way runs."""
-    spark.conf.set("clipstat.hotGroupRows", "7")
-    yield
-    spark.conf.unset("clipstat.hotGroupRows")
