@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.llm.common import WordHashes, arrow_map, byte_texts, hold, lists, mixed, seeds, texts_of
@@ -164,6 +164,14 @@ def _still_split(rows: DataFrame) -> DataFrame:
     return rows.join(whole.filter("outside > 0"), "key")
 
 
+def _still_split_small(rows: DataFrame) -> DataFrame:
+    """The same for small buckets, in one pass over each."""
+    of_key = Window.partitionBy("key")
+    sized = rows.withColumn("_n", F.count("*").over(Window.partitionBy("key", "c")))
+    sized = sized.withColumn("_main", F.max(F.struct("_n", "c")).over(of_key)).withColumn("_all", F.count("*").over(of_key))
+    return sized.filter(F.col("_all") > F.col("_main._n")).select(*rows.columns, F.col("_main.c").alias("main"))
+
+
 def _with_outsiders(rows: DataFrame) -> DataFrame:
     """Pairs of each member outside the largest component with all members of other components."""
     ours = rows.filter("c <> main").select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "d", "c")])
@@ -204,7 +212,7 @@ def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     tagged = member.withColumnRenamed("band", "key").join(components(edges), "node", "left")
     tagged = tagged.select("key", "node", "n", "d", F.coalesce("component", "node").alias("c"))
     split = hold(_still_split(tagged), "split")
-    crowded = _still_split(_by_two_bands(split.filter(F.col("outside") > CROWD)))
+    crowded = _still_split_small(_by_two_bands(split.filter(F.col("outside") > CROWD)))
     pairs = _with_outsiders(split.filter(F.col("outside") <= CROWD)).unionByName(_with_outsiders(crowded)).distinct()
     more = hold(_verified(pairs, sets).filter(_linked()).select("a", "b"), "links")
     return edges.unionByName(more)
