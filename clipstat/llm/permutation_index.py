@@ -45,8 +45,9 @@ class Shard:
         self.ids, self.vectors, self.pivots = ids, vectors, pivots
         self.prefix, self.posts = min(PREFIX, len(pivots)), min(POSTS, len(pivots))
         order = self.nearest(vectors)
-        place = np.full((len(ids), len(pivots)), self.prefix, np.uint8)
-        np.put_along_axis(place, order, np.broadcast_to(np.arange(self.prefix, dtype=np.uint8), order.shape), 1)
+        # Footrules stay below 2**15: at most PREFIX * PREFIX.
+        place = np.full((len(ids), len(pivots)), self.prefix, np.int16)
+        np.put_along_axis(place, order, np.broadcast_to(np.arange(self.prefix, dtype=np.int16), order.shape), 1)
         self.place = np.ascontiguousarray(place.T)
         posted = order[:, : self.posts].ravel()
         by_pivot = np.argsort(posted, kind="stable")
@@ -63,8 +64,9 @@ class Shard:
         found = np.zeros(len(self.ids), bool)
         for pivot in order[: self.posts]:
             found[self.entries[self.bounds[pivot] : self.bounds[pivot + 1]]] = True
-        theirs, own = self.place[order], np.arange(self.prefix, dtype=np.uint8)[:, None]
-        footrule = (np.maximum(theirs, own) - np.minimum(theirs, own)).sum(0, dtype=np.int64)
+        apart = self.place[order]
+        apart -= np.arange(self.prefix, dtype=np.int16)[:, None]
+        footrule = np.abs(apart, out=apart).sum(0, dtype=np.int16)
         rows = np.flatnonzero(found)
         if len(rows) < k:
             rows = np.arange(len(self.ids))
