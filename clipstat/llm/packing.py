@@ -24,8 +24,8 @@ from clipstat.session import ship_package
 
 CAPACITY = 1024
 END_ID = 2
-#: Ranks of one length are counted in so many parts.
-SALTS = 256
+#: Ranks of one length are counted in so many parts; whole sequences, the most frequent length, in more.
+SALTS, WHOLE_SALTS = 64, 4096
 
 Run = tuple[int, int, int, int, int]
 
@@ -141,8 +141,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     runs = np.array(sorted(plan(counts, capacity)) or np.zeros((0, 5)), np.int64)
     key = (runs[:, 0] << 44) + runs[:, 1]
 
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)))
-    # At most capacity * SALTS rows.
+    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.when(F.col("length") == capacity, WHOLE_SALTS).otherwise(SALTS)))
+    # At most capacity * SALTS + WHOLE_SALTS rows.
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
