@@ -241,14 +241,10 @@ def completed_runs_only(
 
 def order_by_targets(
     posts: DataFrame, targets: DataFrame, *, account: str = "account", key: str = "aweme_id",
-    ids: str = "ids",
+    pos: str = "pos",
 ) -> DataFrame:
-    """Requested posts only, ``pos`` keeps the requested order (first mention wins)."""
-    asked = (
-        targets.select(account, F.posexplode(ids).alias("pos", key))
-        .groupBy(account, key)
-        .agg(F.min("pos").alias("pos"))
-    )
+    """Requested posts only; ``targets`` has a row per request with its place (first mention wins)."""
+    asked = targets.groupBy(account, key).agg(F.min(pos).alias(pos))
     return posts.join(asked, [account, key])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.skew import ordered
@@ -79,45 +79,26 @@ def non_speech_windows(
 
 
 def in_intervals(
-    points: DataFrame, islands: DataFrame, at: str, *, bin_seconds: float = 60.0,
-    account: str = "account", key: str = "aweme_id", flag: str = "inside",
+    points: DataFrame, islands: DataFrame, at: str, *, account: str = "account", key: str = "aweme_id",
+    flag: str = "inside",
 ) -> DataFrame:
-    """Flag rows whose time lies in one of the post's disjoint intervals, ends included.
+    """Flag rows whose time lies in one of the post's intervals, ends included.
 
-    Points and intervals meet in time bins of a post, so a long post spreads over many tasks and no
-    point is compared with all intervals. Intervals are cut to the span of the post's points first,
-    which bounds the number of bins.
+    Points and interval starts are swept together in time order: a point is inside when the latest
+    end seen so far is not before it. A point without a time is in no interval.
     """
-    span = points.filter(F.col(at).isNotNull()).groupBy(account, key).agg(
-        F.min(at).alias("_lo"), F.max(at).alias("_hi")
-    )
-    cut = islands.select(account, key, F.col("start").alias("_s"), F.col("end").alias("_e")).join(
-        span, [account, key]
-    ).select(
-        account, key, F.greatest("_s", "_lo").alias("_s"), F.least("_e", "_hi").alias("_e")
-    ).filter("_s <= _e")
-
-    def cell(c):
-        return F.floor(F.col(c) / bin_seconds).cast("bigint")
-
-    ranges = cut.withColumn("_bin", F.explode(F.sequence(cell("_s"), cell("_e"))))
-    # Several pieces may share a bin; they are few because intervals are disjoint, and stay sorted.
-    packed = ranges.groupBy(account, key, "_bin").agg(
-        F.collect_list(F.struct("_s", "_e")).alias("_ranges")
-    )
-    rows = points.withColumn("_bin", cell(at))
-    inside = F.exists("_ranges", lambda r: (r["_s"] <= F.col(at)) & (F.col(at) <= r["_e"]))
-    return rows.join(packed, [account, key, "_bin"], "left").withColumn(
-        flag, F.coalesce(inside, F.lit(False))
-    ).drop("_bin", "_ranges")
+    seen = points.select(account, key, F.col(at).cast("double").alias("_t"), F.lit(1).alias("_k"), F.lit(None).cast("double").alias("_e"), F.struct("*").alias("_row"))
+    opened = islands.select(account, key, F.col("start").cast("double").alias("_t"), F.lit(0).alias("_k"), F.col("end").cast("double").alias("_e"))
+    order = Window.partitionBy(account, key).orderBy("_t", "_k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = seen.unionByName(opened, allowMissingColumns=True).withColumn("_reach", F.max("_e").over(order))
+    inside = F.coalesce(F.col("_reach") >= F.col("_t"), F.lit(False))
+    return swept.filter("_k = 1").select("_row.*", inside.alias(flag))
 
 
 def frames_in_intervals(frames: DataFrame, islands: DataFrame, *, account: str = "account",
-                        key: str = "aweme_id", at: str = "timestamp", bin_seconds: float = 60.0) -> DataFrame:
+                        key: str = "aweme_id", at: str = "timestamp") -> DataFrame:
     """J6 as a filter."""
-    return in_intervals(frames, islands, at, bin_seconds=bin_seconds, account=account, key=key).filter(
-        "inside"
-    ).drop("inside")
+    return in_intervals(frames, islands, at, account=account, key=key).filter("inside").drop("inside")
 
 
 def review_intervals(

@@ -58,15 +58,19 @@ def archetype_top5(
     prominence_min: Mapping[str, float] = PROMINENCE_MIN,
     *,
     require_positive: bool = True,
+    comment_count: str = "comments",
     account: str = "account",
     key: str = "aweme_id",
     seq: str = "seq"
 ) -> DataFrame:
     """Posts whose collects, shares or comments outrank their likes.
 
+    ``comment_count`` names the count that stands for comments: the platform's or the captured one.
     Only posts at or above the account's non-zero median compete; order is prominence weighted by
     how far the metric exceeds that median.
     """
+    if comment_count != "comments":
+        posts = posts.withColumn("comments", F.col(comment_count))
     ranked = prominence(metric_ranks(posts, account=account, seq=seq))
     medians = nonzero_median(posts, tuple(prominence_min), account=account)
     parts = ", ".join(

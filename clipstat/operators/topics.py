@@ -135,10 +135,16 @@ def friction_samples(
 
 
 def hashtag_stats(
-    profiles: DataFrame, k: int | None = 15, *, account: str = "account", body: str = "transcript"
+    profiles: DataFrame, k: int | None = 15, *, account: str = "account", body: str = "transcript",
+    fallback: str | None = None,
 ) -> DataFrame:
-    """Tags, distinct per post, with count and mean likes; ties go to the smaller tag."""
-    text = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce(F.col(body), F.lit("")))
+    """Tags, distinct per post, with count and mean likes; ties go to the smaller tag.
+
+    ``fallback`` names the text (a description) that counts where the body is null or empty.
+    """
+    said = F.when(F.col(body) != "", F.col(body))
+    said = F.coalesce(said, F.col(fallback) if fallback else F.lit(None), F.lit(""))
+    text = F.concat_ws("\n", F.coalesce("title", F.lit("")), said)
     tags = profiles.select(account, "likes", F.explode(C.hashtags(text)).alias("tag"))
     stats = tags.groupBy(account, "tag").agg(F.count(F.lit(1)).alias("n"), F.sum("likes").alias("_likes"))
     out = stats.withColumn("mean_likes", F.bround(F.col("_likes").cast("double") / F.col("n")).cast("bigint"))
@@ -150,12 +156,23 @@ def hashtag_stats(
 
 
 def join_segments(
-    segments: DataFrame, *, account: str = "account", key: str = "aweme_id", seq: str = "seq"
+    segments: DataFrame, texts: DataFrame | None = None, *, account: str = "account", key: str = "aweme_id",
+    seq: str = "seq", text: str = "text",
 ) -> DataFrame:
-    """A post's stripped segment texts in order, without separator."""
-    item = F.struct("start", seq, C.strip(F.coalesce("text", F.lit(""))).alias("text"))
-    return segments.groupBy(account, key).agg(
+    """A post's stripped segment texts in list order, without separator.
+
+    ``texts`` (one row per post) holds the whole texts that stand in for posts without segments or
+    with nothing in them. The result is one string per post by definition, as long as its segments.
+    """
+    item = F.struct(seq, C.strip(F.coalesce("text", F.lit(""))).alias("text"))
+    joined = segments.groupBy(account, key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["text"]), "").alias("transcript")
     )
+    if texts is None:
+        return joined
+    whole = texts.select(account, key, C.strip(F.coalesce(text, F.lit(""))).alias("_whole"))
+    both = joined.join(whole, [account, key], "full_outer")
+    said = F.coalesce(F.when(F.col("transcript") != "", F.col("transcript")), F.col("_whole"), F.lit(""))
+    return both.select(account, key, said.alias("transcript"))
 
 

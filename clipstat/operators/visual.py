@@ -61,6 +61,8 @@ def visual_summary(
     )
     if "ocr_status" in frames.columns:
         out = out.withColumn("ocr_status", F.when(F.col("_ocr") > 0, "ok").otherwise("unavailable"))
+    others = [F.col(c) for c in out.columns if c.startswith("_x_")]
+    out = out.withColumn("unlisted_labels", sum(others, F.lit(0)).cast("bigint"))
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
@@ -76,7 +78,7 @@ def _most(name: str, values: Sequence[str]) -> Column:
         for i, value in enumerate(values)
     ]
     best = F.array_min(F.array_compact(F.array(*options)))["value"]
-    return F.when(F.col(f"_x_{name}") > 0, F.raise_error(F.lit(f"unlisted label in {name}"))).otherwise(best)
+    return best
 
 
 def _ocr_usable():

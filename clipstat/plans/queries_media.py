@@ -79,7 +79,7 @@ WITH {SPEECH_SQL} SELECT p.account, p.aweme_id, p.seq, p.start AS t FROM segment
 def _(v):
     points = v("segments").select(*GROUP, "seq", F.col("start").alias("t"), (F.col("start") + 20).alias("timestamp"))
     islands = iv.speech_islands(v("segments"), v("durations"))
-    return iv.frames_in_intervals(points, islands, bin_seconds=3600.0).select(*GROUP, "seq", "t")
+    return iv.frames_in_intervals(points, islands).select(*GROUP, "seq", "t")
 
 
 # ---- soundtrack -------------------------------------------------------------------------------

@@ -194,16 +194,15 @@ def _(v):
     return ingest.hard_limit(unique, 20).select("account", "aweme_id", "first_seq")
 
 
-@query("U1_union_runs", "SELECT account, aweme_id, seq, author_word FROM posts_raw WHERE run_id IN ('r1', 'r2')")
+@query("U1_union_runs", "SELECT account, aweme_id, seq, author_word FROM posts_raw")
 def _(v):
     cols = ["account", "aweme_id", "seq", "author_word"]
     raw = v("posts_raw")
-    return ingest.union_runs(raw.filter("run_id = 'r1'").select(*cols), raw.filter("run_id = 'r2'").select(*cols))
+    return ingest.union_runs(*[raw.filter(F.col("run_id") == f"r{k}").select(*cols) for k in range(10)])
 
 
 @query("J5_order_by_targets", """
-WITH asked AS (SELECT account, unnest(ids) AS aweme_id, generate_subscripts(ids, 1) - 1 AS pos FROM targets)
-SELECT p.account, p.aweme_id, CAST(a.pos AS INTEGER) AS pos, p.likes FROM posts p JOIN asked a ON p.account = a.account AND p.aweme_id = a.aweme_id""")
+SELECT p.account, p.aweme_id, min(a.pos) AS pos, any_value(p.likes) AS likes FROM posts p JOIN targets a ON p.account = a.account AND p.aweme_id = a.aweme_id GROUP BY 1, 2""")
 def _(v):
     return ingest.order_by_targets(v("posts"), v("targets")).select("account", "aweme_id", "pos", "likes")
 
@@ -471,7 +470,7 @@ def _(v):
     return inc.avg_logprob(v("segments"))
 
 
-@query("X3_shared_work_by_url", """
+@query("X1_shared_work_by_url", """
 WITH l AS (SELECT account, aweme_id, regexp_replace(url, '[?#].*', '') AS u FROM links)
 SELECT substr(sha256(u), 1, 24) AS url_key, u AS url, count(*) AS items FROM l WHERE u <> '' GROUP BY 1, 2""")
 def _(v):

@@ -240,40 +240,28 @@ def _(v):
 @query("ST1_stream_posts_latest", """
 SELECT account, aweme_id, max(seq) AS seq, min(seq) AS first_seq FROM posts_raw WHERE aweme_id <> '' GROUP BY 1, 2""")
 def _(v):
-    """Files written in three groups, read by a stream, merged batch by batch."""
-    path, table_path = staged(v, "arrive"), staged(v, "latest")
+    """Files in three groups, in no order of capture, read by a stream; kept in the state store."""
+    path, out = staged(v, "arrive"), staged(v, "latest")
     rows = v("posts_raw").select(*GROUP, "seq", "liked_count")
     rows.withColumn("arrival", F.col("seq") % 3).repartition(3, "arrival").write.partitionBy("arrival").json(path)
-    table = streams.VersionedTable(v.spark, table_path, 8)
     arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(f"{path}/*")
-    run = (
-        arriving.writeStream.foreachBatch(streams.posts_latest_batch(table))
-        .option("checkpointLocation", staged(v, "stream")).trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    return table.read("account string, aweme_id string, seq bigint, liked_count string, first_seq bigint").select(*GROUP, "seq", "first_seq")
+    streams.write_changes(streams.posts_latest(arriving), out, staged(v, "stream")).awaitTermination()
+    return streams.current(v.spark, out, *streams.POST).select(*GROUP, "seq", "first_seq")
 
 
 @query("ST2_stream_comments_topn", f"""
 WITH {KEPT_SQL} SELECT account, aweme_id, comment_id, content, like_count FROM kept WHERE pos <= 3""")
 def _(v):
-    """Comments arrive in three batches, oldest first; the kept ones equal those of one run over all."""
-    path = staged(v, "arrive")
+    """Comments arrive in three batches, the newest first; the kept ones equal those of one run over all."""
+    path, out = staged(v, "arrive"), staged(v, "first")
     rows = v("comments_raw")
     year = F.col("create_time") / 86400 / 365.25
-    cut = rows.withColumn("arrival", F.when(year < 27, 1).when(year < 29, 2).otherwise(3))
+    cut = rows.withColumn("arrival", F.when(year < 27, 3).when(year < 29, 2).otherwise(1))
     for i in (1, 2, 3):
-        cut.filter(F.col("arrival") == i).drop("arrival").repartition(8).write.mode("append").parquet(path)
-    best = streams.VersionedTable(v.spark, staged(v, "best"), 8)
-    keys = streams.VersionedTable(v.spark, staged(v, "keys"), 8)
+        cut.filter(F.col("arrival") == i).drop("arrival").coalesce(8).write.mode("append").parquet(path)
     arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(path)
-    run = (
-        arriving.writeStream.foreachBatch(streams.comments_topn_batch(best, keys, 3))
-        .option("checkpointLocation", staged(v, "stream")).trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in co.clean_comments(rows).schema.fields)
-    return best.read(fields).select(*GROUP, "comment_id", "content", "like_count")
+    streams.write_changes(streams.comments_first(arriving), out, staged(v, "stream")).awaitTermination()
+    return streams.top_comments(v.spark, out, 3).select(*GROUP, "comment_id", "content", "like_count")
 
 
 @query("ST3_stream_run_metrics", """
@@ -283,3 +271,19 @@ SELECT date_trunc('hour', updated_at) AS window_start, stage, count(*) AS events
 FROM stage_events GROUP BY 1, 2""")
 def _(v):
     return streams.stream_run_metrics(v("stage_events"))
+
+
+@query("ST3_stream_run_metrics_arriving", """
+SELECT date_trunc('hour', updated_at) AS window_start, stage, count(*) AS events, CAST(sum(items) AS BIGINT) AS items, count(*) FILTER (returncode <> 0) AS failed FROM stage_events GROUP BY 1, 2""")
+def _(v):
+    """The events in three batches in time order, read by a stream with its watermark of two hours."""
+    path, out = staged(v, "events"), staged(v, "metrics")
+    rows = v("stage_events").drop("seq").withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    low, high = rows.agg(F.percentile_approx(F.unix_seconds("updated_at"), [1 / 3, 2 / 3])).first()[0]
+    second = F.unix_seconds("updated_at")
+    for part in (second < low, (second >= low) & (second < high), second >= high):
+        rows.filter(part).coalesce(8).write.mode("append").parquet(path)
+    arriving = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(path)
+    streams.write_changes(streams.stream_run_metrics(arriving), out, staged(v, "stream")).awaitTermination()
+    found = streams.current(v.spark, out, "window_start", "stage")
+    return found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "stage", "events", "items", "failed")

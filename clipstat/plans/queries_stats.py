@@ -238,12 +238,30 @@ def _(v):
     return topics.hashtag_stats(v("tagged"), body="hook")
 
 
+@query("A17_hashtag_stats_fallback", r"""
+WITH tags AS (SELECT account, likes, unnest(list_distinct(regexp_extract_all(concat(title, chr(10), CASE WHEN likes % 2 = 0 THEN concat('#', track) ELSE hook END), '#([^\s#.，。・·]+)', 1))) AS tag FROM tagged),
+s AS (SELECT account, tag, count(*) AS n, CAST(sum(likes) AS BIGINT) AS l FROM tags GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY n DESC, tag) AS place FROM s)
+SELECT account, CAST(place AS INTEGER) AS place, tag, n, CAST(round_even(l::DOUBLE / n, 0) AS BIGINT) AS mean_likes FROM r WHERE place <= 15""")
+def _(v):
+    posts = v("tagged").withColumn("said", F.expr("if(likes % 2 = 0, '', hook)")).withColumn("about", F.concat(F.lit("#"), "track"))
+    return topics.hashtag_stats(posts, body="said", fallback="about")
+
+
 @query("A26_join_segments", """
-SELECT account, aweme_id, string_agg(trim(text), '' ORDER BY start, seq) AS transcript FROM segments GROUP BY 1, 2""")
+SELECT account, aweme_id, string_agg(trim(text), '' ORDER BY seq) AS transcript FROM segments GROUP BY 1, 2""")
 def _(v):
     return topics.join_segments(v("segments"))
 
 
+@query("A26_join_segments_or_text", """
+WITH s AS (SELECT account, aweme_id, string_agg(trim(text), '' ORDER BY seq) AS joined FROM segments GROUP BY 1, 2)
+SELECT account, aweme_id, coalesce(nullif(s.joined, ''), trim(t.transcript, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), '') AS transcript
+FROM s FULL JOIN transcripts t USING (account, aweme_id)""")
+def _(v):
+    return topics.join_segments(v("segments"), v("transcripts"), text="transcript")
+
+
 @query("A21_mode_of", """
 WITH s AS (SELECT account, aweme_id, visual_style AS val, row_number() OVER (PARTITION BY account, aweme_id ORDER BY count(*) DESC, min(seq)) AS i FROM frame_rows GROUP BY 1, 2, 3),
 m AS (SELECT account, aweme_id, composition AS val, row_number() OVER (PARTITION BY account, aweme_id ORDER BY count(*) DESC, min(seq)) AS i FROM frame_rows GROUP BY 1, 2, 3)

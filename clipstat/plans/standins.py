@@ -26,7 +26,6 @@ _SPARK = {
     "days": "CAST(datediff(CAST({0} AS DATE), DATE'1970-01-01') AS BIGINT)",
     "millis": "(CAST(datediff(CAST({0} AS DATE), DATE'2024-01-01') AS BIGINT) * 86400000 + hour({0}) * 3600000 + "
     "minute({0}) * 60000 + CAST(floor(extract(SECOND FROM {0}) * 1000) AS BIGINT))",
-    "ids": "transform(array_sort(collect_list(struct({0} AS o, {1} AS v))), p -> p.v)",
     "digits": "regexp_extract({0}, '([0-9]+)', 1)",
     "doubles": "CAST({0} AS ARRAY<DOUBLE>)",
     "octets": "octet_length({0})",
@@ -35,7 +34,6 @@ _SPARK = {
 _DUCK = {
     "days": "CAST(date_diff('day', DATE '1970-01-01', CAST({0} AS DATE)) AS BIGINT)",
     "millis": "((epoch_us({0}) - epoch_us(TIMESTAMP '2024-01-01')) // 1000)",
-    "ids": "list({1} ORDER BY {0})",
     "digits": "regexp_extract({0}, '([0-9]+)', 1)",
     "doubles": "CAST({0} AS DOUBLE[])",
     "octets": "octet_length(encode({0}))",
@@ -161,8 +159,9 @@ FROM $events""",
 SELECT {_account('label')} AS account, CAST(label AS STRING) AS aweme_id, vec_id AS idx, @doubles(embedding) AS hist
 FROM $embeddings""",
     "targets": f"""
-SELECT {_account('o_orderkey')} AS account, @ids(o_totalprice, CAST(o_orderkey AS STRING)) AS ids
-FROM $orders WHERE o_custkey % 10 = 0 GROUP BY {_account('o_orderkey')}""",
+SELECT {_account('o_orderkey')} AS account, CAST(o_orderkey AS STRING) AS aweme_id,
+  CAST(floor(o_totalprice) AS BIGINT) * 2 + m AS pos
+FROM $orders CROSS JOIN (SELECT 0 AS m UNION ALL SELECT 1 AS m) WHERE o_custkey % 10 = m""",
     "creator_counts": f"""
 SELECT {_account('o_orderkey')} AS account, CASE WHEN min(o_orderkey) % 5 = 4 THEN NULL ELSE
   count(*) + CAST(min(o_orderkey) % 3 AS BIGINT) - 1 END AS aweme_count

@@ -12,8 +12,11 @@ from clipstat.operators.profiles import profile_digest
 
 
 def write_table(df: DataFrame, path: str, *, account: str = "account") -> None:
-    """Replace the written accounts' partitions in one commit."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(account).parquet(path)
+    """Replace the written accounts' partitions in one commit.
+
+    Rows are gathered by account first, so an account is a few files and a very large one is split.
+    """
+    df.hint("rebalance", account).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(account).parquet(path)
 
 
 def write_posts(posts: DataFrame, path: str) -> None:

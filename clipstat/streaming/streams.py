@@ -1,140 +1,76 @@
-"""Incremental forms of the post, comment and run queries.
+"""Streaming forms of the post, comment and run queries on Spark's own state store.
 
-The two upserts keep their state as Parquet folders, one per batch, split by key hash. A batch
-rewrites only the hash parts it touches, into its own folder, and reads only folders of earlier,
-finished batches; a replayed batch writes the same folder again, so restarts and lost executors do
-not change the result.
+Posts and comments are streaming aggregates in update mode: the state holds one row per post or per
+comment. A sink writes what a batch changed into that batch's folder, so a replayed batch writes the
+same folder again, and readers take each key's row of the newest batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clipstat import schemas
 from clipstat.operators import comments as comment_ops
 from clipstat.operators.ingest import require_key
 
-PART = "_part"
-
-
-class VersionedTable:
-    """Parquet folders ``v=<batch>/_part=<hash>``."""
-
-    def __init__(self, spark: SparkSession, path: str, parts: int):
-        self.spark, self.path, self.parts = spark, path, parts
-
-    def part_of(self, *keys: str):
-        return F.pmod(F.hash(*keys), F.lit(self.parts)).alias(PART)
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _written(self, before: int | None = None) -> list[tuple[int, int]]:
-        """(version, part) pairs from folder names ``v=<batch>/_part=<n>`` of finished batches."""
-        jvm, fs = self._fs()
-        found: list[tuple[int, int]] = []
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*")
-        for version in fs.globStatus(pattern) or []:
-            v = int(version.getPath().getName().split("=")[1])
-            done = jvm.org.apache.hadoop.fs.Path(version.getPath().toString() + "/_SUCCESS")
-            if (before is not None and v >= before) or not fs.exists(done):
-                continue
-            for part in fs.listStatus(version.getPath()):
-                name = part.getPath().getName()
-                if name.startswith(f"{PART}="):
-                    found.append((v, int(name.split("=")[1])))
-        return sorted(found)
-
-    def read(self, schema: str, parts: list[int] | None = None, before: int | None = None) -> DataFrame:
-        """Current rows: each part as its newest version has it."""
-        newest = {p: v for v, p in self._written(before)}
-        return self._rows(schema, [(v, p) for p, v in newest.items()], parts)
-
-    def history(self, schema: str, parts: list[int] | None = None, before: int | None = None) -> DataFrame:
-        """Rows of all versions, for tables whose batches only add rows."""
-        return self._rows(schema, self._written(before), parts)
-
-    def _rows(self, schema: str, written: list[tuple[int, int]], parts: list[int] | None) -> DataFrame:
-        folders = [f"{self.path}/v={v}/{PART}={p}" for v, p in sorted(written) if parts is None or p in parts]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").partitionBy(PART).parquet(f"{self.path}/v={version}")
-
-
-def _touched(batch: DataFrame, table: VersionedTable, *keys: str) -> list[int]:
-    """Parts a batch touches: at most ``table.parts`` small integers."""
-    return sorted(r[0] for r in batch.select(table.part_of(*keys)).distinct().collect())
+POST = ("account", "aweme_id")
+COMMENT = (*POST, "_key")
 
 
 def stream_posts(spark: SparkSession, path: str, account: str, **options) -> DataFrame:
-    """Arriving post records with their place in the input."""
+    """Arriving post records with their place in the input: file age, path and block, then content.
+
+    Records of one block have no row number in a stream; the content hash makes their order the same in
+    every run.
+    """
     reader = spark.readStream.schema(schemas.POSTS_RAW)
     for name, value in options.items():
         reader = reader.option(name, value)
     rows = reader.json(path)
     place = F.struct(
         F.col("_metadata.file_modification_time").alias("age"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_start").alias("block"), F.xxhash64(F.to_json(F.struct(*rows.columns))).alias("row"),
     )
     return rows.select("*", place.alias("arrival")).withColumn("account", F.lit(account))
 
 
-def posts_latest_batch(table: VersionedTable, seq: str = "seq") -> Callable[[DataFrame, int], None]:
-    """ST1: latest payload per post at its first position, merged batch by batch."""
+def posts_latest(arriving: DataFrame, seq: str = "seq") -> DataFrame:
+    """ST1: latest payload per post at its first position."""
+    rows = require_key(arriving, "aweme_id")
+    merged = rows.groupBy(*POST).agg(F.max_by(F.struct(*rows.columns), F.col(seq)).alias("_row"), F.min(seq).alias("first_seq"))
+    return merged.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns], "first_seq")
 
-    def merge(batch: DataFrame, version: int) -> None:
-        rows = require_key(batch, "aweme_id")
-        schema = f"{_ddl(rows)}, first_seq {rows.schema[seq].dataType.simpleString()}"
-        old = table.read(schema, _touched(rows, table, "account", "aweme_id"), version)
-        both = old.unionByName(rows.withColumn("first_seq", F.col(seq)))
-        merged = both.groupBy("account", "aweme_id").agg(
-            F.max_by(F.struct(*rows.columns), F.col(seq)).alias("_row"), F.min("first_seq").alias("first_seq")
-        ).select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns], "first_seq")
-        table.write(merged.select("*", table.part_of("account", "aweme_id")), version)
 
-    return merge
+def comments_first(arriving: DataFrame, seq: str = "seq") -> DataFrame:
+    """ST2: each comment's row with the smallest ``seq``, whatever the order of arrival."""
+    rows = _with_key(comment_ops.clean_comments(arriving))
+    first = rows.groupBy(*COMMENT).agg(F.min_by(F.struct(*rows.columns), F.col(seq)).alias("_row"))
+    return first.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
-def _ddl(rows: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Start a query that writes each batch's changed rows to ``path/batch=<n>`` and ends with the input."""
 
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-def comments_topn_batch(top: VersionedTable, keys: VersionedTable, n: int = 100) -> Callable[[DataFrame, int], None]:
-    """ST2: top comments per post, kept exact over batches.
+    writer = changes.writeStream.outputMode("update").foreachBatch(save)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """Each key's row as the newest batch that changed it has it."""
+    rows = spark.read.parquet(path)
+    names = [c for c in rows.columns if c != "batch"]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*names), F.col("batch")).alias("_row"))
+    return newest.select(*[F.col(f"_row.{c}").alias(c) for c in names])
 
-    The best ``n`` of old and new together need only the old best ``n``. A comment that fell out of
-    them may come again, so every dedup key seen so far is kept in its own table; a batch only adds
-    its new keys there and reads back the hash parts it touches.
-    """
 
-    def merge(batch: DataFrame, version: int) -> None:
-        # A micro-batch is bounded by the trigger, and is used four times below.
-        unique = _with_key(comment_ops.dedup_comments(comment_ops.clean_comments(batch))).persist()
-        known = keys.history(
-            "account string, aweme_id string, _key string", _touched(unique, keys, "account", "aweme_id", "_key"), version
-        )
-        fresh = unique.join(known, ["account", "aweme_id", "_key"], "left_anti")
-        spec = Window.partitionBy("account", "aweme_id").orderBy(F.desc("like_count"), F.asc("seq"))
-        old = top.read(_ddl(unique.drop("_key")), _touched(unique, top, "account", "aweme_id"), version)
-        best = (
-            old.unionByName(fresh.drop("_key"))
-            .withColumn("_n", F.row_number().over(spec))
-            .filter(F.col("_n") <= n)
-            .drop("_n")
-        )
-        top.write(best.select("*", top.part_of("account", "aweme_id")), version)
-        keys.write(fresh.select("account", "aweme_id", "_key", keys.part_of("account", "aweme_id", "_key")), version)
-        unique.unpersist()
-
-    return merge
+def top_comments(spark: SparkSession, path: str, n: int = 100) -> DataFrame:
+    """ST2: the best comments of each post so far."""
+    return comment_ops.top_comments_per_post(current(spark, path, *COMMENT).drop("_key"), n)
 
 
 def _with_key(comments: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Files in, tables, files out."""
 
+import time
 import json
 import struct
 import zlib
@@ -107,32 +108,50 @@ def test_rerun_replaces_only_its_accounts(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(path).select("account", "aweme_id").collect()} == {("a", "1"), ("b", "3")}
 
 
-def test_replayed_comment_batches_change_nothing(spark, tmp_path):
-    schema = "account string, aweme_id string, comment_id string, content string, nickname string, like_count string, create_time bigint, seq int"
+def arrive(spark, tmp_path, make, batches, schema):
+    """Each batch as a file of its own, in order, through a streaming query; started twice."""
+    files = tmp_path / "in"
+    for data in batches:
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(files))
+        time.sleep(1.1)  # a later file is a later batch
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for _ in range(2):
+        live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(files))
+        streams.write_changes(make(live), out, state).awaitTermination()
+    return out
 
-    def batch(*items):
-        return spark.createDataFrame([("a", "1", c, f"t{c}", "n", str(likes), 0, seq) for c, likes, seq in items], schema)
 
-    first = batch(("x", 9, 1), ("y", 5, 2), ("z", 1, 3))
-    second = batch(("z", 99, 4), ("w", 7, 5))  # z fell out of the top two; its repeat must not come back
-    top = streams.VersionedTable(spark, str(tmp_path / "top"), 4)
-    keys = streams.VersionedTable(spark, str(tmp_path / "keys"), 4)
-    merge = streams.comments_topn_batch(top, keys, 2)
-    for df, version in ((first, 0), (first, 0), (second, 1), (second, 1)):
-        merge(df, version)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in comments.clean_comments(first).schema.fields)
-    assert sorted(r["comment_id"] for r in top.read(fields).collect()) == ["w", "x"]
+def test_comments_keep_the_first_capture_in_any_order_of_arrival(spark, tmp_path):
+    schema = "account string, aweme_id string, comment_id string, content string, nickname string, like_count string, create_time bigint, seq int"
+    late = [("a", "1", c, f"t{c}", "n", str(likes), 0, seq) for c, likes, seq in (("z", 99, 4), ("w", 7, 5))]
+    early = [("a", "1", c, f"t{c}", "n", str(likes), 0, seq) for c, likes, seq in (("x", 9, 1), ("y", 5, 2), ("z", 1, 3))]
+    out = arrive(spark, tmp_path, streams.comments_first, [late, early], schema)
+    top = streams.top_comments(spark, out, 2).collect()
+    assert [(r["comment_id"], r["pos"]) for r in sorted(top, key=lambda r: r["pos"])] == [("x", 1), ("w", 2)]
+    # A replayed batch writes the same folder again.
+    first = spark.read.parquet(f"{out}/batch=0").collect()
+    spark.createDataFrame(first).write.mode("overwrite").parquet(f"{out}/batch=0")
+    assert sorted(r["comment_id"] for r in streams.top_comments(spark, out, 2).collect()) == ["w", "x"]
+
+
+def test_posts_keep_the_latest_payload_at_the_first_place(spark, tmp_path):
+    schema = "account string, aweme_id string, seq int, desc string"
+    batches = [[("a", "1", 5, "new"), ("a", "2", 6, "x")], [("a", "1", 2, "old"), ("a", "", 9, "no")], [("a", "1", 8, "newest")]]
+    out = arrive(spark, tmp_path, streams.posts_latest, batches, schema)
+    got = streams.current(spark, out, *streams.POST).orderBy("aweme_id").collect()
+    assert [(r["aweme_id"], r["desc"], r["first_seq"]) for r in got] == [("1", "newest", 2), ("2", "x", 6)]
 
 
-def test_posts_stream_and_window_metrics(spark, tmp_path):
-    table = streams.VersionedTable(spark, str(tmp_path / "posts"), 4)
-    merge = streams.posts_latest_batch(table)
-    schema = "account string, aweme_id string, seq int, desc string"
-    for version, data in enumerate([[("a", "1", 5, "new"), ("a", "2", 6, "x")], [("a", "1", 2, "old"), ("a", "", 9, "no")], [("a", "1", 8, "newest")]]):
-        merge(spark.createDataFrame(data, schema), version)
-    out = table.read(f"{schema}, first_seq int").orderBy("aweme_id").collect()
-    assert [(r["aweme_id"], r["desc"], r["first_seq"]) for r in out] == [("1", "newest", 2), ("2", "x", 6)]
+def test_arriving_posts_carry_a_place(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"aweme_id": "1", "title": "a"}\n{"aweme_id": "1", "title": "b"}\n')
+    live = streams.stream_posts(spark, str(tmp_path), "acc")
+    query = live.select("account", "aweme_id", "arrival").writeStream.format("memory").queryName("places").trigger(availableNow=True)
+    query.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    rows = spark.table("places").collect()
+    assert len({r["arrival"] for r in rows}) == 2 and {r["account"] for r in rows} == {"acc"}
+
 
+def test_window_metrics_of_a_stream(spark, tmp_path):
     rows = spark.range(20).select(
         F.timestamp_seconds(F.col("id") * 600).alias("updated_at"), F.lit("s").alias("stage"), F.col("id").alias("items"),
         F.lit(1.5).alias("duration_sec"), F.lit(0).alias("returncode"))
