@@ -14,8 +14,6 @@ from clipstat.llm import language_id, mixing, near_dedup, packing, substring_ded
 from clipstat.llm.tokens import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document is rejected without a letter, or when its best language is likely to less than this.
-LEAST_SCORE = 0.35
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -24,11 +22,14 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose text has no letter or is in no learned language; fills a missing lang."""
+    """Drops documents of no language (null or without a letter); fills a missing lang.
+
+    A low score is no ground to drop: very short clean texts have one too.
+    """
     docs = documents(docs)
     found = language_id.identified(docs, language_id.learned(docs))
-    sure = (F.col("_lang.lang_pred") != language_id.UNKNOWN) & (F.col("_lang.score") >= LEAST_SCORE)
-    return documents(found.filter(sure).withColumn("lang", F.coalesce("lang", "_lang.lang_pred")))
+    known = F.col("_lang.lang_pred") != language_id.UNKNOWN
+    return documents(found.filter(known).withColumn("lang", F.coalesce("lang", "_lang.lang_pred")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
