@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +72,7 @@ def seeds(n: int, salt: int = 0) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of byte words, remembered up to a bound."""
 
-    BOUND = 300_000
+    BOUND = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
@@ -96,16 +96,26 @@ def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` with one call per batch."""
+#: Rows of whole texts that a worker holds as Python objects at a time.
+TEXT_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Texts are long: no more than ``TEXT_ROWS`` of them go to a worker in one Arrow batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``mapInArrow`` with one call per ``TEXT_ROWS`` rows."""
+    short_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch)
-            if isinstance(out, pa.RecordBatch):
-                yield out
-            else:
-                yield from out
+            for start in range(0, batch.num_rows, TEXT_ROWS):
+                yield fn(batch.slice(start, TEXT_ROWS))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

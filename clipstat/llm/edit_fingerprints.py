@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import arrow_map, hold, lists
+from clipstat.llm.common import arrow_map, hold, lists, short_batches
 from clipstat.llm.components import components
 from clipstat.session import ship_package
 
@@ -213,6 +213,7 @@ def fingerprinted(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     the last the first; a single row follows itself). Null texts are empty; two empty texts are alike (1).
     """
     ship_package(df.sparkSession)
+    short_batches(df.sparkSession)
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return _ranged(rows).select("doc_id", "part", "look", "text").mapInArrow(_walk, _OUT)
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipstat.llm.common import TEXT_ROWS, short_batches
 from clipstat.session import ship_package
 
 #: Bytes of a window, filters of each width, labelled documents per language and windows per document in the sample.
@@ -178,7 +179,7 @@ def predicted(text: Column, network: Network) -> Column:
         if not holder:
             holder.append(network.tables())
         langs, scores = [], []
-        for raw in texts.cast(pa.binary()).to_pylist():
+        for raw in (t for start in range(0, len(texts), TEXT_ROWS) for t in texts.slice(start, TEXT_ROWS).cast(pa.binary()).to_pylist()):
             if raw is None:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
@@ -212,4 +213,5 @@ def learned(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def identified(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """The rows of ``df`` with ``_lang``: a struct of lang_pred and score."""
     ship_package(df.sparkSession)
+    short_batches(df.sparkSession)
     return df.withColumn("_lang", predicted(F.col(text), network))

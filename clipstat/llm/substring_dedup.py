@@ -132,13 +132,15 @@ def _suffixes(listed: DataFrame) -> DataFrame:
                 ["doc_id", "place", "prefix", "rest"],
             )
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = list(run(batch))
-            if parts:
-                yield pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "place", "prefix", "rest")])
+
+    def joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = list(run(batch))
+        if not parts:
+            return pa.RecordBatch.from_pylist([], schema)
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
-    return listed.mapInArrow(joined, "doc_id bigint, place bigint, prefix bigint, rest bigint")
+    return arrow_map(listed, joined, "doc_id bigint, place bigint, prefix bigint, rest bigint")
 
 
 def _leaves(grouped: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipstat.llm.common import short_batches
 from clipstat.llm.tokens import tokenizer, word_counts
 from clipstat.session import ship_package
 
@@ -86,6 +87,7 @@ def n_tokens(text: Column, path: str) -> Column:
 def token_counts(df: DataFrame, path: str, limit: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes, n_tokens, over_limit. Null texts are empty: 0 bytes, 0 tokens."""
     ship_package(df.sparkSession)
+    short_batches(df.sparkSession)
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), n_tokens(F.col("text"), path).alias("n_tokens"))
     return rows.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -57,7 +57,7 @@ class UnitIds(dict):
     so its model is asked directly; any other unit goes through the whole library.
     """
 
-    BOUND = 400_000
+    BOUND = 200_000
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -84,7 +84,7 @@ class UnitIds(dict):
 class WordCounts(dict):
     """Token counts of words, up to a bound."""
 
-    BOUND = 400_000
+    BOUND = 200_000
 
     def __init__(self, path: str) -> None:
         super().__init__()
