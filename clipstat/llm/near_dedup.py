@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import WordHashes, arrow_map, byte_texts, hold, lists, mixed, seeds, texts_of
+from clipstat.llm.common import WordHashes, arrow_map, byte_texts, hold, lists, mixed, release, seeds, texts_of
 from clipstat.llm.components import components
 from clipstat.session import ship_package
 
@@ -198,24 +198,27 @@ def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """
     rows = reps.select(F.explode("bands").alias("band"), "node", F.col("n_shingles").alias("n"))
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
-    member = hold(rows.join(first.select("band", "head"), "band"), "members")
-    involved = reps.join(member.select("node").distinct(), "node", "left_semi").select("node", "rep", "set_id")
+    members = hold(rows.join(first.select("band", "head"), "band"), "members")
+    involved = reps.join(members.select("node").distinct(), "node", "left_semi").select("node", "rep", "set_id")
     involved = hold(involved, "involved")
     wanted = texts.join(involved.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = hold(sets_of(wanted).join(involved.select("set_id", "node").distinct(), "set_id").select("node", "items"), "sets")
 
-    to_head = member.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    to_head = members.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     compared = hold(_verified(to_head, sets), "compared")
     edges = compared.filter(_linked()).select("a", "b")
     far = compared.select(F.col("a").alias("node"), F.col("b").alias("head"), (1 - F.col("common") / F.col("total")).alias("d"))
-    member = hold(member.join(far.distinct(), ["node", "head"], "left").select("band", "node", "n", F.coalesce("d", F.lit(0.0)).alias("d")), "members")
-    tagged = member.withColumnRenamed("band", "key").join(components(edges), "node", "left")
+    measured = hold(members.join(far.distinct(), ["node", "head"], "left").select("band", "node", "n", F.coalesce("d", F.lit(0.0)).alias("d")), "members")
+    release(members)
+    tagged = measured.withColumnRenamed("band", "key").join(components(edges), "node", "left")
     tagged = tagged.select("key", "node", "n", "d", F.coalesce("component", "node").alias("c"))
     split = hold(_still_split(tagged), "split")
     crowded = _still_split_small(_by_two_bands(split.filter(F.col("outside") > CROWD)))
     pairs = _with_outsiders(split.filter(F.col("outside") <= CROWD)).unionByName(_with_outsiders(crowded)).distinct()
-    more = hold(_verified(pairs, sets).filter(_linked()).select("a", "b"), "links")
-    return edges.unionByName(more)
+    more = _verified(pairs, sets).filter(_linked()).select("a", "b")
+    found = hold(edges.unionByName(more), "links")
+    release(measured, involved, sets, compared, split)
+    return found
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

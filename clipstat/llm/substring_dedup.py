@@ -176,13 +176,13 @@ def _crowded(suffixes: DataFrame, *columns: str) -> DataFrame:
     return counts.filter(F.col("n") > (limit or 0)).select("bucket")
 
 
-def repeated_windows(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def repeated_windows(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """Positions of windows that also start in a smaller document, and the documents that equal one.
 
     Returns ``(doc_id, place)`` with the position in the low half of ``place`` and a mark of the row's
     text in the high half (rows may share a doc_id), and ``(doc_id, sequence)`` of documents of at
     least ``WINDOW`` words whose whole word sequence is that of a smaller document. Such copies are
-    one path of the tree and take no further part.
+    one path of the tree and take no further part. Both read the held tables of the list.
     """
     ship_package(df.sparkSession)
     texts = texts_of(df, doc_id, text).filter("doc_id is not null").withColumn("mark", _mark())
@@ -212,7 +212,7 @@ def repeated_windows(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     trees = _leaves(keyed.repartition("key").sortWithinPartitions("prefix", "rest", "doc_id").select("doc_id", "place", "prefix", "rest"))
     node = single.groupBy("prefix", "rest").agg(F.min("doc_id").alias("least"))
     alone = single.join(node, ["prefix", "rest"]).filter("doc_id > least").select("doc_id", "place")
-    return trees.unionByName(alone), copies
+    return trees.unionByName(alone), copies, [scanned, suffixes]
 
 
 def _mark() -> Column:
@@ -239,9 +239,10 @@ def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", c
     remove each other's words.
     """
     spark = df.sparkSession
-    marks, copies = repeated_windows(df, doc_id, text)
+    marks, copies, held = repeated_windows(df, doc_id, text)
     marks = hold(marks.groupBy("doc_id").agg(F.collect_list("place").alias("places")), "marks")
     whole = hold(copies.groupBy("doc_id").agg(F.collect_set("sequence").alias("sequences")), "copies")
+    release(*held)
     notes = marks.join(whole, "doc_id", "full_outer")
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.struct(*carry).alias("rest") if carry else F.lit(None).cast("string").alias("rest"))
     rows = rows.withColumn("mark", _mark())

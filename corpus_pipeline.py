@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clipstat.llm import stages
-from clipstat.llm.common import hold, table
+from clipstat.llm.common import hold, release, table
 
 STAGES = [
     ("language ID", stages.language),
@@ -23,5 +23,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``: placed token pieces."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = hold(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        before, docs = docs, hold(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
