@@ -197,7 +197,8 @@ def predicted(text: Column, network: Network) -> Column:
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     known = F.when(has_letter(text), text)
-    return judge(known if network.langs else F.lit(None).cast("string"))
+    # A filter on the prediction must not run the network a second time below the projection.
+    return judge.asNondeterministic()(known if network.langs else F.lit(None).cast("string"))
 
 
 def held_out(doc_id: Column) -> Column:
