@@ -33,3 +33,9 @@ def test_same_rows_give_the_same_network(documents):
     usable = documents.select("text", "lang")
     a, b = L.sample(usable), L.sample(usable.repartition(5, "text"))
     assert a == b and (L.train(a[:60], 1).dense == L.train(b[:60], 1).dense).all()
+
+
+def test_a_filter_runs_the_network_once(documents):
+    found = L.identified(documents.select("doc_id", "text"), L.learned(documents)).filter("_lang.lang_pred <> 'und' and _lang.score > 0.5")
+    plan = found.select("doc_id", "_lang.lang_pred")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
