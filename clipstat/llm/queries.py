@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import edit_fingerprints, language_id, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
+from clipstat.llm import edit_fingerprints, language_id, license_scan, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 from clipstat.llm.tokens import tokenizer_path
 
@@ -27,6 +27,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "_lang.lang_pred", "_lang.score")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"), license_scan.given_templates(spark))
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"), url_filter.rules(spark))
 
@@ -58,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op1_language": op1_language,
+    "op2_licenses": op2_licenses,
     "op3_urls": op3_urls,
     "op5_fingerprints": op5_fingerprints,
     "op6_neighbours": op6_neighbours,
