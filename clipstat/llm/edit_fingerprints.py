@@ -9,13 +9,16 @@ can be compared step by step. Weighted by the steps they stand for, the agreeing
 agreement of the whole walks.
 
 Near texts are found by bands of sampled positions of the last doublings, and verified on the fingerprint.
-All walks of a group of texts advance together in numpy.
+Members of a band bucket meet its first one; where a bucket then still holds several components, the members
+outside the largest one meet all others, in tiles of a bounded size that spread over tasks, so two near texts
+that share a band are always linked, however many others share it. All walks of a group of texts advance together in numpy.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import arrow_map, hold, lists, short_batches
+from clipstat.llm.common import arrow_map, hold, lists, release, short_batches
 from clipstat.llm.components import components
 from clipstat.session import ship_package
 
@@ -32,6 +35,8 @@ SAMPLES, PERIOD, GROUP_CHARS = 64, 8191, 6_000_000
 VALUES, END = 15, 15
 BANDS, ROWS = 24, 6
 NEAR = 0.75
+#: Members of a bucket on each side of a tile.
+TILE = 512
 #: Ranges of ids per shuffle partition.
 RANGES = 4
 
@@ -115,22 +120,26 @@ def likeness(a: str, b: str) -> float:
     return max(0.0, (share - 1 / VALUES) / (1 - 1 / VALUES))
 
 
+@lru_cache
+def _picks(name: int | str, low: int, stop: int, seed: int) -> list[tuple[str, list[int]]]:
+    rows = np.random.default_rng(seed).integers(low, stop, (BANDS, ROWS)).tolist()
+    return [(f"{name}|{b}|", row) for b, row in enumerate(rows)]
+
+
 def bands(fingerprint: str) -> np.ndarray:
     """Keys of bit-sampled bands over the last two whole blocks, and over those one block shorter.
 
-    Texts of nearly the same length on both sides of a block's edge so still share keys. A text shorter
-    than two blocks has one key per band from all its samples.
+    Texts of nearly the same length on both sides of a block's edge so still share keys. Under two blocks
+    the positions are those of the largest power of two that the samples fill, and of half of it. Under
+    four samples a text is near no other.
     """
     whole = len(fingerprint) // SAMPLES
-    keys = []
-    for top in {whole, whole - 1}:
-        if top < 2:
-            if top == whole:
-                keys += [xxhash.xxh3_64_intdigest(f"{b}|{fingerprint}") for b in range(BANDS)]
-            continue
-        low = (top - 2) * SAMPLES
-        picks = np.random.default_rng(top).integers(low, top * SAMPLES, (BANDS, ROWS))
-        keys += [xxhash.xxh3_64_intdigest(f"{top}|{b}|" + "".join(fingerprint[i] for i in row)) for b, row in enumerate(picks)]
+    found = [_picks(top, (top - 2) * SAMPLES, top * SAMPLES, top) for top in (whole, whole - 1) if top >= 2]
+    if whole <= 2:
+        filled = len(fingerprint).bit_length() - 1
+        powers = (filled - 1,) if whole == 2 else (filled, filled - 1)
+        found += [_picks(f"first {k}", 0, 1 << k, 1000 + k) for k in powers if k >= 2]
+    keys = [xxhash.xxh3_64_intdigest(name + "".join([fingerprint[i] for i in row])) for picks in found for name, row in picks]
     return np.array(keys, np.uint64).view(np.int64)
 
 
@@ -226,21 +235,101 @@ def _verified(pairs: DataFrame, near: float) -> DataFrame:
     return arrow_map(pairs, run, "a bigint, b bigint")
 
 
-def near_classes(prints: DataFrame, near: float = NEAR) -> DataFrame:
-    """``(doc_id, fingerprint, bands)`` to ``(doc_id, class_id)`` of texts linked by verified likeness.
+def _still_split(members: DataFrame) -> DataFrame:
+    """Rows of buckets of more than one component, without their heads, as tiles: band, i, j, role, node, c, outer.
 
-    Equal fingerprints are one node. In each band bucket all members are verified against the smallest
-    one, so a bucket gives as many pairs as members.
+    Members outside the largest component (role 0) stand in slots i, all (role 1) in slots j; a tile is one
+    slot of each. A bucket of two is settled by its head.
     """
-    ship_package(prints.sparkSession)
-    nodes = prints.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    nodes = hold(nodes, "nodes")
-    rows = nodes.select(F.explode("bands").alias("band"), "node")
-    first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last").select("band", "head")
-    pairs = rows.join(first, "band").filter("node <> head").select("node", "head").distinct()
+    sizes = members.groupBy("band", "c").agg(F.count("*").alias("_n"))
+    whole = sizes.groupBy("band").agg(F.max_by("c", F.struct("_n", "c")).alias("main"), F.sum("_n").alias("all"), F.max("_n").alias("most"))
+    rows = members.join(whole.filter("most < all and all > 2"), "band").filter("node <> head")
+    sides = [F.ceil(F.col(n) / F.lit(TILE)).cast("int") for n in ("outside", "all")]
+    rows = rows.withColumn("outside", F.col("all") - F.col("most")).withColumn("outer", F.col("c") != F.col("main"))
+    slot = [F.pmod(F.xxhash64(F.lit("slot"), "node"), side).cast("int") for side in sides]
+    each = [F.explode(F.sequence(F.lit(0), side - 1)) for side in sides]
+    ours = rows.filter("outer").select("band", slot[0].alias("i"), each[1].alias("j"), F.lit(0).alias("role"), "node", "c", "outer")
+    return ours.unionByName(rows.select("band", each[0].alias("i"), slot[1].alias("j"), F.lit(1).alias("role"), "node", "c", "outer"))
+
+
+def _met(near: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links between the two sides of each tile, over rows sorted by tile and role; as ``likeness`` has them."""
+    least = near * (1 - 1 / VALUES) + 1 / VALUES - 1e-9
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, side, ready = None, [], None
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer", "fingerprint"))
+            for band, i, j, role, node, c, outer, text in zip(*columns):
+                if (band, i, j) != tile:
+                    tile, side, ready = (band, i, j), [], None
+                if role == 0:
+                    side.append((node, c, text))
+                    continue
+                if not side:
+                    continue
+                if ready is None:
+                    width = max(len(t) for _, _, t in side)
+                    matrix = np.frombuffer("".join(t.ljust(width, "f") for _, _, t in side).encode(), np.uint8).reshape(len(side), width)
+                    ready = matrix, np.array([len(t) for _, _, t in side]), np.array([n for n, _, _ in side]), np.array([k for _, k, _ in side])
+                matrix, lengths, nodes, cs = ready
+                width = min(matrix.shape[1], len(text))
+                weights = _weights(max(matrix.shape[1], len(text)))
+                upto = np.concatenate([[0.0], np.cumsum(weights)])
+                total = upto[np.maximum(lengths, len(text))]
+                use = (cs != c) & (upto[np.minimum(lengths, len(text))] >= least * total)
+                if outer:
+                    use &= nodes < node
+                at = np.flatnonzero(use)
+                if not len(at):
+                    continue
+                row = np.frombuffer(text.encode(), np.uint8)[:width]
+                share = (matrix[at, :width] == row).astype(np.float64) @ weights[:width] / total[at]
+                linked = nodes[at[(share - 1 / VALUES) / (1 - 1 / VALUES) >= near]].tolist()
+                a += linked
+                b += [node] * len(linked)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _links(prints: DataFrame, near: float) -> DataFrame:
+    """Edges that connect all ``(node, fingerprint, bands)`` which share a band and are near."""
+    rows = prints.select(F.explode("bands").alias("band"), "node")
+    first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
+    members = hold(rows.join(first.select("band", "head"), "band").distinct(), "members")
+    involved = members.select("node").distinct()
+    nodes = hold(prints.select("node", "fingerprint").join(involved, "node", "left_semi").dropDuplicates(["node"]), "nodes")
+    pairs = members.filter("node <> head").select("node", "head").distinct()
     a = nodes.select("node", F.col("fingerprint").alias("fa"))
     b = nodes.select(F.col("node").alias("head"), F.col("fingerprint").alias("fb"))
     met = pairs.join(a, "node").join(b, "head").select(F.col("node").alias("a"), F.col("head").alias("b"), "fa", "fb")
-    found = components(_verified(met, near))
-    known = nodes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("class_id"))
-    return prints.select("doc_id", "fingerprint").join(known, "fingerprint", "left").select("doc_id", "class_id")
+    edges = hold(_verified(met, near), "edges")
+    tagged = members.join(components(edges), "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
+    tiles = _still_split(hold(tagged, "tagged")).join(nodes, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
+    found = hold(edges.unionByName(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct()), "links")
+    release(members, nodes, edges)
+    return found
+
+
+def classified(prints: DataFrame, near: float = NEAR) -> DataFrame:
+    """Rows with ``doc_id``, ``fingerprint`` and ``bands``, and class_id: the least doc_id of the texts linked to this one.
+
+    Two texts are linked if they share a band and their likeness is ``near`` at least. Equal fingerprints are
+    one node, named by a 64-bit hash. A class of rows without ids has a null class_id.
+    """
+    ship_package(prints.sparkSession)
+    short_batches(prints.sparkSession)
+    prints = hold(prints.withColumn("node", F.xxhash64("fingerprint")), "prints")
+    found = components(_links(prints, near))
+    ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
+    known = hold(ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "least"), "known")
+    least = known.groupBy("c").agg(F.min("least").alias("class_id"))
+    return prints.join(known.join(least, "c").select("node", "class_id"), "node").drop("node")
+
+
+def near_classes(prints: DataFrame, near: float = NEAR) -> DataFrame:
+    """``(doc_id, fingerprint, bands)`` to ``(doc_id, class_id)``, see ``classified``."""
+    return classified(prints.select("doc_id", "fingerprint", "bands"), near).select("doc_id", "class_id")

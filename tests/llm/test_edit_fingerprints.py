@@ -80,3 +80,61 @@ def test_near_classes(spark, prose):
     df = E.fingerprinted(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
     got = {r.doc_id: r.class_id for r in E.near_classes(df.select("doc_id", "fingerprint", "bands")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6}
+
+
+def brute_classes(rows):
+    """(doc_id, fingerprint) -> doc_id -> least doc_id reached over all pairs that share a band and are near."""
+    up = {d: d for d, _ in rows}
+
+    def root(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    keys = {d: set(E.bands(f).tolist()) for d, f in rows}
+    for k, (a, fa) in enumerate(rows):
+        for b, fb in rows[:k]:
+            if fa == fb or keys[a] & keys[b] and E.likeness(fa, fb) >= E.NEAR:
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return {d: root(d) for d, _ in rows}
+
+
+def test_query_returns_classes(spark):
+    rows = queries.op5_fingerprints(spark, SF).collect()
+    assert {r.doc_id: r.class_id for r in rows} == brute_classes([(r.doc_id, r.fingerprint) for r in rows])
+
+
+@pytest.mark.parametrize("tile", [3, 512])
+def test_groups_around_a_far_head_are_linked(spark, monkeypatch, tile):
+    """Buckets of one common key: a head far from all, pairs of near copies, a chain, a large component, loners."""
+    import random
+
+    monkeypatch.setattr(E, "TILE", tile)
+    rng = random.Random(3)
+    fresh = lambda n: "".join(rng.choice("0123456789abcde") for _ in range(n))
+    changed = lambda f, n: "".join(rng.choice("0123456789abcde") if i in rng.sample(range(len(f)), n) else x for i, x in enumerate(f))
+    prints = [fresh(200) for _ in range(25)]
+    prints += [x for f in prints[:8] for x in (changed(f, 1), changed(f, 1))]
+    big = fresh(180)
+    prints += [changed(big, 1) for _ in range(12)] + [fresh(n) for n in (5, 40, 90, 400)]
+    rows = list(enumerate(prints))
+    keys = {d: [7] for d, _ in rows}
+    df = spark.createDataFrame([(d, f, keys[d]) for d, f in rows], "doc_id bigint, fingerprint string, bands array<bigint>")
+    monkeypatch.setattr(E, "bands", lambda f: E.np.array([7]))
+    want = brute_classes(rows)
+    assert {r.doc_id: r.class_id for r in E.near_classes(df).collect()} == want
+    assert len(set(want.values())) == 25 + 1 + 4
+
+
+def test_short_texts_share_bands(spark):
+    texts = {k: t for k, t in enumerate(["good morning to all of you", "good morning to all of yov", "see you", "see yoo", "entirely other words here now", "good morning to all of you!", "a", "b", "ab", ""])}
+    rows = list(zip(texts, prints(*texts.values())))
+    assert all(len(f) < 128 for _, f in rows)
+    near = [(a, b) for a, fa in rows for b, fb in rows if a < b and fa != fb and E.likeness(fa, fb) >= E.NEAR]
+    of = dict(rows)
+    assert (0, 1) in near and all(set(E.bands(of[a]).tolist()) & set(E.bands(of[b]).tolist()) for a, b in near)
+    df = E.fingerprinted(spark.createDataFrame(list(texts.items()) + [(None, texts[0]), (None, "an own text without id")], "doc_id bigint, text string"))
+    got = E.near_classes(df).collect()
+    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == brute_classes(rows)
+    assert sorted((r.class_id is None, r.class_id) for r in got if r.doc_id is None) == [(False, 0), (True, None)]
