@@ -16,6 +16,7 @@ that share a band are always linked, however many others share it. All walks of
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -23,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipstat.llm.common import arrow_map, hold, lists, release, short_batches
@@ -227,9 +228,24 @@ def fingerprinted(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return _ranged(rows).select("doc_id", "part", "look", "text").mapInArrow(_walk, _OUT)
 
 
+def _packed() -> Column:
+    """A fingerprint in half its bytes; none ends in the digit that fills it up."""
+    return F.unhex(F.when(F.length("fingerprint") % 2 == 1, F.concat("fingerprint", F.lit("f"))).otherwise(F.col("fingerprint")))
+
+
+def _unpacked(column: pa.Array) -> list[str]:
+    return [x.hex().rstrip("f") for x in column.to_pylist()]
+
+
+def _freed(df: DataFrame) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def _verified(pairs: DataFrame, near: float) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        alike = [likeness(x, y) >= near for x, y in zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist())]
+        alike = [likeness(x, y) >= near for x, y in zip(_unpacked(batch.column("fa")), _unpacked(batch.column("fb")))]
         return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(alike, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
     return arrow_map(pairs, run, "a bigint, b bigint")
@@ -261,8 +277,8 @@ def _met(near: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         for batch in batches:
             a: list[int] = []
             b: list[int] = []
-            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer", "fingerprint"))
-            for band, i, j, role, node, c, outer, text in zip(*columns):
+            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer"))
+            for band, i, j, role, node, c, outer, text in zip(*columns, _unpacked(batch.column("packed"))):
                 if (band, i, j) != tile:
                     tile, side, ready = (band, i, j), [], None
                 if role == 0:
@@ -300,17 +316,23 @@ def _links(prints: DataFrame, near: float) -> DataFrame:
     rows = prints.select(F.explode("bands").alias("band"), "node")
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
     members = hold(rows.join(first.select("band", "head"), "band").distinct(), "members")
+    _freed(members)
     involved = members.select("node").distinct()
-    nodes = hold(prints.select("node", "fingerprint").join(involved, "node", "left_semi").dropDuplicates(["node"]), "nodes")
+    nodes = hold(prints.select("node", _packed().alias("packed")).join(involved, "node", "left_semi").dropDuplicates(["node"]), "nodes")
     pairs = members.filter("node <> head").select("node", "head").distinct()
-    a = nodes.select("node", F.col("fingerprint").alias("fa"))
-    b = nodes.select(F.col("node").alias("head"), F.col("fingerprint").alias("fb"))
+    a = nodes.select("node", F.col("packed").alias("fa"))
+    b = nodes.select(F.col("node").alias("head"), F.col("packed").alias("fb"))
     met = pairs.join(a, "node").join(b, "head").select(F.col("node").alias("a"), F.col("head").alias("b"), "fa", "fb")
     edges = hold(_verified(met, near), "edges")
+    del met
+    _freed(edges)
     tagged = members.join(components(edges), "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
-    tiles = _still_split(hold(tagged, "tagged")).join(nodes, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
+    tagged = hold(tagged, "tagged")
+    tiles = _still_split(tagged).join(nodes, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
     found = hold(edges.unionByName(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct()), "links")
-    release(members, nodes, edges)
+    release(members, nodes, edges, tagged)
+    del tiles
+    _freed(found)
     return found
 
 
@@ -323,6 +345,7 @@ def classified(prints: DataFrame, near: float = NEAR) -> DataFrame:
     ship_package(prints.sparkSession)
     short_batches(prints.sparkSession)
     prints = hold(prints.withColumn("node", F.xxhash64("fingerprint")), "prints")
+    _freed(prints)
     found = components(_links(prints, near))
     ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
     known = hold(ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "least"), "known")
