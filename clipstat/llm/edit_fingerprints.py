@@ -16,7 +16,6 @@ that share a band are always linked, however many others share it. All walks of
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -237,12 +236,6 @@ def _unpacked(column: pa.Array) -> list[str]:
     return [x.hex().rstrip("f") for x in column.to_pylist()]
 
 
-def _freed(df: DataFrame) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-
-
 def _verified(pairs: DataFrame, near: float) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         alike = [likeness(x, y) >= near for x, y in zip(_unpacked(batch.column("fa")), _unpacked(batch.column("fb")))]
@@ -316,7 +309,6 @@ def _links(prints: DataFrame, near: float) -> DataFrame:
     rows = prints.select(F.explode("bands").alias("band"), "node")
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
     members = hold(rows.join(first.select("band", "head"), "band").distinct(), "members")
-    _freed(members)
     involved = members.select("node").distinct()
     nodes = hold(prints.select("node", _packed().alias("packed")).join(involved, "node", "left_semi").dropDuplicates(["node"]), "nodes")
     pairs = members.filter("node <> head").select("node", "head").distinct()
@@ -324,15 +316,11 @@ def _links(prints: DataFrame, near: float) -> DataFrame:
     b = nodes.select(F.col("node").alias("head"), F.col("packed").alias("fb"))
     met = pairs.join(a, "node").join(b, "head").select(F.col("node").alias("a"), F.col("head").alias("b"), "fa", "fb")
     edges = hold(_verified(met, near), "edges")
-    del met
-    _freed(edges)
     tagged = members.join(components(edges), "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
     tagged = hold(tagged, "tagged")
     tiles = _still_split(tagged).join(nodes, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
     found = hold(edges.unionByName(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct()), "links")
     release(members, nodes, edges, tagged)
-    del tiles
-    _freed(found)
     return found
 
 
@@ -345,7 +333,6 @@ def classified(prints: DataFrame, near: float = NEAR) -> DataFrame:
     ship_package(prints.sparkSession)
     short_batches(prints.sparkSession)
     prints = hold(prints.withColumn("node", F.xxhash64("fingerprint")), "prints")
-    _freed(prints)
     found = components(_links(prints, near))
     ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
     known = hold(ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "least"), "known")
