@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import edit_fingerprints, language_id, license_scan, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
+from clipstat.llm import alignment, edit_fingerprints, language_id, license_scan, manifest, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 from clipstat.llm.tokens import tokenizer_path
 
@@ -59,6 +59,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op1_language": op1_language,
@@ -70,5 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_substring": op9_substring,
     "op10_token_counts": op10_token_counts,
+    "op12_manifest": op12_manifest,
+    "op13_alignment": op13_alignment,
 }
-CHECKS: dict[str, str] = {"op3_urls": url_filter.URL_SQL, "op7_mixing": mixing.MIX_SQL}
+CHECKS: dict[str, str] = {"op3_urls": url_filter.URL_SQL, "op7_mixing": mixing.MIX_SQL, "op12_manifest": manifest.MANIFEST_SQL}

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 
 #: White space that not every regular expression library counts as such, and format characters.
-_ODD = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Latin words and plain punctuation that end at white space or meet each other; else up to white space.
 _UNIT = re.compile(rf" ?[{_LATIN}]++(?![^\s.,;:|!?])| ?[.,;:|!?]++(?!\S)|\s?\S+|\s+(?!\S)|\s")
@@ -47,7 +47,7 @@ def tokenizer(path: str):
 def _whole_only(path: str) -> re.Pattern:
     with open(path, encoding="utf-8") as file:
         added = [re.escape(t["content"]) for t in json.load(file).get("added_tokens", [])]
-    return re.compile("|".join([_ODD, *added]))
+    return re.compile("|".join([ODD_SPACE, *added]))
 
 
 class UnitIds(dict):
