@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipstat.llm import alignment, edit_fingerprints, language_id, license_scan, manifest, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
+from clipstat.llm import alignment, collection_bwt, edit_fingerprints, language_id, license_scan, manifest, mixing, near_dedup, packing, permutation_index, substring_dedup, token_counts, url_filter
 from clipstat.llm.common import table
 from clipstat.llm.tokens import tokenizer_path
 
@@ -59,6 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = collection_bwt.without_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_substring": op9_substring,
     "op10_token_counts": op10_token_counts,
+    "op11_suffix_array": op11_suffix_array,
     "op12_manifest": op12_manifest,
     "op13_alignment": op13_alignment,
 }
