@@ -9,10 +9,12 @@ concentration of independent samples.
 Bins are joined to bands; documents that share a band are candidates, and every link is confirmed on
 the full sets. Inside a band bucket nothing is compared all against all. Documents meet the bucket's
 first member. If the bucket then holds several components, the members outside the largest one meet the
-members of other components; when there are more than ``CROWD`` of them (texts around one common
-passage), members meet those with which they share a second such bucket, as all but a few in 100,000
-pairs at the threshold do. Two documents are compared only if their sizes and their distances to the first member leave a link
-possible, which the triangle inequality of the Jaccard distance decides exactly.
+members of other components; two documents are compared only if their sizes and their distances to the
+first member leave a link possible, which the triangle inequality of the Jaccard distance decides exactly.
+A bucket with more than ``CROWD`` members outside its largest component (texts around one common passage)
+is joined on rare shingles instead: each set in order of its shingles' frequency among all such members,
+rarest first, and two sets at the threshold agree in the first few. That join is exact too; it loses no
+pair, and what a crowd has in common enters it only where it makes up six sevenths of a text.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ PERCENT = 75
 #: A pair at the threshold shares no band with probability (1 - 0.75 ** ROWS) ** BANDS = 2e-6.
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
-#: With more members outside its largest component a bucket is cut by a second band first.
+#: With more members outside its largest component a bucket is joined on rare shingles.
 CROWD = 24
 
 _ROUND = seeds(2 * BINS, 1)
@@ -84,8 +86,13 @@ def bands(coordinates: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def text_mark(text: str = "text") -> Column:
+    """Tells rows that share a doc_id."""
+    return F.xxhash64(text)
+
+
 def sketches(df: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_id (digest of the full set), bands."""
+    """One row per document: doc_id, mark, n_shingles, set_id (digest of the full set), bands."""
     ship_package(df.sparkSession)
     hashes = WordHashes()
 
@@ -97,11 +104,11 @@ def sketches(df: DataFrame) -> DataFrame:
             ids.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
             keys.append(bands(sketch(items)) if len(items) else np.zeros(0, np.int64))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), lists(keys, pa.int64())],
-            ["doc_id", "n_shingles", "set_id", "bands"],
+            [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), lists(keys, pa.int64())],
+            ["doc_id", "mark", "n_shingles", "set_id", "bands"],
         )
 
-    return arrow_map(df, run, "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>")
+    return arrow_map(df.withColumn("mark", text_mark()), run, "doc_id bigint, mark bigint, n_shingles bigint, set_id binary, bands array<bigint>")
 
 
 def sets_of(df: DataFrame) -> DataFrame:
@@ -164,37 +171,68 @@ def _still_split(rows: DataFrame) -> DataFrame:
     return rows.join(whole.filter("outside > 0"), "key")
 
 
-def _still_split_small(rows: DataFrame) -> DataFrame:
-    """The same for small buckets, in one pass over each."""
-    of_key = Window.partitionBy("key")
-    sized = rows.withColumn("_n", F.count("*").over(Window.partitionBy("key", "c")))
-    sized = sized.withColumn("_main", F.max(F.struct("_n", "c")).over(of_key)).withColumn("_all", F.count("*").over(of_key))
-    return sized.filter(F.col("_all") > F.col("_main._n")).select(*rows.columns, F.col("_main.c").alias("main"))
-
-
-def _with_outsiders(rows: DataFrame) -> DataFrame:
+def _with_outsiders(rows: DataFrame, may_link: Column, *carried: str) -> DataFrame:
     """Pairs of each member outside the largest component with all members of other components."""
-    ours = rows.filter("c <> main").select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "d", "c")])
-    met = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "d", "c")]).join(ours, "key")
-    return met.filter((F.col("c_a") != F.col("c_b")) & _may_link()).select(
+    columns = ("node", "n", "c", *carried)
+    ours = rows.filter("c <> main").select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    met = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in columns]).join(ours, "key")
+    return met.filter((F.col("c_a") != F.col("c_b")) & may_link).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
     )
 
 
-def _by_two_bands(rows: DataFrame) -> DataFrame:
-    """The same members under every two of their crowded buckets."""
-    own = rows.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"), F.first("n").alias("n"), F.first("c").alias("c"))
-    twos = F.expr(
-        "explode(flatten(transform(sequence(1, size(keys) - 1), i -> transform(slice(keys, i + 1, size(keys)), k -> xxhash64(keys[i - 1], k)))))"
-    )
-    return own.filter("size(keys) > 1").select(twos.alias("key"), "node", "n", "c", F.lit(0.0).alias("d"))
+def _listed(sets: DataFrame) -> DataFrame:
+    """Packed sets as one row per shingle: node, key."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        items = [np.frombuffer(x, np.int64) for x in batch.column("items").to_pylist()]
+        nodes = np.repeat(np.asarray(batch.column("node")), [len(x) for x in items])
+        keys = np.concatenate(items) if items else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(keys, pa.int64())], ["node", "key"])
+
+    return arrow_map(sets.select("node", "items"), run, "node bigint, key bigint")
+
+
+def _up(share: str, n: str = "n") -> Column:
+    """The least whole number that is at least ``share`` of ``n``, in whole numbers."""
+    top, bottom = share.split("/")
+    return F.expr(f"({n} * {top} + {bottom} - 1) div {bottom}")
+
+
+def _rare_prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rarest shingles of each member as key, node, n, c, at: its place in the set's order, from 1.
+
+    Two sets with ``common / union >= 3/4`` have at least 3/4 of the larger and 6/7 of the smaller in
+    common, so the larger's first ``n - 3n/4 + 1`` and the smaller's first ``n - 6n/7 + 1`` shingles of
+    one order share one, whatever the order is.
+    """
+    rows = _listed(sets.join(members.select("node"), "node")).join(members, "node")
+    seen = rows.groupBy("key").agg(F.count("*").alias("f"), F.min("c").alias("_lo"), F.max("c").alias("_hi"))
+    ranked = rows.join(seen, "key").withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("f", "key")))
+    first = ranked.filter(F.col("at") <= F.col("n") - _up("3/4") + 1)
+    return first.filter("_lo < _hi").select("key", "node", "n", "c", "at")
+
+
+def _may_agree() -> Column:
+    """Sizes and places of a shared shingle that leave a link possible."""
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    at = F.when((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))), F.col("at_a")).otherwise(F.col("at_b"))
+    indexed = at <= small - F.expr("(least(n_a, n_b) * 6 + 6) div 7") + 1
+    most = F.least("at_a", "at_b") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    return (F.lit(100) * small >= F.lit(PERCENT) * large) & indexed & (F.lit(7) * most >= F.lit(3) * (F.col("n_a") + F.col("n_b")))
+
+
+def _by_rare_shingles(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of different components among the members of crowded buckets that may be linked."""
+    members = crowded.groupBy("node").agg(F.first("n").alias("n"), F.first("c").alias("c"))
+    prefixes = hold(_rare_prefixes(members, sets), "prefixes")
+    return _with_outsiders(_still_split(prefixes), _may_agree(), "at")
 
 
 def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed edges ``(a, b)`` that connect every component of ``reps(node, rep, set_id, n_shingles, bands)``.
 
-    A pair that shares a band is compared, or already connected, or proven to have no link; a pair whose
-    shared buckets are all crowded is, if it shares two.
+    A pair that shares a band is compared, or already connected, or proven to have no link.
     """
     rows = reps.select(F.explode("bands").alias("band"), "node", F.col("n_shingles").alias("n"))
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
@@ -213,16 +251,19 @@ def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     tagged = measured.withColumnRenamed("band", "key").join(components(edges), "node", "left")
     tagged = tagged.select("key", "node", "n", "d", F.coalesce("component", "node").alias("c"))
     split = hold(_still_split(tagged), "split")
-    crowded = _still_split_small(_by_two_bands(split.filter(F.col("outside") > CROWD)))
-    pairs = _with_outsiders(split.filter(F.col("outside") <= CROWD)).unionByName(_with_outsiders(crowded)).distinct()
+    few = _with_outsiders(split.filter(F.col("outside") <= CROWD), _may_link(), "d")
+    pairs = few.unionByName(_by_rare_shingles(split.filter(F.col("outside") > CROWD), sets)).distinct()
     more = _verified(pairs, sets).filter(_linked()).select("a", "b")
     found = hold(edges.unionByName(more), "links")
     release(measured, involved, sets, compared, split)
     return found
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept.
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", marked: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; with ``marked`` also the text's mark and near_group.
+
+    ``near_group`` names the rows of a component whatever their ids: a null doc_id is in the group of the
+    documents with its set, or of the other rows without an id that have it; without shingles it is null.
 
     Equal sets (exact copies, and copies that differ in A-Z case or spacing) form a class that is
     compared once. Null, empty and blank texts have no shingles and stay alone. Rows that share a
@@ -238,9 +279,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     found = components(links(reps, texts.filter("doc_id is not null")))
     grouped = classes.join(found, "node", "left").select("set_id", "rep", F.coalesce("component", "node").alias("c"))
     least = grouped.groupBy("c").agg(F.min("rep").alias("component_id"))
-    labelled = grouped.join(least, "c").select("set_id", "component_id")
-    out = base.select("doc_id", "n_shingles", "set_id").join(labelled, "set_id", "left")
+    labelled = grouped.join(least, "c").select("set_id", "component_id", "c")
+    out = base.select("doc_id", "mark", "n_shingles", "set_id").join(labelled, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    group = F.coalesce(F.col("c").cast("string"), F.hex("set_id")).alias("near_group")
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), *(["mark", group] if marked else []))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clipstat.llm import near_dedup as N
 from clipstat.llm.common import WordHashes
@@ -51,6 +52,22 @@ def test_crowded_buckets_lose_no_link(spark, chain, monkeypatch, crowd):
     assert as_dict(N.near_duplicates(spark.createDataFrame(chain, "doc_id bigint, text string"))) == near_components(dict(chain))
 
 
+def test_a_crowd_round_one_passage_equals_brute_force(spark, prose, monkeypatch):
+    """Texts whose similarity lies on both sides of the threshold, all through one passage; many pairs share few bands."""
+    monkeypatch.setattr(N, "CROWD", 0)
+    rows = []
+    for i in range(300):
+        passage = prose(100, 900 + i % 3)
+        rows.append((i, prose(4 + i % 23, 5000 + i // 2) + " " + passage))
+    split = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = N.sets_of(split).join(N.sketches(split).select("set_id", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "set_id")
+    members = sets.select("node", "n", F.col("node").alias("c"))
+    found = {(r.a, r.b) for r in N._by_rare_shingles(members, sets.select("node", "items")).collect()}
+    plain = {d: shingles(t) for d, t in rows}
+    near = {(a, b) for a in plain for b in plain if a < b and 100 * len(plain[a] & plain[b]) >= 75 * len(plain[a] | plain[b])}
+    assert near and near <= found and len(found) < 300 * 299 / 4
+
+
 def test_sketch_fills_every_bin_and_estimates(prose):
     hashes = WordHashes()
     rng = np.random.default_rng(1)
