@@ -24,20 +24,33 @@ def documents(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language (null or without a letter); fills a missing lang.
 
-    A low score is no ground to drop: very short clean texts have one too.
+    A low score is no ground to drop: very short clean texts have one too. Where no language can be learned
+    (no labelled text), every document with a letter stays as it is.
     """
     docs = documents(docs)
-    found = language_id.identified(docs, language_id.learned(docs))
+    network = language_id.learned(docs)
+    if not network.langs:
+        return docs.filter(language_id.has_letter(F.col("text")))
+    found = language_id.identified(docs, network)
     known = F.col("_lang.lang_pred") != language_id.UNKNOWN
     return documents(found.filter(known).withColumn("lang", F.coalesce("lang", "_lang.lang_pred")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest document of each group of near-duplicates, and one of equal rows."""
+    """Keeps the smallest document of each group of near-duplicates, one row of it, and one of equal rows.
+
+    Rows that share a doc_id are judged by their texts; rows without an id go where a document is like them.
+    """
     docs = documents(docs)
-    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return documents(known.unionByName(docs.filter("doc_id is null")))
+    found = near_dedup.near_duplicates(docs, marked=True)
+    least = found.filter("near_group is not null").groupBy("near_group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col("mark").alias("own"))).alias("least")
+    )
+    kept = least.select("least.id", "least.own").unionByName(
+        found.filter("near_group is null").select(F.col("doc_id").alias("id"), F.col("mark").alias("own")).distinct()
+    )
+    met = docs.withColumn("mark", near_dedup.text_mark()).join(kept, F.expr("doc_id <=> id and mark = own"), "left_semi")
+    return documents(met.dropDuplicates(["doc_id", "text"]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clipstat.llm.stages import COLUMNS
@@ -65,3 +66,16 @@ def test_odd_rows_and_none(spark, odd, none):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, SF).count() >= 0
         assert stage(spark, none, SF).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark, prose):
+    from clipstat.llm import stages
+
+    base, other = prose(120, 1), prose(120, 2)
+    near = base.replace("kan", "kas", 1)
+    rows = [(3, base), (5, near), (5, other), (None, base), (None, prose(90, 3)), (None, prose(90, 3)), (7, None), (8, ""), (3, base)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted(((r.doc_id, r.text) for r in stages.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(3, base), (5, other), (None, prose(90, 3)), (7, None), (8, "")], key=repr)
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert stages.language(spark, unlabelled, SF).count() == 7
