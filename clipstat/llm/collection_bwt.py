@@ -31,13 +31,13 @@ from clipstat.llm.common import arrow_map, byte_texts, hold, mixed, release, tex
 from clipstat.llm.substring_dedup import Powers
 from clipstat.session import ship_package
 
-WINDOW, GRAM = 50, 24
+WINDOW, GRAM = 50, 20
 #: Windows of a segment at most: one bit each of a signed 64-bit number.
 SPAN = 62
 #: Bytes of texts hashed together; anchors summed before they are sent on; anchors of a bucket.
 BLOCK, FLUSH, PER_BUCKET = 1 << 20, 1 << 20, 1 << 20
 #: Segments of a collection, and buckets of anchors that are counted for crowds.
-COLLECTION, BUCKETS = 20_000, 65_536
+COLLECTION, BUCKETS = 4_000, 65_536
 #: A bucket with more different segments is compared by window hashes; more where the mean bucket is larger.
 GROUP_ROWS, UNEVEN = 20_000, 8
 
@@ -106,6 +106,11 @@ class Runs:
         return self.raw[self.start[k] : self.start[k] + self.windows[k] + WINDOW - 1]
 
 
+def _short(anchor: np.ndarray) -> np.ndarray:
+    """The half of an anchor that does not choose its bucket. Anchors alike in both only ask for segments in vain."""
+    return (anchor.view(np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _digest() -> Column:
     return F.xxhash64("text")
 
@@ -123,7 +128,7 @@ def _posted(texts: DataFrame, buckets: int) -> DataFrame:
         bucket, anchor, text = bucket[order], anchor[order], text[order]
         cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            yield int(bucket[lo]), known, anchor[lo:hi].tobytes(), text[lo:hi].tobytes()
+            yield int(bucket[lo]), known, _short(anchor[lo:hi]).tobytes(), text[lo:hi].tobytes()
 
     def flushed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         anchor, text = (np.concatenate(x) for x in zip(*held))
@@ -167,10 +172,10 @@ def _shared_anchors(posted: DataFrame, parts: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(text), pa.array(anchor)], ["digest", "anchor"])
 
     def answered(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        anchor, text = (np.frombuffer(b"".join(x), np.int64) for x in zip(*held))
+        anchor, text = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.int32, np.int64)))
         order = np.lexsort((text, anchor))
         anchor, text = anchor[order], text[order]
-        starts = np.flatnonzero(np.diff(anchor, prepend=anchor[0] - 1) != 0)
+        starts = np.flatnonzero(np.diff(anchor, prepend=~anchor[0]) != 0)
         counts = np.diff(np.append(starts, len(anchor)))
         alike = np.minimum.reduceat(text, starts) == np.maximum.reduceat(text, starts)
         elsewhere = np.repeat(~alike, counts) & (text != _FROM_ELSEWHERE)
@@ -182,7 +187,7 @@ def _shared_anchors(posted: DataFrame, parts: int) -> DataFrame:
             columns = (batch.column(c).to_pylist() for c in ("bucket", "known", "anchors", "texts"))
             for bucket, known, anchors, texts in zip(*columns):
                 if known:
-                    yield told(np.frombuffer(texts, np.int64), np.frombuffer(anchors, np.int64))
+                    yield told(np.frombuffer(texts, np.int64), np.frombuffer(anchors, np.int32))
                     continue
                 if bucket != last and held:
                     yield answered(held)
@@ -192,7 +197,7 @@ def _shared_anchors(posted: DataFrame, parts: int) -> DataFrame:
         if held:
             yield answered(held)
 
-    return posted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "digest bigint, anchor bigint")
+    return posted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "digest bigint, anchor int")
 
 
 def _segments(listed: DataFrame) -> DataFrame:
@@ -208,13 +213,13 @@ def _segments(listed: DataFrame) -> DataFrame:
         wanted = batch.column("anchors")
         ids, marks = np.asarray(batch.column("doc_id")), np.asarray(batch.column("mark"))
         salt = mixed(np.arange(1, batch.num_rows + 1, dtype=np.uint64))
-        known = [np.asarray(wanted[k].values).view(np.uint64) ^ salt[k] for k in range(batch.num_rows)]
+        known = [np.asarray(wanted[k].values).view(np.uint32) ^ salt[k] for k in range(batch.num_rows)]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
         if not len(known):
             return
         for group in blocks(byte_texts(batch.column("text"))):
             runs = Runs(group, powers)
-            own = runs.anchor.view(np.uint64) ^ salt[runs.row]
+            own = _short(runs.anchor).view(np.uint32) ^ salt[runs.row]
             keep = np.flatnonzero(known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own)
             cuts = [runs.bytes_of(k) for k in keep.tolist()]
             keys = np.array([xxhash.xxh3_64_intdigest(c) for c in cuts], np.uint64).view(np.int64)
@@ -324,19 +329,16 @@ class _RangeMinima:
     """Least common prefixes of ranges up to a length, from minima of spans that double."""
 
     def __init__(self, values: np.ndarray, longest: int) -> None:
-        self.levels = [values]
-        while 2 << (len(self.levels) - 1) <= longest:
-            half, last = 1 << (len(self.levels) - 1), self.levels[-1]
-            self.levels.append(np.minimum(last[:-half], last[half:]))
+        levels = max(1, int(longest).bit_length())
+        self.table = np.zeros((levels, len(values)), values.dtype)
+        self.table[0] = values
+        for k in range(1, levels):
+            half, last = 1 << (k - 1), self.table[k - 1]
+            np.minimum(last[:-half], last[half:], out=self.table[k, :-half])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(start), np.int64)
-        level = np.int64(np.log2(np.maximum(stop - start, 1)))
-        for k in np.unique(level).tolist():
-            own = np.flatnonzero(level == k)
-            table = self.levels[k]
-            out[own] = np.minimum(table[start[own]], table[stop[own] - (1 << k)])
-        return out
+        level = np.frexp((stop - start).astype(np.float64))[1] - 1
+        return np.minimum(self.table[level, start], self.table[level, stop - (1 << level)]).astype(np.int64)
 
 
 def _ordered(segments: DataFrame) -> DataFrame:
@@ -349,14 +351,18 @@ def _ordered(segments: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(bits[keep])], ["key", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
+        # A segment that is alone with its anchor has no other to compare with.
+        held, group, last = [], [], None
         for batch in batches:
             for anchor, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "bytes", "least"))):
-                if len(held) >= COLLECTION and anchor != last:
-                    yield judged(held)
-                    held = []
-                last = anchor
-                held.append(row)
+                if anchor != last:
+                    held += group if len(group) > 1 else []
+                    group, last = [], anchor
+                    if len(held) >= COLLECTION:
+                        yield judged(held)
+                        held = []
+                group.append(row)
+        held += group if len(group) > 1 else []
         if held:
             yield judged(held)
 
@@ -404,7 +410,7 @@ def repeats(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = _shared_anchors(_posted(texts.select("text", "digest"), 4 * parts), parts)
     shared = shared.groupBy("digest").agg(F.collect_set("anchor").alias("anchors"))
     listed = shared.join(first.select("digest", F.col("first").alias("doc_id")), "digest")
-    own = texts.join(listed, ["digest", "doc_id"]).dropDuplicates(["doc_id", "mark", "digest"]).select("doc_id", "text", "mark", "anchors")
+    own = texts.join(listed, ["digest", "doc_id"]).select("doc_id", "text", "mark", "anchors")
     segments = hold(_segments(own), "segments")
 
     kinds = segments.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes"))
@@ -429,11 +435,11 @@ def _mark() -> Column:
 
 def removed(n: int, places: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Which of ``n`` bytes a marked window covers."""
-    edge = np.zeros(n + WINDOW + SPAN, np.int64)
-    for k in range(SPAN):
-        starts = places[(bits >> k) & 1 == 1] + k
-        np.add.at(edge, starts, 1)
-        np.add.at(edge, starts + WINDOW, -1)
+    edge = np.zeros(n + 1, np.int64)
+    for lo in range(0, len(places), BLOCK):
+        row, shift = np.nonzero((bits[lo : lo + BLOCK, None] >> np.arange(SPAN)) & 1)
+        starts = places[lo : lo + BLOCK][row] + shift
+        edge += np.bincount(starts, minlength=n + 1) - np.bincount(starts + WINDOW, minlength=n + 1)
     return np.cumsum(edge)[:n] > 0
 
 
