@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.skew import ordered
+from clipstat.skew import ordered, up
 
 
 def merge_intervals(
@@ -25,12 +25,12 @@ def merge_intervals(
     starts = padded.groupBy(account, key, "start").agg(
         F.max("end").alias("end"), F.count(F.lit(1)).alias("_n")
     )
-    reach = ordered(starts, [account, key], [F.asc("start")], running_max={"_reach": "end"})
+    reach = ordered(starts, [account, key], [F.asc("start")], slice_by=up("start"), running_max={"_reach": "end"})
     breaks = reach.withColumn(
         "_break",
         F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + tol), 1).otherwise(0),
     )
-    numbered = ordered(breaks, [account, key], [F.asc("start")], running_sum={"island": "_break"})
+    numbered = ordered(breaks, [account, key], [F.asc("start")], slice_by=up("start"), running_sum={"island": "_break"})
     return numbered.groupBy(account, key, F.col("island").cast("int").alias("island")).agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
@@ -45,7 +45,7 @@ def complement_intervals(
     """What the islands leave free of ``[0, duration]``, pieces above ``min_gap`` only."""
     between = ordered(
         islands.select(account, key, "start", "end"), [account, key], [F.asc("start")],
-        previous={"_prev_end": "end"}
+        slice_by=up("start"), previous={"_prev_end": "end"}
     ).select(account, key, F.coalesce("_prev_end", F.lit(0.0)).alias("start"), F.col("start").alias("end"))
     last = islands.groupBy(account, key).agg(F.max("end").alias("start"))
     tail = last.join(durations.select(account, key, F.col(duration).alias("end")), [account, key])
@@ -85,12 +85,15 @@ def in_intervals(
     """Flag rows whose time lies in one of the post's intervals, ends included.
 
     Points and interval starts are swept together in time order: a point is inside when the latest
-    end seen so far is not before it. A point without a time is in no interval.
+    end seen so far is not before it. The sweep runs in slices of time; the latest end of the earlier ones
+    is carried into each. A point without a time is in no interval.
     """
     seen = points.select(account, key, F.col(at).cast("double").alias("_t"), F.lit(1).alias("_k"), F.lit(None).cast("double").alias("_e"), F.struct("*").alias("_row"))
     opened = islands.select(account, key, F.col("start").cast("double").alias("_t"), F.lit(0).alias("_k"), F.col("end").cast("double").alias("_e"))
-    order = Window.partitionBy(account, key).orderBy("_t", "_k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = seen.unionByName(opened, allowMissingColumns=True).withColumn("_reach", F.max("_e").over(order))
+    swept = ordered(
+        seen.unionByName(opened, allowMissingColumns=True), [account, key], [F.asc("_t"), F.asc("_k")],
+        slice_by=up("_t"), running_max={"_reach": "_e"},
+    )
     inside = F.coalesce(F.col("_reach") >= F.col("_t"), F.lit(False))
     return swept.filter("_k = 1").select("_row.*", inside.alias(flag))
 

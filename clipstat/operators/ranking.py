@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstat.functions import columns as C
-from clipstat.skew import exact_quantiles, middle, rank_by
+from clipstat.skew import exact_quantiles, middle, ranks_by
 
 METRICS = ("likes", "collects", "shares", "comments")
 PROMINENCE_MIN = {"collects": 1.3, "shares": 1.3, "comments": 1.4}
@@ -18,11 +18,7 @@ def metric_ranks(
     posts: DataFrame, *, account: str = "account", seq: str = "seq"
 ) -> DataFrame:
     """Four unique ranks per account. Ties follow the manifest order (likes, first seen)."""
-    standing = [F.desc("likes"), F.asc(seq)]
-    ranks = {"likes_rank": standing}
-    for metric in METRICS[1:]:
-        ranks[f"{metric}_rank"] = [F.desc(metric), *standing]
-    return rank_by(posts, [account], ranks)
+    return ranks_by(posts, account, {f"{m}_rank": m for m in METRICS}, "likes", seq)
 
 
 def prominence(ranked: DataFrame) -> DataFrame:

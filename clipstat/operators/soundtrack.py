@@ -13,7 +13,7 @@ from clipstat.functions import arrays as A
 from clipstat.functions import columns as C
 from clipstat.operators.intervals import non_speech_windows
 from clipstat.session import ship_package
-from clipstat.skew import ordered
+from clipstat.skew import ordered, up
 
 # Contract words and labels other results depend on.
 ARCHIVE_VERSION = "published-mixed-track-bgm-v3"
@@ -191,7 +191,7 @@ def window_pieces(
     bounds = bounds.join(length, [account, key]).withColumn("hi", F.least("hi", "_all")).filter("hi > lo")
     placed = ordered(
         bounds.withColumn("_len", F.col("hi") - F.col("lo")), [account, key], [F.asc("lo")],
-        running_sum={"_upto": "_len"}
+        slice_by=up("lo"), running_sum={"_upto": "_len"}
     ).withColumn("base", F.col("_upto") - F.col("_len"))
     spread = placed.withColumn(
         "block_no",

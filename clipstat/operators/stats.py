@@ -60,7 +60,6 @@ def ratio_medians(posts: DataFrame, *, account: str = "account") -> DataFrame:
     long = posts.selectExpr(account, f"stack({len(names)}, {pairs}) as (_metric, _value)")
     found = exact_quantiles(
         long, [account, "_metric"], "_value", {"_median": middle},
-        repeats=False,
     )
     wide = found.groupBy(account).agg(
         *[F.max(F.when(F.col("_metric") == m, F.col("_median"))).alias(f"_{m}") for m in names]

@@ -1,10 +1,15 @@
 """Plan shape: no single-partition exchange, early limits, narrow scans, no row-at-a-time Python."""
 
+import re
+
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from clipstat.operators import comments, ranking
 from clipstat.plans.standins import Views
+from clipstat.skew import down, ranks_by, ties, up
 
 SF = "/root/testdata/sf0.001"
 WRITING = ("S1", "S2", "S4", "K", "ST", "R", "D5", "V", "op")
@@ -31,9 +36,46 @@ def test_top_n_runs_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(ranking.archetype_top5(v("posts")))
 
 
-def test_metric_ranks_share_one_exchange(spark):
-    posts = spark.range(100).selectExpr("cast(id % 3 as string) account", "cast(id as string) aweme_id", "id seq", "id likes", "id % 7 comments", "id % 5 collects", "id % 3 shares")
-    assert plan(ranking.metric_ranks(posts)).count("Exchange hashpartitioning") == 1
+WHOLE = ("account", "aweme_id", "_g0", "_g1", "_metric", "_rank")
+
+
+def windows_over_whole_groups(text: str) -> list[str]:
+    """Windows of a plan that are dealt by account or post alone, other than limits on a rank."""
+    found = []
+    for line in text.splitlines():
+        got = re.search(r"(?:^|[ +-])Window \[.*\bwindowspecdefinition\(([^\[]*?), [^,]* (?:ASC|DESC)", line)
+        keys = [re.sub(r"#\d+L?", "", k).strip() for k in got[1].split(",") if " ASC" not in k and " DESC" not in k] if got else []
+        if keys and all(k in WHOLE for k in keys):
+            found.append(line.strip())
+    return found
+
+
+@pytest.mark.parametrize("name", ["W7_merge_intervals", "W7_review_intervals", "W7_speech_islands", "W8_complement_intervals", "J6_frames_in_intervals",
+                                  "J7_samples_in_windows", "A3_nearest_rank_percentile", "A4_median", "A5_nonzero_median", "A6_upper_median", "A7_ratio_medians",
+                                  "W2_metric_ranks", "W3_prominence"])
+def test_no_window_over_a_whole_account_or_post(spark, name):
+    assert windows_over_whole_groups(plan(entry.queries()[name](spark, SF))) == []
+
+
+def test_the_check_above_sees_a_window_over_an_account(spark):
+    posts = Views(spark, SF)("posts")
+    spec = Window.partitionBy("account").orderBy("seq")
+    assert windows_over_whole_groups(plan(posts.select("account", F.sum("likes").over(spec))))
+
+
+def test_an_account_of_equal_likes_spreads_over_tasks(spark):
+    posts = spark.range(20_000).selectExpr("'a0' account", "id seq", "if(id % 10 = 0, id, 0L) likes", "0L comments", "0L collects", "0L shares")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = ranks_by(posts, "account", {"r": "likes"}, "likes", "seq")
+        long = ranked._jdf.queryExecution().executedPlan().toString()
+        assert long.count("_slice2") and windows_over_whole_groups(long) == []
+        late = posts.selectExpr("seq", "likes as _metric", "likes as _then", "seq as _late")
+        slices = late.groupBy(down("_metric"), ties("_metric", down("_then")), ties("_metric", ties("_then", up("_late")))).count()
+        assert slices.agg(F.max("count")).first()[0] < 20_000 / 16
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def test_scan_reads_only_what_is_needed(spark):
