@@ -8,13 +8,11 @@ concentration of independent samples.
 
 Bins are joined to bands; documents that share a band are candidates, and every link is confirmed on
 the full sets. Inside a band bucket nothing is compared all against all. Documents meet the bucket's
-first member. If the bucket then holds several components, the members outside the largest one meet the
-members of other components; two documents are compared only if their sizes and their distances to the
-first member leave a link possible, which the triangle inequality of the Jaccard distance decides exactly.
-A bucket with more than ``CROWD`` members outside its largest component (texts around one common passage)
-is joined on rare shingles instead: each set in order of its shingles' frequency among all such members,
-rarest first, and two sets at the threshold agree in the first few. That join is exact too; it loses no
-pair, and what a crowd has in common enters it only where it makes up six sevenths of a text.
+first member. Members of buckets that then still hold several components are joined on rare shingles:
+each set in order of its shingles' frequency among all such members, rarest first, of which two sets at the
+threshold share one of the first few. That join is exact, whichever bands they share, and what a crowd has
+in common enters it only where it makes up six sevenths of a text. Under a shingle members meet the first
+one again, and then those outside the largest component meet the members of other components.
 """
 
 from __future__ import annotations
@@ -35,8 +33,6 @@ PERCENT = 75
 #: A pair at the threshold shares no band with probability (1 - 0.75 ** ROWS) ** BANDS = 2e-6.
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
-#: With more members outside its largest component a bucket is joined on rare shingles.
-CROWD = 24
 
 _ROUND = seeds(2 * BINS, 1)
 _BAND = seeds(BANDS, 2)
@@ -155,13 +151,6 @@ def _linked() -> Column:
     return F.lit(100) * F.col("common") >= F.lit(PERCENT) * F.col("total")
 
 
-def _may_link() -> Column:
-    """Sizes, and distances to the bucket's head, that leave a link possible."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    near = F.abs(F.col("d_a") - F.col("d_b")) <= F.lit(1 - PERCENT / 100 + 1e-9)
-    return (F.lit(100) * small >= F.lit(PERCENT) * large) & near
-
-
 def _still_split(rows: DataFrame) -> DataFrame:
     """Rows of buckets that hold more than one component, with its largest one and the members outside it."""
     sizes = rows.groupBy("key", "c").agg(F.count("*").alias("_n"))
@@ -222,17 +211,27 @@ def _may_agree() -> Column:
     return (F.lit(100) * small >= F.lit(PERCENT) * large) & indexed & (F.lit(7) * most >= F.lit(3) * (F.col("n_a") + F.col("n_b")))
 
 
-def _by_rare_shingles(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of different components among the members of crowded buckets that may be linked."""
-    members = crowded.groupBy("node").agg(F.first("n").alias("n"), F.first("c").alias("c"))
+def _by_rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between components among ``members(node, n, c)`` that connect all that are near."""
     prefixes = hold(_rare_prefixes(members, sets), "prefixes")
-    return _with_outsiders(_still_split(prefixes), _may_agree(), "at")
+    head = prefixes.groupBy("key").agg(F.min("node").alias("head")).withColumnRenamed("head", "node")
+    sides = [prefixes.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "c", "at")]) for s in "ab"]
+    met = sides[0].join(sides[1].join(head.withColumnRenamed("node", "node_b"), ["key", "node_b"]), "key")
+    met = met.filter((F.col("c_a") != F.col("c_b")) & _may_agree()).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = hold(_verified(met, sets).filter(_linked()).select("a", "b"), "first")
+    of = [members.select(F.col("node").alias(s), F.col("c").alias(f"c_{s}")) for s in "ab"]
+    joined = components(first.join(of[0], "a").join(of[1], "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+    moved = prefixes.join(joined.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
+    pairs = _with_outsiders(_still_split(moved), _may_agree(), "at").distinct()
+    found = hold(first.unionByName(_verified(pairs, sets).filter(_linked()).select("a", "b")), "links")
+    release(prefixes, first)
+    return found
 
 
 def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed edges ``(a, b)`` that connect every component of ``reps(node, rep, set_id, n_shingles, bands)``.
 
-    A pair that shares a band is compared, or already connected, or proven to have no link.
+    A pair that shares a band is compared, or already connected, or has no common rare shingle and so no link.
     """
     rows = reps.select(F.explode("bands").alias("band"), "node", F.col("n_shingles").alias("n"))
     first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
@@ -245,17 +244,11 @@ def links(reps: DataFrame, texts: DataFrame) -> DataFrame:
     to_head = members.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     compared = hold(_verified(to_head, sets), "compared")
     edges = compared.filter(_linked()).select("a", "b")
-    far = compared.select(F.col("a").alias("node"), F.col("b").alias("head"), (1 - F.col("common") / F.col("total")).alias("d"))
-    measured = hold(members.join(far.distinct(), ["node", "head"], "left").select("band", "node", "n", F.coalesce("d", F.lit(0.0)).alias("d")), "members")
-    release(members)
-    tagged = measured.withColumnRenamed("band", "key").join(components(edges), "node", "left")
-    tagged = tagged.select("key", "node", "n", "d", F.coalesce("component", "node").alias("c"))
-    split = hold(_still_split(tagged), "split")
-    few = _with_outsiders(split.filter(F.col("outside") <= CROWD), _may_link(), "d")
-    pairs = few.unionByName(_by_rare_shingles(split.filter(F.col("outside") > CROWD), sets)).distinct()
-    more = _verified(pairs, sets).filter(_linked()).select("a", "b")
-    found = hold(edges.unionByName(more), "links")
-    release(measured, involved, sets, compared, split)
+    tagged = members.select(F.col("band").alias("key"), "node", "n").join(components(edges), "node", "left")
+    split = _still_split(tagged.select("key", "node", "n", F.coalesce("component", "node").alias("c")))
+    crowd = hold(split.groupBy("node").agg(F.first("n").alias("n"), F.first("c").alias("c")), "crowd")
+    found = hold(edges.unionByName(_by_rare_shingles(crowd, sets)), "links")
+    release(members, involved, sets, compared, crowd)
     return found
 
 

@@ -46,26 +46,25 @@ def chain(prose):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [0, 24])
-def test_crowded_buckets_lose_no_link(spark, chain, monkeypatch, crowd):
-    monkeypatch.setattr(N, "CROWD", crowd)
+def test_crowded_buckets_lose_no_link(spark, chain):
     assert as_dict(N.near_duplicates(spark.createDataFrame(chain, "doc_id bigint, text string"))) == near_components(dict(chain))
 
 
-def test_a_crowd_round_one_passage_equals_brute_force(spark, prose, monkeypatch):
-    """Texts whose similarity lies on both sides of the threshold, all through one passage; many pairs share few bands."""
-    monkeypatch.setattr(N, "CROWD", 0)
+def test_a_crowd_round_one_passage_equals_brute_force(spark, prose):
+    """Texts whose similarity lies on both sides of the threshold, all through one passage: no link needs a shared band."""
     rows = []
     for i in range(300):
         passage = prose(100, 900 + i % 3)
         rows.append((i, prose(4 + i % 23, 5000 + i // 2) + " " + passage))
     split = spark.createDataFrame(rows, "doc_id bigint, text string")
     sets = N.sets_of(split).join(N.sketches(split).select("set_id", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "set_id")
-    members = sets.select("node", "n", F.col("node").alias("c"))
-    found = {(r.a, r.b) for r in N._by_rare_shingles(members, sets.select("node", "items")).collect()}
-    plain = {d: shingles(t) for d, t in rows}
-    near = {(a, b) for a in plain for b in plain if a < b and 100 * len(plain[a] & plain[b]) >= 75 * len(plain[a] | plain[b])}
-    assert near and near <= found and len(found) < 300 * 299 / 4
+    members = N.hold(sets.select("node", "n", F.col("node").alias("c")), "members")
+    found = N._by_rare_shingles(members, N.hold(sets.select("node", "items"), "sets"))
+    got = {r.node: r.component for r in components(found).collect()}
+    want = {d: c for d, (_, c) in near_components(dict(rows)).items()}
+    assert {d: got.get(d, d) for d in want} == want and len(set(want.values())) > 3
+    prefixes = N._rare_prefixes(members, sets.select("node", "items"))
+    assert prefixes.count() < 300 * 60
 
 
 def test_sketch_fills_every_bin_and_estimates(prose):
