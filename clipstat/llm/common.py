@@ -20,10 +20,19 @@ _held: dict[str, str] = {}
 
 
 def hold(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table once to the shared folder and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write an intermediate table once to the shared folder and read it back.
+
+    What the write shuffled is of no use after it, so Spark is asked to delete those files at its end.
+    """
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    back = spark.read.schema(df.schema).parquet(path)
     back._held_at = path
     return back
 
