@@ -80,13 +80,21 @@ def nest_comments(
     )
 
 
-def comment_summary(unique: DataFrame, *, account: str = "account", key: str = "aweme_id") -> DataFrame:
-    """Totals that accompany the nested table: comments kept after dedup and posts covered."""
+def comment_summary(
+    unique: DataFrame, torn: DataFrame | None = None, *, account: str = "account", key: str = "aweme_id"
+) -> DataFrame:
+    """Totals that accompany the nested table: comments kept after dedup and posts covered.
+
+    With ``torn`` (account, corrupt_lines_skipped) the torn lines too; an account of torn lines only has totals of 0.
+    """
     per_post = unique.groupBy(account, key).agg(F.count(F.lit(1)).alias("n"))
-    return per_post.groupBy(account).agg(
+    totals = per_post.groupBy(account).agg(
         F.sum("n").alias("total_comments"),
         F.count(F.lit(1)).alias("total_videos_with_comments"),
     )
+    if torn is None:
+        return totals
+    return totals.join(torn.select(account, "corrupt_lines_skipped"), account, "full").na.fill(0)
 
 
 def covered_ids(comments: DataFrame, *, account: str = "account", key: str = "aweme_id") -> DataFrame:

@@ -1,13 +1,15 @@
-"""Readers of per-post documents, over JSON files that Spark writes from the given tables."""
+"""Readers of files and streams of files, over JSON that Spark writes from the given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.plans.queries_posts import staged
+from clipstat.operators import comments as co
+from clipstat.plans.queries_posts import KEPT_SQL, staged
 from clipstat.plans.registry import query
-from clipstat.sources import readers
+from clipstat.sources import readers, sinks
+from clipstat.streaming import streams
 
 #: Ids that share a file: their documents are one JSON list.
 IDS_PER_FILE = 4000
@@ -104,3 +106,149 @@ def _(v):
     text = counts.select(F.concat(F.lit("crawl_"), "account").alias("home"), F.to_json(F.struct(*[c for c in counts.columns if c != "account"])).alias("value"))
     text.write.partitionBy("home").text(path)
     return readers.read_creator_counts(v.spark, path).select(*counts.columns)
+
+
+def laid_out(v, rows: DataFrame, root: str, name: str) -> None:
+    """Files of ``rows(account, value)`` below ``root/crawl_<account>`` under ``name(account, number)``."""
+    path = staged(v, "text")
+    rows.write.partitionBy("account").text(path)
+    hadoop = v.spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(v.spark.sparkContext._jsc.hadoopConfiguration())
+    for number, found in enumerate(fs.globStatus(hadoop.Path(f"{path}/account=*/part-*"))):
+        account = found.getPath().getParent().getName().split("=", 1)[1]
+        target = hadoop.Path(f"{root}/crawl_{account}/{name(account, number)}")
+        fs.mkdirs(target.getParent())
+        fs.rename(found.getPath(), target)
+
+
+def as_json(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.select("account", F.to_json(F.struct(*names)).alias("value"))
+
+
+#: Accounts whose captured files were deduplicated before.
+READY_SQL = "CAST(substr(account, 2) AS INTEGER) % 2 = 1"
+
+
+@query("S3_prefer_source", f"""
+SELECT account, aweme_id, liked_count, nickname FROM posts_raw WHERE NOT {READY_SQL} UNION ALL
+SELECT account, aweme_id, liked_count, nickname FROM (SELECT *, row_number() OVER (PARTITION BY account, aweme_id ORDER BY seq DESC) AS i FROM posts_raw WHERE {READY_SQL}) WHERE i = 1""")
+def _(v):
+    """Captured files of all accounts, deduplicated ones of some; each account is read from its better source."""
+    root, names = staged(v, "captured"), ("aweme_id", "liked_count", "nickname")
+    raw = v("posts_raw").select("account", "seq", *names)
+    laid_out(v, as_json(raw, *names), root, lambda account, n: f"r1/jsonl/search_contents_{n}.jsonl")
+    ready = raw.filter(READY_SQL).groupBy("account", "aweme_id").agg(F.max_by(F.struct("liked_count", "nickname"), "seq").alias("r"))
+    one_file = as_json(ready.select("account", "aweme_id", "r.*"), *names).repartition("account")
+    laid_out(v, one_file, root, lambda account, n: f"{account}_dedup.jsonl")
+    return readers.read_preferred_posts(v.spark, root).select("account", *names)
+
+
+#: Every 50th comment is followed by a line that was cut off.
+TORN = "seq % 50 = 0"
+
+
+def captured_comments(v) -> str:
+    root, names = staged(v, "captured"), ("aweme_id", "comment_id", "content", "nickname", "like_count", "create_time")
+    rows = v("comments_raw").orderBy("seq")
+    whole = F.to_json(F.struct(*names))
+    lines = F.when(F.expr(TORN), F.concat(whole, F.lit("\n"), F.substring(whole, 1, 20))).otherwise(whole)
+    laid_out(v, rows.select("account", lines.alias("value")), root, lambda account, n: f"r1/jsonl/detail_comments_{n:05d}.jsonl")
+    return root
+
+
+@query("S2_read_comments_torn", f"""
+SELECT account, count(*) AS n, CAST(sum(length(content)) AS BIGINT) AS chars, count(*) FILTER ({TORN}) AS torn FROM comments_raw GROUP BY account""")
+def _(v):
+    """The reader over files named as captured, torn lines among them."""
+    rows = readers.read_comments(v.spark, captured_comments(v))
+    torn = F.col(readers.CORRUPT).isNotNull()
+    return rows.groupBy("account").agg(
+        F.count_if(~torn).alias("n"), F.sum(F.when(~torn, F.char_length("content"))).alias("chars"), F.count_if(torn).alias("torn"))
+
+
+@query("K2_write_comments", f"""
+WITH {KEPT_SQL}, u AS (SELECT account, count(*) AS total_comments, count(DISTINCT aweme_id) AS total_videos_with_comments FROM unique_comments GROUP BY 1),
+t AS (SELECT account, count(*) AS corrupt_lines_skipped FROM comments_raw WHERE {TORN} GROUP BY 1),
+k AS (SELECT account, CAST(sum(like_count) AS BIGINT) AS kept_likes, count(*) AS kept FROM kept WHERE pos <= 3 GROUP BY 1)
+SELECT k.account, total_comments, total_videos_with_comments, coalesce(corrupt_lines_skipped, 0) AS corrupt_lines_skipped, kept, kept_likes
+FROM k JOIN u ON u.account = k.account LEFT JOIN t ON t.account = k.account""")
+def _(v):
+    """Both tables of the sink, from files with torn lines to what is read back."""
+    good, torn = readers.split_corrupt(readers.read_comments(v.spark, captured_comments(v)))
+    unique, path = co.dedup_comments(co.clean_comments(good)), staged(v, "comments")
+    sinks.write_comments(co.top_comments_per_post(unique, 3), unique, path, 3, torn)
+    nested = v.spark.read.parquet(f"{path}/by_post").select("account", F.explode("comments").alias("c"))
+    kept = nested.groupBy("account").agg(F.count("*").alias("kept"), F.sum("c.like_count").alias("kept_likes"))
+    return v.spark.read.parquet(f"{path}/summary").join(kept, "account")
+
+
+@query("ST1_stream_posts_files", """
+WITH r AS (SELECT account, aweme_id, liked_count, nickname, seq % 3 AS part, row_number() OVER (PARTITION BY account, aweme_id, seq % 3 ORDER BY seq DESC) AS i
+  FROM posts_raw WHERE aweme_id <> '')
+SELECT account, aweme_id, arg_max(liked_count, CASE part WHEN 1 THEN 3 ELSE part END) AS liked_count,
+  arg_max(nickname, CASE part WHEN 1 THEN 3 ELSE part END) AS nickname, CAST(min(part) AS BIGINT) AS first_part FROM r WHERE i = 1 GROUP BY 1, 2""")
+def _(v):
+    """Captured files of parts 0, 1 and 2; the stream stops after part 0, then part 1 is captured once more.
+
+    The newest files come first in the second run, so older ones are late and must change nothing but first places.
+    """
+    root, out, checkpoint = staged(v, "arrive"), staged(v, "latest"), staged(v, "stream")
+    names = ("liked_count", "nickname")
+    raw = v("posts_raw").withColumn("part", F.col("seq") % 3)
+    rows = raw.groupBy("account", "aweme_id", "part").agg(F.max_by(F.struct(*names), "seq").alias("r"))
+    rows = as_json(rows.select("account", "part", "aweme_id", "r.*").repartition(4, "part"), "aweme_id", *names, "part")
+    rows = rows.select(F.concat(F.lit("crawl_"), "account").alias("home"), "value", F.get_json_object("value", "$.part").alias("part"))
+
+    def capture(part: int, folder: int) -> None:
+        rows.filter(F.col("part") == part).drop("part").write.partitionBy("home").text(f"{root}/part={folder}")
+
+    def follow() -> None:
+        arriving = streams.stream_posts(v.spark, root, recursiveFileLookup="true", latestFirst="true", maxFilesPerTrigger="60")
+        latest = streams.posts_latest(arriving, seq="arrival")
+        streams.write_changes(latest, out, checkpoint).awaitTermination()
+
+    capture(0, 0)
+    follow()
+    capture(1, 1)
+    capture(2, 2)
+    capture(1, 3)
+    follow()
+    found = streams.current(v.spark, out, *streams.POST)
+    first = F.regexp_extract("first_seq.file", r"/part=(\d)/", 1).cast("bigint")
+    return found.select(*streams.POST, *names, first.alias("first_part"))
+
+
+#: Events arrive in three parts, by id and not by time; the second and third hold events whose windows are closed by then.
+LATE_SQL = """
+e AS (SELECT stage, items, returncode, updated_at, date_trunc('hour', updated_at) AS window_start,
+  CASE WHEN seq % 10 = 0 THEN 3 WHEN updated_at < (SELECT min(updated_at) + (max(updated_at) - min(updated_at)) / 2 FROM stage_events) THEN 1 ELSE 2 END AS part FROM stage_events),
+wm AS (SELECT part, max(max(updated_at)) OVER (ORDER BY part) - INTERVAL 2 HOUR AS mark FROM e GROUP BY part),
+judged AS (SELECT e.*, coalesce(window_start + INTERVAL 1 HOUR > b.mark, true) AS in_time FROM e LEFT JOIN wm b ON b.part = e.part - 1)"""
+
+
+def late_run(v) -> tuple[str, int]:
+    """The closed windows' folder and the late rows, after three runs of one stream."""
+    path, out, checkpoint = staged(v, "events"), staged(v, "closed"), staged(v, "stream")
+    rows = v("stage_events").withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    ends = rows.agg(F.unix_micros(F.min("updated_at")).alias("a"), F.unix_micros(F.max("updated_at")).alias("b")).first()
+    early = F.unix_micros("updated_at") < ends["a"] + (ends["b"] - ends["a"]) / 2
+    part = F.when(F.col("seq") % 10 == 0, 3).when(early, 1).otherwise(2)
+    arrived = 0
+    for k in (1, 2, 3):
+        rows.filter(part == k).drop("seq").write.mode("append").parquet(path)
+        arriving = v.spark.readStream.schema(rows.drop("seq").schema).parquet(path)
+        arrived += streams.closed_run_metrics(arriving, out, checkpoint)
+    return out, streams.late_rows(v.spark, out, checkpoint, arrived)
+
+
+@query("ST3_stream_run_metrics_closed", f"""
+WITH {LATE_SQL} SELECT window_start, stage, count(*) AS events, CAST(sum(items) AS BIGINT) AS items, count(*) FILTER (returncode <> 0) AS failed,
+  (SELECT count(*) FROM judged WHERE NOT in_time) AS late_rows FROM judged
+WHERE in_time AND window_start + INTERVAL 1 HOUR <= (SELECT max(mark) FROM wm) GROUP BY 1, 2""")
+def _(v):
+    """Windows closed by the watermark, each written once, with the count of the rows that came too late."""
+    out, late = late_run(v)
+    found = v.spark.read.parquet(out)
+    return found.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "stage", "events", "items", "failed",
+        F.lit(late).cast("bigint").alias("late_rows"))

@@ -12,6 +12,8 @@ from clipstat import schemas
 from clipstat.functions import columns as C
 
 CORRUPT = "_corrupt_record"
+#: File names that may hold posts, deduplicated or as captured.
+POST_FILES = "{*_dedup,*contents*}.jsonl"
 
 
 def add_ingest_seq(df: DataFrame, by: str = "time") -> DataFrame:
@@ -59,7 +61,9 @@ def read_comments(spark: SparkSession, path: str | Sequence[str], account: str |
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the count of torn lines per account."""
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).groupBy("account").agg(
+    # Spark refuses to read the corrupt column alone; a condition that always holds names another one.
+    read = F.length(F.concat_ws("", F.col(rows.columns[0]).cast("string"))) >= 0
+    bad = rows.filter(F.col(CORRUPT).isNotNull() & read).groupBy("account").agg(
         F.count(F.lit(1)).alias("corrupt_lines_skipped")
     )
     return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
@@ -83,6 +87,33 @@ def prefer_source(spark: SparkSession, root: str) -> list[str]:
     return sorted(ready.values()) + sorted(raw)
 
 
+def post_files(spark: SparkSession, root: str) -> DataFrame:
+    """S3 as a table of account and path: the choice of ``prefer_source``, made from a listing without contents."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", POST_FILES
+    ).load(f"{root}/crawl_*")
+    path = F.col("_metadata.file_path")
+    ready = F.nullif(F.regexp_extract(path, r"/crawl_([^/]+)/\1_dedup\.jsonl$", 1), F.lit(""))
+    captured = F.nullif(F.regexp_extract(path, r"/crawl_([^/]+)/[^/]+/jsonl/[^/]*contents[^/]*\.jsonl$", 1), F.lit(""))
+    named = files.select(F.coalesce(ready, captured).alias("account"), path.alias("path"), ready.isNotNull().alias("_ready"))
+    named = named.filter(F.col("account").isNotNull())
+    best = named.groupBy("account").agg(F.max("_ready").alias("_best"))
+    return named.join(best, "account").filter(F.col("_ready") == F.col("_best")).select("account", "path")
+
+
+def read_preferred_posts(spark: SparkSession, root: str) -> DataFrame:
+    """S1 over the files of S3: a join on the file's path, so no list of paths passes the driver's code.
+
+    Spark broadcasts the paths only where they are below its own threshold.
+    """
+    rows = _jsonl(
+        spark, f"{root}/crawl_*", schemas.POSTS_RAW, "time", None, "crawl_",
+        recursiveFileLookup="true", pathGlobFilter=POST_FILES,
+    )
+    chosen = post_files(spark, root).select(F.col("path").alias("source_file"))
+    return rows.join(chosen, "source_file", "left_semi").select(*rows.columns)
+
+
 def _documents(spark: SparkSession, path: str, schema: str, account: str | None, prefix: str) -> DataFrame:
     rows = spark.read.schema(f"{schema}, {CORRUPT} string").option("multiLine", "true").option(
         "columnNameOfCorruptRecord", CORRUPT

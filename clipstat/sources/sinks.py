@@ -24,10 +24,10 @@ def write_posts(posts: DataFrame, path: str) -> None:
     write_table(posts, path)
 
 
-def write_comments(top: DataFrame, unique: DataFrame, path: str, n: int = 100) -> None:
-    """K2: nested kept comments per post, and the totals as a second table."""
+def write_comments(top: DataFrame, unique: DataFrame, path: str, n: int = 100, torn: DataFrame | None = None) -> None:
+    """K2: nested kept comments per post, and the totals (with the torn lines skipped, if given) as a second table."""
     write_table(comment_ops.nest_comments(top, n), f"{path}/by_post")
-    write_table(comment_ops.comment_summary(unique), f"{path}/summary")
+    write_table(comment_ops.comment_summary(unique, torn), f"{path}/summary")
 
 
 def write_profiles(profiles: DataFrame, path: str) -> None:

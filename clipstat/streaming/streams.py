@@ -14,14 +14,17 @@ from pyspark.sql.streaming import StreamingQuery
 from clipstat import schemas
 from clipstat.operators import comments as comment_ops
 from clipstat.operators.ingest import require_key
+from clipstat.sources.readers import account_of
 
 POST = ("account", "aweme_id")
 COMMENT = (*POST, "_key")
 
 
-def stream_posts(spark: SparkSession, path: str, account: str, **options) -> DataFrame:
+def stream_posts(spark: SparkSession, path: str, account: str | None = None, **options) -> DataFrame:
     """Arriving post records with their place in the input: file age, path and block, then content.
 
+    Without ``account`` it is the folder after ``crawl_``.
+
     Records of one block have no row number in a stream; the content hash makes their order the same in
     every run.
     """
@@ -33,7 +36,8 @@ def stream_posts(spark: SparkSession, path: str, account: str, **options) -> Dat
         F.col("_metadata.file_modification_time").alias("age"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"), F.xxhash64(F.to_json(F.struct(*rows.columns))).alias("row"),
     )
-    return rows.select("*", place.alias("arrival")).withColumn("account", F.lit(account))
+    slug = F.lit(account) if account else account_of(F.col("_metadata.file_path"), "crawl_")
+    return rows.select("*", place.alias("arrival"), slug.alias("account"))
 
 
 def posts_latest(arriving: DataFrame, seq: str = "seq") -> DataFrame:
@@ -50,13 +54,13 @@ def comments_first(arriving: DataFrame, seq: str = "seq") -> DataFrame:
     return first.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 
-def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_changes(changes: DataFrame, path: str, checkpoint: str, *, mode: str = "update") -> StreamingQuery:
     """Start a query that writes each batch's changed rows to ``path/batch=<n>`` and ends with the input."""
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = changes.writeStream.outputMode("update").foreachBatch(save)
+    writer = changes.writeStream.outputMode(mode).foreachBatch(save)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -98,3 +102,34 @@ def stream_run_metrics(
         F.col("w.start").alias("window_start"), "stage", "events", "items", "failed",
         seconds.alias("duration_sec"), rate.alias("throughput"),
     )
+
+
+def closed_run_metrics(
+    events: DataFrame, path: str, checkpoint: str, *, at: str = "updated_at", every: str = "1 hour",
+    late: str = "2 hours",
+) -> int:
+    """ST3 in append mode: every window is written once, when the watermark has passed its end.
+
+    Runs to the end of the input and returns the rows that arrived in this run, counted by ``observe`` as they pass.
+    """
+    seen = events.observe("arrived", F.count(F.lit(1)).alias("rows"))
+    query = write_changes(stream_run_metrics(seen, at=at, every=every, late=late), path, checkpoint, mode="append")
+    query.awaitTermination()
+    progress = query.recentProgress
+    if len(progress) >= int(events.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise RuntimeError("more batches than progress updates kept; raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(p["observedMetrics"]["arrived"]["rows"] for p in progress if "arrived" in p["observedMetrics"])
+
+
+def late_rows(spark: SparkSession, path: str, checkpoint: str, arrived: int) -> int:
+    """Rows that came too late for their window: all that arrived, less those in closed windows and in open ones.
+
+    Open windows are read from the query's own state.
+    """
+    closed = spark.read.parquet(path).agg(F.sum("events")).first()[0] or 0
+    state = spark.read.format("statestore").load(checkpoint)
+    # The aggregate's buffers in the order of its functions, their names repeat; the first one counts rows.
+    kinds = [f.dataType.simpleString() for f in state.schema["value"].dataType.fields]
+    named = F.col("value").cast("struct<" + ", ".join(f"b{i}: {t}" for i, t in enumerate(kinds)) + ">")
+    waiting = state.agg(F.sum(named.getField("b0"))).first()[0] or 0
+    return arrived - closed - waiting
