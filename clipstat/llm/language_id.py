@@ -24,8 +24,6 @@ from clipstat.session import ship_package
 
 #: Bytes of a window, filters of each width, labelled documents per language and windows per document in the sample.
 WINDOW, FILTERS, DOCS_PER_LANG, WINDOWS_PER_DOC = 256, 12, 400, 3
-#: Languages learned at most: the most frequent ones of the training rows.
-MOST_LANGS = 64
 WIDTHS = (2, 3, 4)
 UNKNOWN = "und"
 EPOCHS, BATCH, RATE = 12, 64, 0.01
@@ -142,22 +140,25 @@ def _slopes(net: Network, coded: np.ndarray, truth: np.ndarray) -> list[np.ndarr
     return [*out, back.sum(0), hidden.T @ p, p.sum(0)]
 
 
-def sample(labelled: DataFrame, per_lang: int = DOCS_PER_LANG, seed: int = 7) -> list[tuple[bytes, str]]:
+def sample(labelled: DataFrame, per_lang: int = DOCS_PER_LANG, seed: int = 7, most_langs: int | None = None) -> list[tuple[bytes, str]]:
     """Windows of at most ``per_lang`` documents of each language, by a hash of the text.
 
     Takes ``text`` and ``lang``. The cut of a text's windows is made by Spark: at most ``WINDOWS_PER_DOC``
-    pieces spread evenly over the whole text come to the driver.
+    pieces spread evenly over the whole text come to the driver. Every language is learned, at some 0.3 MB of
+    sample each; with ``most_langs`` only the most frequent ones, and no text is then given to another.
     """
     usable = labelled.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn("code", F.xxhash64(F.lit(seed), "text"))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).select("lang")
+    if most_langs is not None:
+        common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).select("lang")
+        usable = usable.join(common, "lang", "left_semi")
     order = Window.partitionBy("lang").orderBy("code")
-    # At most MOST_LANGS * per_lang rows; only then are texts touched again.
-    chosen = usable.select("lang", "code").distinct().join(F.broadcast(common), "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_lang)
+    # At most per_lang rows of a language; only then are texts touched again.
+    chosen = usable.select("lang", "code").distinct().withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_lang)
     size = F.length("text")
     pieces = [
         F.substring("text", (F.floor(size * k / WINDOWS_PER_DOC) + 1).cast("int"), F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC)
     ]
-    met = usable.join(F.broadcast(chosen), ["lang", "code"])
+    met = usable.join(chosen, ["lang", "code"])
     rows = met.groupBy("lang", "_n").agg(F.min(F.array(*pieces)).alias("parts")).collect()
     found = []
     for row in sorted(rows, key=lambda r: (r["lang"], r["_n"])):
@@ -207,7 +208,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learned(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
-    """A network from the labelled rows of ``df`` that are not held out."""
+    """A network from the labelled rows of ``df`` that are not held out.
+
+    Without any usable label it has no languages, and ``predicted`` gives ``und`` for every text.
+    """
     return train(sample(df.filter(~held_out(F.col(doc_id))).select(F.col(text).alias("text"), F.col(lang).alias("lang"))))
 
 

@@ -41,8 +41,9 @@ def _usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 class Shard:
     """Permutations and inverted files of some vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray) -> None:
-        self.ids, self.vectors, self.pivots = ids, vectors, pivots
+    def __init__(self, ids: np.ndarray, firsts: np.ndarray, vectors: np.ndarray, pivots: np.ndarray) -> None:
+        """``firsts`` are the smallest vec_ids of the vectors; ties in score go by them."""
+        self.ids, self.firsts, self.vectors, self.pivots = ids, firsts, vectors, pivots
         self.prefix, self.posts = min(PREFIX, len(pivots)), min(POSTS, len(pivots))
         order = self.nearest(vectors)
         # Footrules stay below 2**15: at most PREFIX * PREFIX.
@@ -73,7 +74,7 @@ class Shard:
         if len(rows) > self.taken:
             rows = rows[np.argsort(footrule[rows], kind="stable")[: self.taken]]
         score = (self.vectors[rows] * query).sum(1)
-        best = np.lexsort((self.ids[rows], -score))[:k]
+        best = np.lexsort((self.ids[rows], self.firsts[rows], -score))[:k]
         return self.ids[rows[best]], score[best]
 
 
@@ -93,14 +94,14 @@ def _searching(pivots: np.ndarray, k: int):
                 if a == b:
                     continue
                 part = batch.slice(a, b - a)
-                ids, values = np.asarray(part.column("node")), vectors(part.column("v"))
+                ids, firsts, values = np.asarray(part.column("node")), np.asarray(part.column("first")), vectors(part.column("v"))
                 if tuple(keys[a, :2]) != at:
                     at, parts, shard = tuple(keys[a, :2]), [], None
                 if keys[a, 2] == 0:
-                    parts.append((ids, values))
+                    parts.append((ids, firsts, values))
                     continue
                 if shard is None and parts:
-                    shard = Shard(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), pivots)
+                    shard = Shard(*(np.concatenate(column) for column in zip(*parts)), pivots)
                 if shard is None:
                     continue
                 found = [shard.search(q, k) for q in values]
@@ -121,7 +122,8 @@ def neighbours(df: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
 
     ``queries`` is a condition on ``vec_id``. Rows with a null id take no part, nor do vectors that are
     null, empty, zero, hold a null or non-finite component, or are not as long as most. Equal rows count
-    once. Ties go to the smaller vec_id.
+    once. Ties go to the smaller vec_id, also where a
+    shard cuts its list.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -135,11 +137,12 @@ def neighbours(df: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
     shards = max(1, -(-entries.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // BLOCK_ROWS))
 
+    first_id = F.col("ids")[0].alias("first")
     held = entries.select(
-        "node", "v", F.pmod(F.hash("node"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(0).alias("kind")
+        "node", first_id, "v", F.pmod(F.hash("node"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(0).alias("kind")
     )
     asking = entries.join(asked.select("node").distinct(), "node", "left_semi").select(
-        "node", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("node"), F.lit(blocks)).alias("block"), F.lit(1).alias("kind")
+        "node", first_id, "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("node"), F.lit(blocks)).alias("block"), F.lit(1).alias("kind")
     )
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(shards * blocks, 100_000))
     dealt_out = held.unionByName(asking).repartition(tasks, "shard", "block").sortWithinPartitions("shard", "block", "kind", "node")

@@ -39,3 +39,10 @@ def test_a_filter_runs_the_network_once(documents):
     found = L.identified(documents.select("doc_id", "text"), L.learned(documents)).filter("_lang.lang_pred <> 'und' and _lang.score > 0.5")
     plan = found.select("doc_id", "_lang.lang_pred")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_every_language_is_sampled_unless_bounded(spark):
+    rows = [(f"word{i} text {'abc' * (i % 5)}", f"l{i:03d}") for i in range(80)] + [("once more", "l007")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert len({lang for _, lang in L.sample(df)}) == 80
+    assert {lang for _, lang in L.sample(df, most_langs=1)} == {"l007"}

@@ -61,3 +61,12 @@ def test_few_and_no_rows(spark):
     assert P.neighbours(df.limit(0), EVERY).columns == ["query_id", "rank", "vec_id", "score"]
     assert P.neighbours(df.limit(0), EVERY).count() == 0
     assert P.neighbours(df.limit(1), EVERY).count() == 0
+
+
+def test_ties_at_a_shards_cut_go_to_the_smaller_id(spark, monkeypatch):
+    """Sixty different vectors with one score: the twenty smallest ids win, whatever shards they are in."""
+    monkeypatch.setattr(P, "SHARD_ROWS", 25)
+    rows = [(1000, [1.0, 0.0])] + [(i, [0.5, float(i) + 1]) for i in range(60, 0, -1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    found = P.neighbours(df, "vec_id = 1000").orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == list(range(1, 21)) and {r["score"] for r in found} == {0.5}
