@@ -164,3 +164,22 @@ def test_window_metrics_of_a_stream(spark, tmp_path):
     query.awaitTermination()
     got = {(r["window_start"], r["items"], r["throughput"]) for r in spark.table("run_metrics").collect()}
     assert got == {(r["window_start"], r["items"], r["throughput"]) for r in streams.stream_run_metrics(rows).collect()}
+
+
+def test_preferred_files_by_a_join_equal_the_listed_ones(spark, tmp_path):
+    for name in ("crawl_a/a_dedup.jsonl", "crawl_a/r1/jsonl/x_contents_1.jsonl", "crawl_b/r1/jsonl/x_contents_1.jsonl",
+                 "crawl_b/r2/jsonl/y_contents_2.jsonl", "crawl_b/r2/jsonl/y_comments_2.jsonl", "crawl_c/a_dedup.jsonl"):
+        file = tmp_path / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(json.dumps({"aweme_id": name}) + "\n")
+    listed = readers.read_posts(spark, readers.prefer_source(spark, str(tmp_path)))
+    joined = readers.read_preferred_posts(spark, str(tmp_path))
+    names = {(r["account"], r["aweme_id"]) for r in joined.collect()}
+    assert names == {(r["account"], r["aweme_id"]) for r in listed.collect()} and len(names) == 3
+
+
+def test_summary_counts_torn_lines(spark):
+    unique = spark.createDataFrame([("a", "1"), ("a", "1"), ("a", "2")], "account string, aweme_id string")
+    torn = spark.createDataFrame([("b", 4)], "account string, corrupt_lines_skipped bigint")
+    found = {r["account"]: tuple(r)[1:] for r in comments.comment_summary(unique, torn).collect()}
+    assert found == {"a": (3, 2, 0), "b": (0, 0, 4)}
