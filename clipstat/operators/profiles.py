@@ -23,7 +23,7 @@ def build_profiles(
     """Every post with whatever was derived for it.
 
     All inputs have one row per post. ``transcripts`` (duration, transcript), ``soundtrack``
-    (duration, bgm_level, mood, vocal), ``frame_counts`` (frame_count, key_frames), ``visual``
+    (duration, bgm_level, mood, vocal, bgm_text), ``frame_counts`` (frame_count, key_frames), ``visual``
     (summary columns), ``comments`` (n, comments). The joins share one key, so the exchange of the
     posts serves all of them. Missing labels read ``?``.
     """
@@ -44,20 +44,22 @@ def build_profiles(
     out = attach(
         out, soundtrack,
         {"_s_dur": ("duration", "double"), "bgm_level": ("bgm_level", "string"), "mood": ("mood", "string"),
-         "vocal": ("vocal", "string")},
+         "vocal": ("vocal", "string"), "bgm_text": ("bgm_text", "string")},
     )
     out = attach(out, frame_counts, {"frame_count": ("frame_count", "bigint"), "key_frames": ("key_frames", "array<string>")})
     out = attach(
         out, visual,
         {"visual_style": ("visual_style", "string"), "temperature": ("temperature", "string"),
-         "composition": ("composition", "string"), "scene": ("scene", "string"), "ocr_status": ("ocr_status", "string")},
+         "composition": ("composition", "string"), "scene": ("scene", "string"), "ocr_status": ("ocr_status", "string"),
+         **{c: (c, "double") for c in ("mean_h", "mean_s", "mean_v", "subtitle_ratio", "product_ratio")},
+         "candidate_timestamps": ("candidate_timestamps", "array<double>")},
     )
     kept = "array<struct<content:string,like_count:bigint>>"
     out = attach(out, comments, {"_n": ("n", "int"), "top": ("comments", kept)})
     return out.withColumns(
         {
             "duration_sec": C.duration_seconds("_t_dur", "_s_dur"),
-            "transcript": F.coalesce("transcript", F.lit("")),
+            **{c: F.coalesce(c, F.lit("")) for c in ("transcript", "bgm_text")},
             **{c: F.coalesce(c, F.lit("?")) for c in ("bgm_level", "mood", "vocal")},
             "frame_count": F.coalesce("frame_count", F.lit(0)).cast("bigint"),
             "comment_n": F.coalesce("_n", F.lit(0)),

@@ -136,8 +136,11 @@ def _mult(metric: str, kind: str, suffix: str) -> str:
     return f"""CAST(round_even(CASE WHEN n.{kind}_{metric}s <> 0 THEN l.{kind}_{metric}s / n.{kind}_{metric}s END, 3) AS DOUBLE) AS {metric}_mult{suffix}"""
 
 
+MULTIPLIERS = ", ".join(_mult(m, k, s) for m in ("like", "collect", "share") for k, s in (("avg", ""), ("exact", "_exact")))
+
+
 @query("A19_group_multipliers", f"""
-WITH {GROUPS_SQL} SELECT n.account, {', '.join(_mult(m, k, s) for m in ('like', 'collect', 'share') for k, s in (('avg', ''), ('exact', '_exact')))}
+WITH {GROUPS_SQL} SELECT n.account, {MULTIPLIERS}
 FROM groups n JOIN groups l ON l.account = n.account AND l.dimension = 'by_level' AND l.value = 'light' WHERE n.dimension = 'by_level' AND n.value = 'none'""")
 def _(v):
     return soundtrack.group_multipliers(soundtrack.group_engagement(gated(v)))
@@ -399,7 +402,7 @@ def _mode_sql(column: str, where: str = "true") -> str:
 SUMMARY_SQL = f"""
 m1 AS ({_mode_sql('visual_style')}), m2 AS ({_mode_sql('temperature')}), m3 AS ({_mode_sql('composition')}), m4 AS ({_mode_sql('scene')}), m5 AS ({_mode_sql('region', 'subtitle_present')}),
 summary AS (SELECT b.*, m1.v AS visual_style, m2.v AS temperature, m3.v AS composition, m4.v AS scene, coalesce(m5.v, 'unknown') AS subtitle_region FROM (
-  SELECT account, aweme_id, count(*) AS frames_analyzed, CAST(round_even(avg(mean_h), 3) AS DOUBLE) AS mean_h,
+  SELECT account, aweme_id, count(*) AS frames_analyzed, CAST(round_even(avg(mean_h), 3) AS DOUBLE) AS mean_h, CAST(round_even(avg(mean_s), 3) AS DOUBLE) AS mean_s, CAST(round_even(avg(mean_v), 3) AS DOUBLE) AS mean_v,
     CAST(round_even(count(*) FILTER (subtitle_present)::DOUBLE / count(*), 3) AS DOUBLE) AS subtitle_ratio, CAST(round_even(count(*) FILTER (product_candidate)::DOUBLE / count(*), 3) AS DOUBLE) AS product_ratio,
     coalesce(string_agg(CAST(CAST(timestamp AS BIGINT) AS VARCHAR), ',' ORDER BY seq) FILTER (product_candidate), '') AS candidates FROM frame_rows GROUP BY 1, 2) b
   JOIN m1 ON m1.account = b.account AND m1.aweme_id = b.aweme_id JOIN m2 ON m2.account = b.account AND m2.aweme_id = b.aweme_id
@@ -421,7 +424,7 @@ def _(v):
     out = vi.visual_summary(v("frame_rows"))
     candidates = F.array_join(F.transform("candidate_timestamps", lambda t: t.cast("bigint").cast("string")), ",")
     return out.select(
-        *GROUP, "frames_analyzed", "mean_h", "subtitle_ratio", "product_ratio", candidates.alias("candidates"),
+        *GROUP, "frames_analyzed", "mean_h", "mean_s", "mean_v", "subtitle_ratio", "product_ratio", candidates.alias("candidates"),
         "visual_style", "temperature", "composition", "scene", "subtitle_region")
 
 
@@ -451,26 +454,35 @@ def _(v):
     return vi.visual_distribution(matched(v), {"temperature": {"warm": "warm tones"}})
 
 
-@query("A23_product_exposure", f"""
+PRODUCTS_SQL = f"""
 WITH {MATCHED_SQL} SELECT account, count(*) AS n, count(*) FILTER (product_ratio > 0) AS with_candidate,
-  CAST(sum(CAST(product_ratio AS DECIMAL(20,6))) AS DOUBLE) / count(*) AS mean_candidate_ratio FROM matched GROUP BY 1""")
+  CAST(sum(CAST(product_ratio AS DECIMAL(20,6))) AS DOUBLE) / count(*) AS mean_candidate_ratio FROM matched GROUP BY 1"""
+
+
+@query("A23_product_exposure", PRODUCTS_SQL)
 def _(v):
     return vi.product_exposure(matched(v))
 
 
-@query("A24_top_vs_rest_visual", f"""
+TOP_LOOKS_SQL = f"""
 WITH {TIERS_SQL}, l AS (SELECT account, tier, place, 'visual_style' AS dimension, visual_style AS value FROM tiered UNION ALL SELECT account, tier, place, 'temperature', temperature FROM tiered
   UNION ALL SELECT account, tier, place, 'composition', composition FROM tiered UNION ALL SELECT account, tier, place, 'scene', scene FROM tiered),
 c AS (SELECT account, tier, dimension, value, count(*) AS k, CAST(sum(count(*)) OVER (PARTITION BY account, tier, dimension) AS BIGINT) AS n,
   row_number() OVER (PARTITION BY account, tier, dimension ORDER BY count(*) DESC, min(place)) AS i FROM l GROUP BY 1, 2, 3, 4)
-SELECT account, tier, dimension, value, n, CAST(round_even((k * 100)::DOUBLE / n, 1) AS DOUBLE) AS share_pct FROM c WHERE i = 1""")
+SELECT account, tier, dimension, value, n, CAST(round_even((k * 100)::DOUBLE / n, 1) AS DOUBLE) AS share_pct FROM c WHERE i = 1"""
+
+
+@query("A24_top_vs_rest_visual", TOP_LOOKS_SQL)
 def _(v):
     return vi.top_vs_rest_visual(matched(v))
 
 
-@query("A24_top_vs_rest_product", f"""
+TOP_PRODUCTS_SQL = f"""
 WITH {TIERS_SQL} SELECT account, tier, count(*) AS n, CAST(round_even((count(*) FILTER (product_ratio > 0) * 100)::DOUBLE / count(*), 1) AS DOUBLE) AS with_candidate_pct,
-  CAST(round_even(CAST(sum(CAST(product_ratio AS DECIMAL(20,6))) AS DOUBLE) * 100 / count(*), 1) AS DOUBLE) AS mean_candidate_pct FROM tiered GROUP BY 1, 2""")
+  CAST(round_even(CAST(sum(CAST(product_ratio AS DECIMAL(20,6))) AS DOUBLE) * 100 / count(*), 1) AS DOUBLE) AS mean_candidate_pct FROM tiered GROUP BY 1, 2"""
+
+
+@query("A24_top_vs_rest_product", TOP_PRODUCTS_SQL)
 def _(v):
     return vi.top_vs_rest_product(matched(v))
 

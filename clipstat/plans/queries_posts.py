@@ -237,10 +237,9 @@ def _(v):
 
 @query("J2_comments_of_known_posts", """
 SELECT c.account, c.aweme_id, c.seq FROM comments_raw c WHERE EXISTS (
-  SELECT 1 FROM posts p WHERE p.account = c.account AND p.aweme_id = c.aweme_id AND p.aweme_type <> 68)""")
+  SELECT 1 FROM captured p WHERE p.account = c.account AND p.aweme_id = c.aweme_id)""")
 def _(v):
-    known = v("posts").filter("aweme_type <> 68")
-    return co.comments_of_known_posts(v("comments_raw"), known).select("account", "aweme_id", "seq")
+    return co.comments_of_known_posts(v("comments_raw"), v("captured")).select("account", "aweme_id", "seq")
 
 
 @query("W4_top_comments_per_post", f"""
@@ -271,11 +270,10 @@ def _(v):
 
 
 @query("J9_comment_with_title", """
-SELECT c.account, c.aweme_id, c.seq, coalesce(p.title, '') AS title FROM comments_raw c LEFT JOIN posts p
-  ON p.account = c.account AND p.aweme_id = c.aweme_id AND p.aweme_type <> 68""")
+SELECT c.account, c.aweme_id, c.seq, coalesce(p.title, '') AS title FROM comments_raw c LEFT JOIN captured p
+  ON p.account = c.account AND p.aweme_id = c.aweme_id""")
 def _(v):
-    known = v("posts").filter("aweme_type <> 68")
-    return co.comment_with_title(v("comments_raw"), known).select("account", "aweme_id", "seq", "title")
+    return co.comment_with_title(v("comments_raw"), v("captured")).select("account", "aweme_id", "seq", "title")
 
 
 TOP_COMMENTS_SQL = """
@@ -368,12 +366,12 @@ def _(v):
 
 
 @query("T10_viral_key_frames", """
-WITH one AS (SELECT account, aweme_id, min(file) AS file FROM frame_rows WHERE subtitle_present GROUP BY 1, 2)
+WITH one AS (SELECT account, aweme_id, min(file) AS file FROM frame_rows GROUP BY 1, 2)
 SELECT account, CAST(place AS INTEGER) AS place, aweme_id, likes, file FROM (
   SELECT p.account, p.aweme_id, p.likes, o.file, row_number() OVER (PARTITION BY p.account ORDER BY p.likes DESC, p.seq) AS place
   FROM posts p JOIN one o ON p.account = o.account AND p.aweme_id = o.aweme_id) WHERE place <= 8""")
 def _(v):
-    one = v("frame_rows").filter("subtitle_present").groupBy("account", "aweme_id").agg(F.min("file").alias("file"))
+    one = v("frame_rows").groupBy("account", "aweme_id").agg(F.min("file").alias("file"))
     return ranking.viral_key_frames(v("posts"), one).select("account", "place", "aweme_id", "likes", "file")
 
 
@@ -393,14 +391,13 @@ def _(v):
 
 
 @query("J4_reconcile_counts", """
-WITH g AS (SELECT account, count(*) AS captured FROM posts WHERE aweme_type <> 68 OR account <> 'a7' GROUP BY account)
+WITH g AS (SELECT account, count(*) AS captured FROM posts GROUP BY account)
 SELECT g.account, captured, aweme_count, CASE WHEN aweme_count IS NULL OR aweme_count <= 0 THEN 'unknown'
   WHEN captured >= aweme_count THEN 'ok' WHEN captured >= 300 THEN 'capped' ELSE 'incomplete' END AS status,
   CASE WHEN aweme_count > 0 THEN greatest(aweme_count - captured, 0) END AS missing
 FROM g LEFT JOIN creator_counts c ON c.account = g.account""")
 def _(v):
-    posts = v("posts").filter("aweme_type <> 68 OR account <> 'a7'")
-    return reconcile.reconcile_counts(posts, v("creator_counts"), 300)
+    return reconcile.reconcile_counts(v("posts"), v("creator_counts"), 300)
 
 
 @query("J12_identity_guard", """

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipstat.operators import comments as co
@@ -9,10 +12,11 @@ from clipstat.operators import profiles, reconcile, soundtrack
 from clipstat.operators import visual as vi
 from clipstat.operators.ingest import rank_posts
 from clipstat.plans import report
-from clipstat.plans.queries_media import GATED_SQL, GROUP, SUMMARY_SQL
+from clipstat.plans.queries_media import (
+    GATED_SQL, GROUP, GROUPS_SQL, MATCHED_SQL, MULTIPLIERS, PRODUCTS_SQL, SUMMARY_SQL, TOP_LOOKS_SQL, TOP_PRODUCTS_SQL)
 from clipstat.plans.queries_posts import ARCHETYPE_SQL, KEPT_SQL, staged
-from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, RATES_SQL, THEME_SQL, TITLE_RULES, TOTALS_SQL
-from clipstat.plans.registry import query
+from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, PEAKS_SQL, RATES_SQL, THEME_SQL, THEMES_SQL, TITLE_RULES, TOTALS_SQL
+from clipstat.plans.registry import CHECKS, query
 from clipstat.session import stage
 from clipstat.sources import sinks
 from clipstat.streaming import streams
@@ -26,7 +30,7 @@ def sources(v) -> report.Sources:
     """Report over the stand-in views; the posts are read by every section, so they are written once."""
     return report.Sources(
         posts=stage(v("posts"), "posts"), comments=kept(v), transcripts=v("transcripts"), soundtrack=v("soundtrack"),
-        frames=v("frame_rows").filter("subtitle_present"), summaries=vi.visual_summary(v("frame_rows")),
+        frames=v("frame_rows"), summaries=vi.visual_summary(v("frame_rows")),
         covers=v("labelled"), theme_rules=TITLE_RULES, comment_patterns=(("returned", "^R"), ("open", "O part"), ("none", "zz")),
         comment_groups=(("returned", "^R", 4), ("nine", "9", 3)),
     )
@@ -34,7 +38,7 @@ def sources(v) -> report.Sources:
 
 def build(v):
     posts = rank_posts(v("posts"), seq="seq")
-    counts = v("frame_rows").filter("subtitle_present").groupBy(*GROUP).agg(F.count("*").alias("frame_count"))
+    counts = v("frame_rows").groupBy(*GROUP).agg(F.count("*").alias("frame_count"))
     return profiles.build_profiles(
         posts, v("transcripts"), v("soundtrack"), counts, vi.visual_summary(v("frame_rows")),
         co.nest_comments(kept(v), 3),
@@ -43,23 +47,25 @@ def build(v):
 
 PROFILE_SQL = f"""
 {KEPT_SQL}, {SUMMARY_SQL},
-f AS (SELECT account, aweme_id, count(*) AS frame_count FROM frame_rows WHERE subtitle_present GROUP BY 1, 2),
+f AS (SELECT account, aweme_id, count(*) AS frame_count FROM frame_rows GROUP BY 1, 2),
 c AS (SELECT account, aweme_id, CAST(count(*) AS INTEGER) AS n, string_agg(substr(content, 1, 30), ' / ' ORDER BY pos) AS best FROM kept WHERE pos <= 3 GROUP BY 1, 2),
 prof AS (SELECT p.account, p.aweme_id, CAST(row_number() OVER (PARTITION BY p.account ORDER BY p.likes DESC, p.seq) AS INTEGER) AS rank, p.title, p.likes, p.collects, p.shares, p.comments AS comment_count,
   CAST(make_timestamp(create_time * 1000000) AS DATE) AS create_day,
   CAST(round_even(coalesce(nullif(t.duration, 0), nullif(s.duration, 0), 0), 1) AS DOUBLE) AS duration_sec, coalesce(t.transcript, '') AS transcript,
-  coalesce(s.bgm_level, '?') AS bgm_level, coalesce(s.mood, '?') AS mood, coalesce(s.vocal, '?') AS vocal, coalesce(f.frame_count, 0) AS frame_count, v.visual_style, v.temperature, v.composition, v.scene,
+  coalesce(s.bgm_level, '?') AS bgm_level, coalesce(s.mood, '?') AS mood, coalesce(s.vocal, '?') AS vocal, coalesce(s.bgm_text, '') AS bgm_text, coalesce(f.frame_count, 0) AS frame_count, v.mean_h, v.mean_s, v.mean_v, v.subtitle_ratio, v.product_ratio, coalesce(v.candidates, '') AS candidates, v.visual_style, v.temperature, v.composition, v.scene,
   coalesce(c.n, 0) AS comment_n, coalesce(c.best, '') AS best
 FROM posts p LEFT JOIN transcripts t ON t.account = p.account AND t.aweme_id = p.aweme_id LEFT JOIN soundtrack s ON s.account = p.account AND s.aweme_id = p.aweme_id
 LEFT JOIN f ON f.account = p.account AND f.aweme_id = p.aweme_id LEFT JOIN summary v ON v.account = p.account AND v.aweme_id = p.aweme_id LEFT JOIN c ON c.account = p.account AND c.aweme_id = p.aweme_id)"""
 
 
-@query("J1_build_profiles", f"WITH {PROFILE_SQL} SELECT account, aweme_id, rank, duration_sec, create_day, length(transcript) AS chars, bgm_level, mood, frame_count, visual_style, comment_n, best FROM prof")
+@query("J1_build_profiles", f"WITH {PROFILE_SQL} SELECT account, aweme_id, rank, duration_sec, create_day, length(transcript) AS chars, bgm_level, mood, bgm_text, frame_count, visual_style, mean_h, mean_s, mean_v, subtitle_ratio, product_ratio, candidates, comment_n, best FROM prof")
 def _(v):
     best = F.array_join(F.transform("comments", lambda c: F.left(c["content"], F.lit(30))), " / ")
+    times = F.array_join(F.transform("candidate_timestamps", lambda t: t.cast("bigint").cast("string")), ",")
     return build(v).select(
-        *GROUP, "rank", "duration_sec", "create_day", F.char_length("transcript").cast("bigint").alias("chars"), "bgm_level", "mood",
-        "frame_count", "visual_style", "comment_n", F.coalesce(best, F.lit("")).alias("best"))
+        *GROUP, "rank", "duration_sec", "create_day", F.char_length("transcript").cast("bigint").alias("chars"), "bgm_level", "mood", "bgm_text",
+        "frame_count", "visual_style", "mean_h", "mean_s", "mean_v", "subtitle_ratio", "product_ratio",
+        F.coalesce(times, F.lit("")).alias("candidates"), "comment_n", F.coalesce(best, F.lit("")).alias("best"))
 
 
 @query("K3_write_profiles", f"WITH {PROFILE_SQL} SELECT account, count(*) AS n, CAST(sum(comment_n) AS BIGINT) AS kept, count(visual_style) AS looked FROM prof GROUP BY 1")
@@ -81,6 +87,17 @@ def _(v):
     return profiles.profile_digest(build(v))
 
 
+@query("K4_write_digest", f"""
+WITH {PROFILE_SQL} SELECT account, CAST(sum(3 + CASE WHEN visual_style IS NULL THEN 0 ELSE 1 END + CASE WHEN comment_n > 0 THEN 1 ELSE 0 END + length(title) - length(replace(title, chr(10), '')) + length(substr(transcript, 1, 200)) - length(replace(substr(transcript, 1, 200), chr(10), '')) + 1) AS BIGINT) AS lines,
+  CAST(count(*) AS BIGINT) AS heads FROM prof GROUP BY 1""")
+def _(v):
+    """The text files read back: lines and heads of every account (a blank line ends each block)."""
+    path = staged(v, "digest")
+    sinks.write_profile_digest(build(v), path)
+    return v.spark.read.option("lineSep", "\n").text(path).groupBy("account").agg(
+        F.count("*").alias("lines"), F.count_if(F.col("value").startswith("## [")).alias("heads"))
+
+
 INVENTORY_SQL = f"""
 {GATED_SQL}, {KEPT_SQL},
 inv AS (SELECT p.account, count(*) AS n_posts FROM posts p GROUP BY 1),
@@ -88,8 +105,8 @@ inv2 AS (SELECT i.account, n_posts, (SELECT count(*) FROM transcripts t WHERE t.
   (SELECT count(*) FROM kept k WHERE k.pos <= 3 AND k.account = i.account) AS n_comments,
   (SELECT count(DISTINCT aweme_id) FROM kept k WHERE k.account = i.account) AS n_comment_posts,
   (SELECT count(DISTINCT l.aweme_id) FROM labelled l WHERE l.account = i.account AND l.aweme_id IN (SELECT aweme_id FROM posts)) AS n_covers,
-  (SELECT count(DISTINCT aweme_id) FROM frame_rows f WHERE f.subtitle_present AND f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frame_posts,
-  (SELECT count(*) FROM frame_rows f WHERE f.subtitle_present AND f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frames,
+  (SELECT count(DISTINCT aweme_id) FROM frame_rows f WHERE f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frame_posts,
+  (SELECT count(*) FROM frame_rows f WHERE f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_frames,
   (SELECT count(*) FROM gated g WHERE g.evidence AND g.cache_version LIKE 'pub%' AND g.account = i.account) AS n_soundtrack,
   (SELECT count(DISTINCT aweme_id) FROM frame_rows f WHERE f.account = i.account AND f.aweme_id IN (SELECT aweme_id FROM posts)) AS n_visual FROM inv i),
 inv3 AS (SELECT *, concat_ws(',', CASE WHEN n_comments = 0 THEN 'comments' END, CASE WHEN n_soundtrack = 0 THEN 'soundtrack' END, CASE WHEN n_frame_posts = 0 THEN 'frames' END,
@@ -143,7 +160,7 @@ def _(v):
 
 
 @query("R6_viral_frames", """
-WITH files AS (SELECT account, aweme_id, file, row_number() OVER (PARTITION BY account, aweme_id ORDER BY file) - 1 AS i, count(*) OVER (PARTITION BY account, aweme_id) AS n FROM frame_rows WHERE subtitle_present),
+WITH files AS (SELECT account, aweme_id, file, row_number() OVER (PARTITION BY account, aweme_id ORDER BY file) - 1 AS i, count(*) OVER (PARTITION BY account, aweme_id) AS n FROM frame_rows),
 r AS (SELECT p.account, p.aweme_id, p.likes, f.file, row_number() OVER (PARTITION BY p.account ORDER BY p.likes DESC, p.seq) AS place
   FROM posts p JOIN files f ON f.account = p.account AND f.aweme_id = p.aweme_id AND f.i = f.n // 2)
 SELECT account, CAST(place AS INTEGER) AS place, aweme_id, likes, file FROM r WHERE place <= 8""")
@@ -203,17 +220,111 @@ def _(v):
     return v.spark.read.json(path).select("account", "count", F.size("viral").cast("bigint").alias("viral"))
 
 
-@query("K6_write_report_tables", f"""
-WITH {DAYS_SQL} SELECT 'likes_histogram' AS section, CAST(count(DISTINCT account) * 5 AS BIGINT) AS n FROM posts UNION ALL
-SELECT 'headline', count(DISTINCT account) FROM posts UNION ALL SELECT 'publishing_months', count(*) FROM (SELECT *, count(*) OVER (PARTITION BY account) AS ms FROM months) WHERE ms >= 2""")
+# ---- the other section tables -----------------------------------------------------------------
+
+
+def _section(name: str, table: str, build_section, sql: str) -> None:
+    """A row for one table of a section, over the sources of the whole report."""
+    query(name, sql)(lambda v: build_section(sources(v))[table])
+
+
+NAMED = "cache_version LIKE 'pub%' AND analysis_scope = 'non_speech_windows'"
+CONTRACT_SQL = GROUPS_SQL.replace("FROM soundtrack s", f"FROM (SELECT * FROM soundtrack WHERE {NAMED}) s")
+BEST_KEPT = f"{KEPT_SQL}, k AS (SELECT * FROM kept WHERE pos <= 3)"
+LOOKS_SQL = " UNION ALL ".join(f"SELECT account, '{d}' AS dimension, {d} AS value FROM matched" for d in vi.DIMENSIONS)
+
+_section("R4_publishing_units", "publishing_units", report.publishing, f"""
+WITH {DAYS_SQL} SELECT account, 'year' AS unit, CAST(year(t) AS INTEGER) AS value, count(*) AS n FROM dated GROUP BY 1, 3
+UNION ALL SELECT account, 'hour', CAST(hour(t) AS INTEGER) AS value, count(*) FROM dated GROUP BY account, value
+UNION ALL SELECT account, 'weekday', CAST(isodow(t) - 1 AS INTEGER) AS value, count(*) FROM dated GROUP BY account, value""")
+_section("R4_publishing_peaks", "publishing_peaks", report.publishing, PEAKS_SQL)
+_section("R5_theme_matrix_whole", "theme_matrix", report.themes, f"""
+WITH {THEMES_SQL} SELECT account, theme, n, (n * 100)::DOUBLE / an AS share_pct, l::DOUBLE / n AS mean_likes, c::DOUBLE / n AS mean_comments,
+  k::DOUBLE / n AS mean_collects, l::DOUBLE / n > al::DOUBLE / an * 2 AS hot FROM o""")
+_section("R5_likes_histogram", "likes_histogram", report.themes, """
+WITH b AS (SELECT * FROM (VALUES (0, '<100'), (1, '100-1k'), (2, '1k-10k'), (3, '10k-100k'), (4, '100k+')) t(bin, label)),
+p AS (SELECT account, CASE WHEN likes >= 100000 THEN 4 WHEN likes >= 10000 THEN 3 WHEN likes >= 1000 THEN 2 WHEN likes >= 100 THEN 1 ELSE 0 END AS bin, likes < 0 AS neg FROM posts)
+SELECT a.account, b.bin, b.label, count(p.bin) AS n, count(*) FILTER (p.neg) AS n_negative
+FROM (SELECT DISTINCT account FROM posts) a CROSS JOIN b LEFT JOIN p ON p.account = a.account AND p.bin = b.bin GROUP BY 1, 2, 3""")
+_section("R6_top_posts", "top_posts", report.best_posts, """
+SELECT account, CAST(place AS INTEGER) AS place, aweme_id, likes, collects, shares, comments, coalesce(strftime(make_timestamp(create_time * 1000000), '%Y-%m-%d'), '-') AS day,
+  substr(title, 1, 38) AS title FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY likes DESC, seq) AS place FROM posts) WHERE place <= 10""")
+_section("R6_theme_frames", "theme_frames", report.best_posts, f"""
+SELECT account, theme, aweme_id, likes FROM (SELECT account, theme, aweme_id, likes, row_number() OVER (PARTITION BY account, theme ORDER BY likes DESC, seq) AS i
+  FROM (SELECT p.*, {THEME_SQL} AS theme FROM posts p WHERE EXISTS (SELECT 1 FROM frame_rows f WHERE f.account = p.account AND f.aweme_id = p.aweme_id))) WHERE i = 1""")
+_section("R7_visual_distribution", "visual_distribution", report.looks, f"""
+WITH {MATCHED_SQL}, l AS ({LOOKS_SQL})
+SELECT account, dimension, value, count(*) AS n, (count(*) * 100)::DOUBLE / sum(count(*)) OVER (PARTITION BY account, dimension)::DOUBLE AS share_pct, value AS label FROM l GROUP BY 1, 2, 3""")
+_section("R7_visual_products", "visual_products", report.looks, PRODUCTS_SQL)
+_section("R7_visual_top_vs_rest", "visual_top_vs_rest", report.looks, TOP_LOOKS_SQL)
+_section("R7_visual_top_vs_rest_products", "visual_top_vs_rest_products", report.looks, TOP_PRODUCTS_SQL)
+_section("R7_visual_matched", "visual_matched", report.looks, """
+SELECT p.account, count(f.aweme_id) AS matched, count(*) FILTER (f.aweme_id IS NULL) AS unmatched FROM posts p
+LEFT JOIN (SELECT DISTINCT account, aweme_id FROM frame_rows) f ON f.account = p.account AND f.aweme_id = p.aweme_id GROUP BY 1""")
+_section("R8_comment_coverage", "comment_coverage", report.comment_evidence, f"""
+WITH {BEST_KEPT}, r AS (SELECT * FROM (VALUES (0, 'returned'), (1, 'open'), (2, 'none')) t(ord, theme)),
+h AS (SELECT account, CASE WHEN content LIKE 'R%' THEN 'returned' WHEN content LIKE '%O part%' THEN 'open' END AS theme FROM k),
+m AS (SELECT a.account, r.ord, r.theme, count(h.theme) AS n FROM (SELECT DISTINCT account FROM k) a CROSS JOIN r LEFT JOIN h ON h.account = a.account AND h.theme = r.theme GROUP BY 1, 2, 3),
+big AS (SELECT account, theme AS biggest_theme FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY n DESC, ord) AS i FROM m) WHERE i = 1),
+c AS (SELECT account, count(*) AS n_comments, count(DISTINCT aweme_id) AS posts_covered, max(like_count) AS best_like_count FROM k GROUP BY account),
+p AS (SELECT account, count(*) AS n_posts FROM posts GROUP BY account)
+SELECT c.account, n_comments, posts_covered, n_posts, best_like_count, biggest_theme, n_comments::DOUBLE / posts_covered AS per_post,
+  (posts_covered * 100)::DOUBLE / n_posts AS coverage_pct FROM c JOIN p ON p.account = c.account JOIN big ON big.account = c.account""")
+_section("R8_comment_cards", "comment_cards", report.comment_evidence, f"""
+WITH {BEST_KEPT} SELECT account, CAST(place AS INTEGER) AS place, aweme_id, like_count, content, CASE WHEN nickname = '' THEN '' ELSE left(sha256(nickname), 16) END AS nickname, title FROM (
+  SELECT k.account, k.aweme_id, k.like_count, substr(k.content, 1, 80) AS content, k.nickname, substr(p.title, 1, 20) AS title,
+    row_number() OVER (PARTITION BY k.account ORDER BY k.like_count DESC, p.likes DESC, p.seq, k.pos) AS place
+  FROM k JOIN posts p ON p.account = k.account AND p.aweme_id = k.aweme_id) WHERE place <= 6""")
+_section("R8_comment_friction", "comment_friction", report.comment_evidence, f"""
+WITH {BEST_KEPT}, g AS (SELECT *, 'returned' AS grp, 4 AS most FROM k WHERE length(content) >= 8 AND content LIKE 'R%'
+  UNION ALL SELECT *, 'nine', 3 FROM k WHERE length(content) >= 8 AND contains(content, '9')),
+r AS (SELECT *, row_number() OVER (PARTITION BY account, grp ORDER BY like_count DESC, aweme_id, seq) AS place FROM g)
+SELECT account, grp, CAST(place AS INTEGER) AS place, aweme_id, like_count, substr(content, 1, 66) AS content FROM r WHERE place <= most""")
+_section("R9_soundtrack_status", "soundtrack_status", report.soundtrack_section, f"""
+WITH {CONTRACT_SQL} SELECT account, status, count(*) AS n, count(*) FILTER (NOT evidence) AS excluded FROM gated GROUP BY 1, 2""")
+_section("R9_soundtrack_groups", "soundtrack_groups", report.soundtrack_section, f"""
+WITH {CONTRACT_SQL} SELECT *, CASE WHEN dimension <> 'by_level' THEN value WHEN value = 'none' THEN 'no clear background music'
+  WHEN value = 'light' THEN 'light background music' ELSE 'strong background music' END AS label FROM groups""")
+_section("R9_soundtrack_multipliers", "soundtrack_multipliers", report.soundtrack_section, f"""
+WITH {CONTRACT_SQL} SELECT n.account, {MULTIPLIERS}
+FROM groups n JOIN groups l ON l.account = n.account AND l.dimension = 'by_level' AND l.value = 'light' WHERE n.dimension = 'by_level' AND n.value = 'none'""")
+_section("R9_soundtrack_moods", "soundtrack_moods", report.soundtrack_section, f"""
+WITH {CONTRACT_SQL} SELECT account, CAST(row_number() OVER (PARTITION BY account ORDER BY avg_likes DESC, value) AS INTEGER) AS place, value AS mood, avg_likes, n
+FROM groups WHERE dimension = 'by_mood'""")
+_section("R9_soundtrack_top", "soundtrack_top", report.soundtrack_section, f"""
+WITH {CONTRACT_SQL} SELECT account, CAST(place AS INTEGER) AS place, aweme_id, likes, bgm_level, coalesce(mood, 'unknown') AS mood, vocal, non_speech_seconds
+FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY likes DESC, seq) AS place FROM gated WHERE evidence) WHERE place <= 10""")
+
+#: Section tables of a whole report and the row that checks each.
+SECTIONS = {
+    "inventory": "R1_A28_source_inventory", "headline": "R2_headline", "profile": "R3_profile_rows",
+    "provenance": "R10_provenance", "account_metrics": "R11_account_metrics",
+    "publishing_units": "R4_publishing_units", "publishing_peaks": "R4_publishing_peaks", "publishing_months": "R4_publishing_months",
+    "theme_matrix": "R5_theme_matrix_whole", "likes_histogram": "R5_likes_histogram",
+    "top_posts": "R6_top_posts", "viral_frames": "R6_viral_frames", "theme_frames": "R6_theme_frames",
+    "visual_distribution": "R7_visual_distribution", "visual_products": "R7_visual_products",
+    "visual_top_vs_rest": "R7_visual_top_vs_rest", "visual_top_vs_rest_products": "R7_visual_top_vs_rest_products",
+    "visual_ocr": "R7_ocr_note", "visual_matched": "R7_visual_matched",
+    "comment_themes": "R8_comment_themes", "comment_coverage": "R8_comment_coverage",
+    "comment_cards": "R8_comment_cards", "comment_friction": "R8_comment_friction",
+    "soundtrack_header": "R9_soundtrack_header", "soundtrack_status": "R9_soundtrack_status",
+    "soundtrack_groups": "R9_soundtrack_groups", "soundtrack_multipliers": "R9_soundtrack_multipliers",
+    "soundtrack_moods": "R9_soundtrack_moods", "soundtrack_top": "R9_soundtrack_top",
+}
+
+
+@query("K6_write_report_tables", " UNION ALL ".join(
+    f"SELECT '{table}' AS section, count(*) AS n, count(DISTINCT account) AS accounts FROM ({CHECKS[name]}) s" for table, name in SECTIONS.items()))
 def _(v):
+    """Every section of the report written and read back: rows and accounts of each."""
     path = staged(v, "report")
-    s = report.Sources(stage(v("posts")))
-    tables = {"headline": report.headline(s), "likes_histogram": report.themes(s)["likes_histogram"],
-              "publishing_months": report.publishing(s)["publishing_months"]}
-    sinks.write_report_tables(tables, path)
-    read = [v.spark.read.parquet(f"{path}/{n}").groupBy(F.lit(n).alias("section")).agg(F.count("*").alias("n")) for n in tables]
-    return read[0].unionByName(read[1]).unionByName(read[2])
+    sinks.write_report_tables(report.report_tables(sources(v)), path)
+    read = [
+        v.spark.read.parquet(f"{path}/{n}").groupBy(F.lit(n).alias("section")).agg(
+            F.count("*").alias("n"), F.count_distinct("account").alias("accounts"))
+        for n in SECTIONS
+    ]
+    return reduce(DataFrame.unionByName, read)
 
 
 @query("K7_write_targets", "SELECT account, aweme_id, liked_count FROM posts_raw WHERE contains(coalesce(nickname, ''), 'sup7')")

@@ -131,13 +131,16 @@ def _(v):
     return cadence.posts_by_unit(v("posts")).select("account", "unit", "value", "n")
 
 
-@query("A11_peaks", f"""
+PEAKS_SQL = f"""
 WITH {DAYS_SQL}, h AS (SELECT account, CAST(hour(t) AS INTEGER) AS u, count(*) AS n, min(struct_pack(a := t, b := seq)) AS f FROM dated GROUP BY 1, 2),
 w AS (SELECT account, CAST(isodow(t) - 1 AS INTEGER) AS u, count(*) AS n, min(struct_pack(a := t, b := seq)) AS f FROM dated GROUP BY 1, 2),
 h1 AS (SELECT account, u, n, row_number() OVER (PARTITION BY account ORDER BY n DESC, f) AS i FROM h),
 w1 AS (SELECT account, u, n, row_number() OVER (PARTITION BY account ORDER BY n DESC, f) AS i, row_number() OVER (PARTITION BY account ORDER BY n, f) AS j FROM w)
 SELECT h1.account, h1.u AS peak_hour, a.u AS peak_weekday, b.u AS low_weekday, h1.n AS peak_hour_n, a.n AS peak_weekday_n, b.n AS low_weekday_n
-FROM h1 JOIN w1 a ON a.account = h1.account AND a.i = 1 JOIN w1 b ON b.account = h1.account AND b.j = 1 WHERE h1.i = 1""")
+FROM h1 JOIN w1 a ON a.account = h1.account AND a.i = 1 JOIN w1 b ON b.account = h1.account AND b.j = 1 WHERE h1.i = 1"""
+
+
+@query("A11_peaks", PEAKS_SQL)
 def _(v):
     return cadence.peaks(v("posts"))
 
@@ -181,10 +184,10 @@ def _(v):
 
 @query("W10_first_per_theme", f"""
 SELECT account, theme, aweme_id, likes FROM (SELECT account, theme, aweme_id, likes, row_number() OVER (PARTITION BY account, theme ORDER BY likes DESC, seq) AS i
-  FROM (SELECT p.*, {THEME_SQL} AS theme FROM posts p WHERE EXISTS (SELECT 1 FROM frame_rows f WHERE f.account = p.account AND f.aweme_id = p.aweme_id AND f.product_candidate)))
+  FROM (SELECT p.*, {THEME_SQL} AS theme FROM posts p WHERE EXISTS (SELECT 1 FROM frame_rows f WHERE f.account = p.account AND f.aweme_id = p.aweme_id)))
 WHERE i = 1""")
 def _(v):
-    return topics.first_per_theme(v("posts"), v("frame_rows").filter("product_candidate"), TITLE_RULES)
+    return topics.first_per_theme(v("posts"), v("frame_rows"), TITLE_RULES)
 
 
 TALK_COUNTS_SQL = f"""

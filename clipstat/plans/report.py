@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from clipstat.operators import cadence, ranking, reconcile, soundtrack, stats, t
 from clipstat.operators import comments as co
 from clipstat.operators.frames import median_frame
 from clipstat.plans import rules
+from clipstat.session import stage
 
 
 @dataclass
@@ -207,7 +208,9 @@ def account_metrics(s: Sources) -> DataFrame:
 
 
 def report_tables(s: Sources) -> dict[str, DataFrame]:
-    """K6 input: every section the sources allow."""
+    """K6 input: every section the sources allow. What several sections read is written once."""
+    shared = ("comments", "summaries", "soundtrack")
+    s = replace(s, **{n: stage(getattr(s, n), n) for n in shared if getattr(s, n) is not None})
     out = {"inventory": inventory(s), "headline": headline(s), "profile": profile_rows(s), "provenance": provenance(s),
            "account_metrics": account_metrics(s)}
     out |= publishing(s) | themes(s) | best_posts(s)

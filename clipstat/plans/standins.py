@@ -54,6 +54,10 @@ FROM $orders LEFT JOIN (
   SELECT l_orderkey, count(*) AS comments, CAST(sum(l_quantity) AS BIGINT) AS collects,
     count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS shares
   FROM $lineitem GROUP BY l_orderkey) c ON l_orderkey = o_orderkey""",
+    "captured": f"""
+SELECT {_account('o_orderkey')} AS account, CAST(o_orderkey AS STRING) AS aweme_id,
+  concat(o_orderpriority, ' #', o_orderstatus) AS title
+FROM $orders WHERE o_orderkey % 29 <> 0""",
     "posts_raw": f"""
 SELECT {_account('l_orderkey')} AS account, CASE WHEN l_orderkey % 89 = 0 THEN '' ELSE CAST(l_orderkey AS STRING) END AS aweme_id,
   @days(l_shipdate) * 10000000000000 + l_partkey * 100000000 + l_suppkey * 1000 + l_linenumber AS seq,
@@ -117,6 +121,7 @@ SELECT {_account('o_orderkey')} AS account, CAST(o_orderkey AS STRING) AS aweme_
   CASE WHEN o_orderkey % 22 = 0 THEN 'error' WHEN o_orderkey % 11 = 0 THEN '' ELSE 'ok' END AS source_status,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'full' WHEN '5-LOW' THEN 'light' WHEN '2-HIGH' THEN 'unknown' ELSE 'none' END AS bgm_level,
   CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE concat('mood', CAST(o_custkey % 4 AS STRING)) END AS mood, 'unknown' AS vocal,
+  CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE concat('track ', CAST(o_custkey % 13 AS STRING)) END AS bgm_text,
   CAST(o_orderkey % 100 AS DOUBLE) / 10 AS non_speech_seconds, CAST(o_custkey % 40 AS DOUBLE) / 100 AS non_speech_coverage,
   CAST(o_orderkey % 100 AS DOUBLE) AS duration
 FROM $orders WHERE o_orderkey % 53 <> 0""",
