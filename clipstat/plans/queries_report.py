@@ -15,7 +15,7 @@ from clipstat.plans import report
 from clipstat.plans.queries_media import (
     GATED_SQL, GROUP, GROUPS_SQL, MATCHED_SQL, MULTIPLIERS, PRODUCTS_SQL, SUMMARY_SQL, TOP_LOOKS_SQL, TOP_PRODUCTS_SQL)
 from clipstat.plans.queries_posts import ARCHETYPE_SQL, KEPT_SQL, staged
-from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, PEAKS_SQL, RATES_SQL, THEME_SQL, THEMES_SQL, TITLE_RULES, TOTALS_SQL
+from clipstat.plans.queries_stats import DAYS_SQL, PCT_SQL, PEAKS_SQL, RATES_SQL, RATIOS_SQL, THEME_SQL, THEMES_SQL, TITLE_RULES, TOTALS_SQL
 from clipstat.plans.registry import CHECKS, query
 from clipstat.session import stage
 from clipstat.sources import sinks
@@ -220,6 +220,37 @@ def _(v):
     return v.spark.read.json(path).select("account", "count", F.size("viral").cast("bigint").alias("viral"))
 
 
+@query("K5_write_metrics_whole", rf"""
+WITH a AS ({ARCHETYPE_SQL}), {KEPT_SQL},
+d AS (SELECT account, string_agg(aweme_id, ',' ORDER BY place) FILTER (archetype = 'comments') AS discussion_ids FROM a GROUP BY 1),
+spoken AS (SELECT p.account, p.likes, unnest(list_distinct(regexp_extract_all(concat(p.title, chr(10), coalesce(t.transcript, '')), '#([^\s#.，。・·]+)', 1))) AS tag
+  FROM posts p LEFT JOIN transcripts t ON t.account = p.account AND t.aweme_id = p.aweme_id),
+g AS (SELECT account, tag, count(*) AS n, CAST(sum(likes) AS BIGINT) AS l FROM spoken GROUP BY 1, 2),
+tags AS (SELECT account, string_agg(concat(tag, ':', n, ':', CAST(round_even(l::DOUBLE / n, 0) AS BIGINT)), ',' ORDER BY place) AS tags
+  FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY n DESC, tag) AS place FROM g) WHERE place <= 15 GROUP BY 1),
+best AS (SELECT k.account, substr(k.content, 1, 48) AS content, k.like_count, substr(p.title, 1, 18) AS title,
+  row_number() OVER (PARTITION BY k.account ORDER BY k.like_count DESC, p.likes DESC, p.seq, k.pos) AS place
+  FROM kept k JOIN posts p ON p.account = k.account AND p.aweme_id = k.aweme_id WHERE k.pos <= 3),
+hot AS (SELECT account, string_agg(concat(content, ':', like_count, ':', title), '|' ORDER BY place) AS hot FROM best WHERE place <= 20 GROUP BY 1),
+r AS (SELECT account, {RATIOS_SQL} FROM posts GROUP BY 1)
+SELECT r.*, coalesce(discussion_ids, '') AS discussion_ids, coalesce(tags, '') AS tags, coalesce(hot, '') AS hot
+FROM r LEFT JOIN d ON d.account = r.account LEFT JOIN tags ON tags.account = r.account LEFT JOIN hot ON hot.account = r.account""")
+def _(v):
+    """The account documents written and read back: ratio medians, discussed posts, tags, best comments."""
+    path = staged(v, "metrics")
+    out = report.account_metrics(sources(v))
+    sinks.write_documents(out, path)
+    back = v.spark.read.schema(out.schema).json(path)
+
+    def listed(name, *fields, sep=","):
+        parts = F.transform(name, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields]))
+        return F.coalesce(F.array_join(parts, sep), F.lit(""))
+
+    return back.select(
+        "account", *[f"{m}_per_like_median" for m in ("collects", "shares", "comments")], listed("top_comments", "aweme_id").alias("discussion_ids"),
+        listed("tags", "tag", "n", "mean_likes").alias("tags"), listed("hot_comments", "content", "like_count", "title", sep="|").alias("hot"))
+
+
 # ---- the other section tables -----------------------------------------------------------------
 
 

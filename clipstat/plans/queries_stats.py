@@ -62,11 +62,12 @@ def _(v):
     return stats.medians(v("posts")).select("account", "upper_median")
 
 
-@query("A7_ratio_medians", """
-SELECT account, coalesce(CAST(round_even(median(collects::DOUBLE / likes) FILTER (likes > 0), 3) AS DOUBLE), 0) AS collects_per_like_median,
+RATIOS_SQL = """coalesce(CAST(round_even(median(collects::DOUBLE / likes) FILTER (likes > 0), 3) AS DOUBLE), 0) AS collects_per_like_median,
   coalesce(CAST(round_even(median(shares::DOUBLE / likes) FILTER (likes > 0), 3) AS DOUBLE), 0) AS shares_per_like_median,
-  coalesce(CAST(round_even(median(comments::DOUBLE / likes) FILTER (likes > 0), 3) AS DOUBLE), 0) AS comments_per_like_median
-FROM posts GROUP BY account""")
+  coalesce(CAST(round_even(median(comments::DOUBLE / likes) FILTER (likes > 0), 3) AS DOUBLE), 0) AS comments_per_like_median"""
+
+
+@query("A7_ratio_medians", f"SELECT account, {RATIOS_SQL} FROM posts GROUP BY account")
 def _(v):
     return stats.ratio_medians(v("posts"))
 
