@@ -57,7 +57,8 @@ class UnitIds(dict):
     so its model is asked directly; any other unit goes through the whole library.
     """
 
-    BOUND = 200_000
+    #: About 100 MB of a worker. Rare words come back: a smaller bound learns half of the units twice.
+    BOUND = 500_000
 
     def __init__(self, path: str) -> None:
         super().__init__()
