@@ -183,3 +183,26 @@ def test_summary_counts_torn_lines(spark):
     torn = spark.createDataFrame([("b", 4)], "account string, corrupt_lines_skipped bigint")
     found = {r["account"]: tuple(r)[1:] for r in comments.comment_summary(unique, torn).collect()}
     assert found == {"a": (3, 2, 0), "b": (0, 0, 4)}
+
+
+def test_state_of_a_stream_is_on_disk(spark, tmp_path):
+    schema = "account string, aweme_id string, seq bigint"
+    spark.createDataFrame([("a", "1", 1), ("a", "1", 2)], schema).write.parquet(str(tmp_path / "in"))
+    live = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    streams.write_changes(streams.posts_latest(live), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    kinds = {f.suffix for f in (tmp_path / "state/state").rglob("*.*") if not f.name.startswith(".")}
+    assert kinds & {".changelog", ".zip"} and ".delta" not in kinds
+    assert [(r["seq"], r["first_seq"]) for r in streams.current(spark, str(tmp_path / "out"), *streams.POST).collect()] == [(2, 1)]
+
+
+def test_arrivals_are_not_written_by_one_task_each(spark, tmp_path, monkeypatch):
+    """ST1 wrote a third of the posts in one task and read it as one file."""
+    from clipstat.plans import queries_report
+    from clipstat.plans.registry import QUERIES
+    from clipstat.plans.standins import Views
+
+    monkeypatch.setattr(queries_report, "staged", lambda v, name: f"{tmp_path}/{name}")
+    QUERIES["ST1_stream_posts_latest"](Views(spark, "/root/testdata/sf0.001"))
+    assert len(list((tmp_path / "arrive").glob("part-*.json"))) >= 3 * spark.sparkContext.defaultParallelism
