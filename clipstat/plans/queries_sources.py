@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from clipstat.operators import comments as co
 from clipstat.plans.queries_posts import KEPT_SQL, staged
 from clipstat.plans.registry import query
+from clipstat.session import stage
 from clipstat.sources import readers, sinks
 from clipstat.streaming import streams
 
+#: Bytes of captured files a batch of a stream reads.
+BATCH = str(1 << 30)
 #: Ids that share a file: their documents are one JSON list.
 IDS_PER_FILE = 4000
 
@@ -196,14 +199,14 @@ def _(v):
     names = ("liked_count", "nickname")
     raw = v("posts_raw").withColumn("part", F.col("seq") % 3)
     rows = raw.groupBy("account", "aweme_id", "part").agg(F.max_by(F.struct(*names), "seq").alias("r"))
-    rows = as_json(rows.select("account", "part", "aweme_id", "r.*").repartition(4, "part"), "aweme_id", *names, "part")
-    rows = rows.select(F.concat(F.lit("crawl_"), "account").alias("home"), "value", F.get_json_object("value", "$.part").alias("part"))
+    value = F.to_json(F.struct("aweme_id", "r.*", "part")).alias("value")
+    rows = stage(rows.select("part", F.concat(F.lit("crawl_"), "account").alias("home"), value), "captured")
 
     def capture(part: int, folder: int) -> None:
-        rows.filter(F.col("part") == part).drop("part").write.partitionBy("home").text(f"{root}/part={folder}")
+        rows.filter(F.col("part") == part).drop("part").hint("rebalance", "home").write.partitionBy("home").text(f"{root}/part={folder}")
 
     def follow() -> None:
-        arriving = streams.stream_posts(v.spark, root, recursiveFileLookup="true", latestFirst="true", maxFilesPerTrigger="60")
+        arriving = streams.stream_posts(v.spark, root, recursiveFileLookup="true", latestFirst="true", maxBytesPerTrigger=BATCH)
         latest = streams.posts_latest(arriving, seq="arrival")
         streams.write_changes(latest, out, checkpoint).awaitTermination()
 
