@@ -25,11 +25,14 @@ def written(v, rows: DataFrame, folder: str, wrap=lambda listed: listed) -> str:
     """
     path = f"{staged(v, folder)}/{folder}"
     fields = [c for c in rows.columns if c != "account"]
-    part = F.expr(f"cast(aweme_id as bigint) div {IDS_PER_FILE}").alias("part")
-    files = rows.groupBy("account", part).agg(F.collect_list(F.struct(*fields)).alias("listed"))
+    rows = stage(rows, "documents")
+    # As many files as the account's documents fill; ranges of ids would leave most files nearly empty.
+    sizes = rows.groupBy("account").agg(F.ceil(F.count("*") / IDS_PER_FILE).alias("parts"))
+    part = F.expr("pmod(xxhash64(aweme_id), parts)").alias("part")
+    files = rows.join(sizes, "account").groupBy("account", part).agg(F.collect_list(F.struct(*fields)).alias("listed"))
     files = files.select("account", "part", F.to_json(wrap(F.col("listed"))).alias("value"))
-    torn = files.filter("part = 0").select("account", F.lit(-1).cast("bigint").alias("part"), F.expr("substr(value, 1, 40)").alias("value"))
-    files.unionByName(torn).write.partitionBy("account", "part").text(path)
+    torn = F.when(F.col("part") == 0, F.array("value", F.expr("substr(value, 1, 40)"))).otherwise(F.array("value"))
+    files.select("account", F.explode(torn).alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("account").text(path)
     return path
 
 

@@ -206,3 +206,16 @@ def test_arrivals_are_not_written_by_one_task_each(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(queries_report, "staged", lambda v, name: f"{tmp_path}/{name}")
     QUERIES["ST1_stream_posts_latest"](Views(spark, "/root/testdata/sf0.001"))
     assert len(list((tmp_path / "arrive").glob("part-*.json"))) >= 3 * spark.sparkContext.defaultParallelism
+
+
+def test_documents_fill_files_whatever_their_ids(spark, tmp_path, monkeypatch):
+    """A file held the documents of 4,000 ids, so sparse ids made a file each."""
+    from clipstat.plans import queries_sources
+    from clipstat.plans.standins import Views
+
+    monkeypatch.setattr(queries_sources, "staged", lambda v, name: str(tmp_path))
+    rows = spark.range(200).selectExpr("concat('a', id % 2) account", "cast(id * 4000 as string) aweme_id", "'ok' analysis_status")
+    path = queries_sources.written(Views(spark, "/root/testdata/sf0.001"), rows, "bgm")
+    assert len(list(tmp_path.rglob("part-*.txt"))) == 4
+    found = queries_sources.plain_account(readers.read_soundtrack(spark, path)).select("account", "aweme_id")
+    assert sorted(map(tuple, found.collect())) == sorted((f"a{i % 2}", str(i * 4000)) for i in range(200))
