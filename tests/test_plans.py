@@ -83,3 +83,7 @@ def test_scan_reads_only_what_is_needed(spark):
     text = plan(v("soundtrack").filter("bgm_level = 'none'").groupBy("account").count())
     scan = text[text.index("ReadSchema") :]
     assert "o_totalprice" not in scan and "o_orderdate" not in scan
+
+
+def test_no_record_is_carried_where_only_keys_are_asked_for(spark):
+    assert "max_by" not in plan(entry.queries()["T1_hard_limit"](spark, SF))
