@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from clipstat.operators import comments, ranking
+from clipstat.operators import comments, ingest, ranking
 from clipstat.plans.standins import Views
 from clipstat.skew import down, ranks_by, ties, up
 
@@ -87,3 +87,7 @@ def test_scan_reads_only_what_is_needed(spark):
 
 def test_no_record_is_carried_where_only_keys_are_asked_for(spark):
     assert "max_by" not in plan(entry.queries()["T1_hard_limit"](spark, SF))
+
+
+def test_records_are_compared_once_for_a_ranked_post_table(spark):
+    assert "max_by" not in plan(ingest.build_posts(Views(spark, SF)("posts_raw")))
