@@ -244,3 +244,15 @@ def test_report_leaves_out_absent_sources(spark):
     assert rows(tables["inventory"], "n_posts", "missing_sources") == [(5, "comments,soundtrack,frames,transcripts,visual")]
     doc = tables["account_metrics"].first()
     assert [v["aweme_id"] for v in doc["viral"]] == ["5", "4", "3", "2", "1"] and len(doc["tags"]) == 5
+
+
+def test_images_are_worked_on_in_bounded_stacks():
+    """A batch of 10,000 images was one stack, with intermediate arrays of some hundred megabytes."""
+    import pandas as pd
+
+    from clipstat.operators import frames
+
+    for each in (24 * 24 * 3, 64 * 36, 4_000_000):
+        parts = list(frames._stacks(pd.DataFrame({"idx": range(10_000 if each < 5000 else 5)}), each))
+        assert all(len(p) == 1 or len(p) * each <= frames.STACK_BYTES for p in parts)
+        assert [i for p in parts for i in p["idx"]] == list(range(sum(map(len, parts)))) and len(parts) > 1
