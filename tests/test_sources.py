@@ -219,3 +219,16 @@ def test_documents_fill_files_whatever_their_ids(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.rglob("part-*.txt"))) == 4
     found = queries_sources.plain_account(readers.read_soundtrack(spark, path)).select("account", "aweme_id")
     assert sorted(map(tuple, found.collect())) == sorted((f"a{i % 2}", str(i * 4000)) for i in range(200))
+
+
+def test_captured_posts_are_written_compressed(spark, tmp_path, monkeypatch):
+    from clipstat.plans import queries_posts
+    from clipstat.plans.registry import QUERIES
+    from clipstat.plans.standins import Views
+
+    monkeypatch.setattr(queries_posts, "staged", lambda v, name: f"{tmp_path}/{name}")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert QUERIES["S1_read_posts"](Views(spark, "/root/testdata/sf0.001")).agg(F.sum("torn")).first()[0] == 0
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = list((tmp_path / "posts").rglob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files)
