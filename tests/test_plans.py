@@ -91,3 +91,10 @@ def test_no_record_is_carried_where_only_keys_are_asked_for(spark):
 
 def test_records_are_compared_once_for_a_ranked_post_table(spark):
     assert "max_by" not in plan(ingest.build_posts(Views(spark, SF)("posts_raw")))
+
+
+def test_what_many_sections_read_is_derived_once_for_the_whole_report(spark):
+    from clipstat.plans.queries_report import staged_sources
+
+    made = staged_sources(Views(spark, SF))
+    assert all("Aggregate" not in plan(df) and "Window" not in plan(df) for df in (made.comments, made.summaries))
