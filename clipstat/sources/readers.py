@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipstat import schemas
@@ -28,6 +28,22 @@ def add_ingest_seq(df: DataFrame, by: str = "time") -> DataFrame:
     return df.select("*", place.alias("seq"), F.col("_metadata.file_path").alias("source_file"))
 
 
+def flat_order(rows: DataFrame, seq: str = "seq") -> DataFrame:
+    """``seq`` of ``add_ingest_seq`` as one number in the same order: the block's place among all blocks, then the row.
+
+    The struct holds a path, which every sort and shuffle carries with each row, and is compared by sorting; numbers
+    are aggregated in place. Blocks are as many as the tasks that read them. Their list is broadcast.
+    """
+    place = [f.name for f in rows.schema[seq].dataType.fields if f.name != "row"]
+    blocks = rows.select(*[F.col(seq)[n].alias(f"_{n}") for n in place]).distinct()
+    blocks = blocks.withColumn("_no", F.row_number().over(Window.orderBy(*[f"_{n}" for n in place])))
+    known = [F.col(seq)[n] == F.col(f"_{n}") for n in place]
+    joined = rows.join(F.broadcast(blocks), known, "left")
+    # The lower 33 bits of Spark's id count the rows of a task, and a block is read by one task.
+    number = F.shiftleft(F.col("_no").cast("bigint"), 33).bitwiseOR(F.col(seq)["row"].bitwiseAND(F.lit((1 << 33) - 1)))
+    return joined.select(*[number.alias(seq) if c == seq else F.col(c) for c in rows.columns])
+
+
 def account_of(path: Column, prefix: str) -> Column:
     """The account slug is the folder after ``prefix``."""
     return F.regexp_extract(path, prefix + r"([^/]+)", 1)

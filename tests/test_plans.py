@@ -98,3 +98,8 @@ def test_what_many_sections_read_is_derived_once_for_the_whole_report(spark):
 
     made = staged_sources(Views(spark, SF))
     assert all("Aggregate" not in plan(df) and "Window" not in plan(df) for df in (made.comments, made.summaries))
+
+
+def test_ingest_order_is_aggregated_without_sorting_rows_by_path(spark):
+    text = plan(entry.queries()["S4_ingest_order"](spark, SF))
+    assert "SortAggregate" not in text

@@ -232,3 +232,17 @@ def test_captured_posts_are_written_compressed(spark, tmp_path, monkeypatch):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     files = list((tmp_path / "posts").rglob("part-*"))
     assert files and all(f.suffix == ".gz" for f in files)
+
+
+def test_places_as_one_number_follow_the_input_order(spark, tmp_path):
+    for name in ("b", "a"):
+        write(tmp_path / f"{name}.jsonl", *[{"n": i, "of": name} for i in range(3000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = readers.add_ingest_seq(spark.read.schema("n int, of string").json(str(tmp_path)), "path")
+        assert rows.select("seq.file", "seq.block").distinct().count() > 4
+        found = [(r["of"], r["n"]) for r in readers.flat_order(rows).orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [(name, i) for name in ("a", "b") for i in range(3000)]
