@@ -120,11 +120,15 @@ def laid_out(v, rows: DataFrame, root: str, name: str) -> None:
     rows.write.partitionBy("account").text(path)
     hadoop = v.spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(v.spark.sparkContext._jsc.hadoopConfiguration())
+    made = set()
     for number, found in enumerate(fs.globStatus(hadoop.Path(f"{path}/account=*/part-*"))):
         account = found.getPath().getParent().getName().split("=", 1)[1]
-        target = hadoop.Path(f"{root}/crawl_{account}/{name(account, number)}")
-        fs.mkdirs(target.getParent())
-        fs.rename(found.getPath(), target)
+        target = f"{root}/crawl_{account}/{name(account, number)}"
+        folder = target.rsplit("/", 1)[0]
+        if folder not in made:
+            fs.mkdirs(hadoop.Path(folder))
+            made.add(folder)
+        fs.rename(found.getPath(), hadoop.Path(target))
 
 
 def as_json(rows: DataFrame, *names: str) -> DataFrame:
@@ -180,8 +184,10 @@ SELECT k.account, total_comments, total_videos_with_comments, coalesce(corrupt_l
 FROM k JOIN u ON u.account = k.account LEFT JOIN t ON t.account = k.account""")
 def _(v):
     """Both tables of the sink, from files with torn lines to what is read back."""
-    good, torn = readers.split_corrupt(readers.read_comments(v.spark, captured_comments(v)))
-    unique, path = co.dedup_comments(co.clean_comments(good)), staged(v, "comments")
+    # The files are parsed once and the comments compared once, for the torn lines and both tables.
+    found = stage(readers.read_comments(v.spark, captured_comments(v)).drop("source_file"), "read")
+    good, torn = readers.split_corrupt(readers.flat_order(found))
+    unique, path = stage(co.dedup_comments(co.clean_comments(good)), "unique"), staged(v, "comments")
     sinks.write_comments(co.top_comments_per_post(unique, 3), unique, path, 3, torn)
     nested = v.spark.read.parquet(f"{path}/by_post").select("account", F.explode("comments").alias("c"))
     kept = nested.groupBy("account").agg(F.count("*").alias("kept"), F.sum("c.like_count").alias("kept_likes"))

@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 from clipstat.operators import comments, ingest, ranking
 from clipstat.plans.standins import Views
 from clipstat.skew import down, ranks_by, ties, up
+from clipstat.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 WRITING = ("S1", "S2", "S4", "K", "ST", "R", "D5", "V", "op")
@@ -103,3 +104,19 @@ def test_what_many_sections_read_is_derived_once_for_the_whole_report(spark):
 def test_ingest_order_is_aggregated_without_sorting_rows_by_path(spark):
     text = plan(entry.queries()["S4_ingest_order"](spark, SF))
     assert "SortAggregate" not in text
+
+
+def test_a_comment_is_compared_without_what_its_key_tells(spark):
+    text = plan(comments.dedup_comments(comments.clean_comments(Views(spark, SF)("comments_raw"))))
+    carried = re.search(r"functions=\[(?:partial_)?min\w*\((?:named_)?struct\(([^()]*)", text).group(1)
+    assert "account" not in carried and "aweme_id" not in carried and carried.count("seq, seq#") == 1
+
+
+def test_captured_comments_are_parsed_and_compared_once_for_both_tables(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(sinks, "write_comments", lambda top, unique, path, n, torn: given.extend([top, unique, torn]))
+    with pytest.raises(Exception):
+        entry.queries()["K2_write_comments"](spark, SF)
+    assert len(given) == 3
+    for df in given:
+        assert "json" not in plan(df) and "min(" not in plan(df)
