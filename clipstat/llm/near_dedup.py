@@ -11,8 +11,8 @@ the full sets. Inside a band bucket nothing is compared all against all. Documen
 first member. Members of buckets that then still hold several components are joined on rare shingles:
 each set in order of its shingles' frequency among all such members, rarest first, of which two sets at the
 threshold share one of the first few. That join is exact, whichever bands they share, and what a crowd has
-in common enters it only where it makes up six sevenths of a text. Under a shingle members meet the first
-one again, and then those outside the largest component meet the members of other components.
+in common enters it only where it makes up three quarters of a text. Two members meet only where what either shares
+with other components from there on is enough for a link. Under a shingle members meet the first one again, and then those outside the largest component meet the members of other components.
 """
 
 from __future__ import annotations
@@ -182,47 +182,42 @@ def _listed(sets: DataFrame) -> DataFrame:
     return arrow_map(sets.select("node", "items"), run, "node bigint, key bigint")
 
 
-def _up(share: str, n: str = "n") -> Column:
-    """The least whole number that is at least ``share`` of ``n``, in whole numbers."""
-    top, bottom = share.split("/")
-    return F.expr(f"({n} * {top} + {bottom} - 1) div {bottom}")
-
-
 def _rare_prefixes(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rarest shingles of each member as key, node, n, c, at: its place in the set's order, from 1.
+    """The rarest shingles of each member as key, node, n, c, left: its shingles from this one on that another component has.
 
-    Two sets with ``common / union >= 3/4`` have at least 3/4 of the larger and 6/7 of the smaller in
-    common, so the larger's first ``n - 3n/4 + 1`` and the smaller's first ``n - 6n/7 + 1`` shingles of
-    one order share one, whatever the order is.
+    Two linked sets have at least 3/7 of the sum of their sizes in common. In one order of all shingles, whatever it is, what they
+    have in common begins at one shingle and is no more than either has left from there; so the pair meets under that
+    shingle with enough left, and at least 3/4 of each set. Shingles of one component alone are common to no such pair.
     """
     rows = _listed(sets.join(members.select("node"), "node")).join(members, "node")
     seen = rows.groupBy("key").agg(F.count("*").alias("f"), F.min("c").alias("_lo"), F.max("c").alias("_hi"))
-    ranked = rows.join(seen, "key").withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("f", "key")))
-    first = ranked.filter(F.col("at") <= F.col("n") - _up("3/4") + 1)
-    return first.filter("_lo < _hi").select("key", "node", "n", "c", "at")
+    whole = Window.partitionBy("node")
+    spec = whole.orderBy("f", "key")
+    upto = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = F.col("_lo") < F.col("_hi")
+    left = F.count_if(shared).over(whole) - F.count_if(shared).over(upto) + 1
+    ranked = rows.join(seen, "key").withColumns({"at": F.row_number().over(spec), "left": left})
+    first = ranked.filter(shared & (4 * F.col("left") >= 3 * F.col("n")) & (4 * (F.col("at") - 1) <= F.col("n")))
+    return first.select("key", "node", "n", "c", "left")
 
 
 def _may_agree() -> Column:
-    """Sizes and places of a shared shingle that leave a link possible."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    at = F.when((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))), F.col("at_a")).otherwise(F.col("at_b"))
-    indexed = at <= small - F.expr("(least(n_a, n_b) * 6 + 6) div 7") + 1
-    most = F.least("at_a", "at_b") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    return (F.lit(100) * small >= F.lit(PERCENT) * large) & indexed & (F.lit(7) * most >= F.lit(3) * (F.col("n_a") + F.col("n_b")))
+    """What both sets have left from a shared shingle leaves a link possible, if it is the first they share."""
+    return F.lit(7) * F.least("left_a", "left_b") >= F.lit(3) * (F.col("n_a") + F.col("n_b"))
 
 
 def _by_rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Confirmed links between components among ``members(node, n, c)`` that connect all that are near."""
     prefixes = hold(_rare_prefixes(members, sets), "prefixes")
     head = prefixes.groupBy("key").agg(F.min("node").alias("head")).withColumnRenamed("head", "node")
-    sides = [prefixes.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "c", "at")]) for s in "ab"]
+    sides = [prefixes.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "c", "left")]) for s in "ab"]
     met = sides[0].join(sides[1].join(head.withColumnRenamed("node", "node_b"), ["key", "node_b"]), "key")
     met = met.filter((F.col("c_a") != F.col("c_b")) & _may_agree()).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     first = hold(_verified(met, sets).filter(_linked()).select("a", "b"), "first")
     of = [members.select(F.col("node").alias(s), F.col("c").alias(f"c_{s}")) for s in "ab"]
     joined = components(first.join(of[0], "a").join(of[1], "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
     moved = prefixes.join(joined.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
-    pairs = _with_outsiders(_still_split(moved), _may_agree(), "at").distinct()
+    pairs = _with_outsiders(_still_split(moved), _may_agree(), "left").distinct()
     found = hold(first.unionByName(_verified(pairs, sets).filter(_linked()).select("a", "b")), "links")
     release(prefixes, first)
     return found

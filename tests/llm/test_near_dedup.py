@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +69,49 @@ def test_a_crowd_round_one_passage_equals_brute_force(spark, prose):
     assert prefixes.count() < 300 * 60
 
 
+def drawn(n, seed):
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+
+
+def linked_and_compared(spark, monkeypatch, rows):
+    """Components by rare shingles alone, every text a component before, and how many pairs were compared."""
+    split = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sizes = N.sketches(split).select("set_id", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+    sets = N.sets_of(split).dropDuplicates(["set_id"]).join(sizes, "set_id")
+    members = N.hold(sets.select("node", "n", F.col("node").alias("c")), "members")
+    compared, verified = [], N._verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(N, "_verified", counted)
+    found = components(N._by_rare_shingles(members, N.hold(sets.select("node", "items"), "sets")))
+    got = {r.node: r.component for r in found.collect()}
+    return {d: got.get(d, d) for d, _ in rows}, sum(compared)
+
+
+def test_a_crowd_with_words_of_their_own_is_not_compared(spark, monkeypatch):
+    """One passage makes up over three quarters of each text, but no two of them are linked."""
+    passage = drawn(100, 70)
+    rows = [(i, drawn(20 + i % 11, 9000 + i) + " " + passage) for i in range(120)]
+    assert {d: c for d, (_, c) in near_components(dict(rows)).items()} == {i: i for i in range(120)}
+    assert linked_and_compared(spark, monkeypatch, rows) == ({i: i for i in range(120)}, 0)
+
+
+def test_crowds_on_both_sides_of_the_threshold_equal_brute_force(spark, monkeypatch):
+    """Own words before, inside and behind one of three passages; some own words are another text's too."""
+    rows = []
+    for i in range(240):
+        passage = drawn(100, 40 + i % 3).split()
+        passage[50 + i % 7 : 50 + i % 7] = drawn(i % 5, 700 + i).split()
+        rows.append((i, " ".join([drawn(3 + i % 29, 5000 + i // 2), *passage, drawn(i % 4, 800 + i)])))
+    want = {d: c for d, (_, c) in near_components(dict(rows)).items()}
+    assert 10 < len(set(want.values())) < 200
+    assert linked_and_compared(spark, monkeypatch, rows)[0] == want
+
+
 def test_sketch_fills_every_bin_and_estimates(prose):
     hashes = WordHashes()
     rng = np.random.default_rng(1)
