@@ -7,9 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from clipstat.operators import comments, ingest, ranking
+from clipstat.operators import comments, ingest, profiles, ranking
 from clipstat.plans.standins import Views
-from clipstat.skew import down, ranks_by, ties, up
+from clipstat.skew import down, exact_quantiles, middle, ranks_by, ties, up
 from clipstat.sources import sinks
 
 SF = "/root/testdata/sf0.001"
@@ -120,3 +120,9 @@ def test_captured_comments_are_parsed_and_compared_once_for_both_tables(spark, m
     assert len(given) == 3
     for df in given:
         assert "json" not in plan(df) and "min(" not in plan(df)
+
+
+def test_a_profile_takes_its_frame_count_from_the_summary(spark):
+    posts = spark.createDataFrame([("a", "1", 5)], "account string, aweme_id string, comments bigint").withColumn("create_time", F.lit(0).cast("bigint"))
+    looks = spark.createDataFrame([("a", "1", 7)], "account string, aweme_id string, frames_analyzed bigint")
+    assert profiles.build_profiles(posts, visual=looks).first()["frame_count"] == 7
