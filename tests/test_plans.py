@@ -126,3 +126,12 @@ def test_a_profile_takes_its_frame_count_from_the_summary(spark):
     posts = spark.createDataFrame([("a", "1", 5)], "account string, aweme_id string, comments bigint").withColumn("create_time", F.lit(0).cast("bigint"))
     looks = spark.createDataFrame([("a", "1", 7)], "account string, aweme_id string, frames_analyzed bigint")
     assert profiles.build_profiles(posts, visual=looks).first()["frame_count"] == 7
+
+
+def test_digests_are_made_once_for_both_looks_of_the_range_shuffle(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(sinks, "stage", lambda df, name: staged.append(name) or df, raising=False)
+    rows = spark.createDataFrame([("a", "1", 5, 1)], "account string, aweme_id string, comments bigint, rank int")
+    rows = rows.withColumns({"create_time": F.lit(0).cast("bigint"), "title": F.lit("t"), "likes": F.lit(1), "collects": F.lit(1), "shares": F.lit(1)})
+    sinks.write_profile_digest(profiles.build_profiles(rows), str(tmp_path / "digest"))
+    assert staged == ["digest"] and spark.read.text(str(tmp_path / "digest")).count() == 4
