@@ -135,3 +135,8 @@ def test_digests_are_made_once_for_both_looks_of_the_range_shuffle(spark, tmp_pa
     rows = rows.withColumns({"create_time": F.lit(0).cast("bigint"), "title": F.lit("t"), "likes": F.lit(1), "collects": F.lit(1), "shares": F.lit(1)})
     sinks.write_profile_digest(profiles.build_profiles(rows), str(tmp_path / "digest"))
     assert staged == ["digest"] and spark.read.text(str(tmp_path / "digest")).count() == 4
+
+
+def test_quantiles_deal_every_value_only_for_its_counts(spark):
+    text = plan(exact_quantiles(Views(spark, SF)("posts"), ["account"], "likes", {"m": middle}))
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(_g0#[^)]*_v#", text)) == 3
