@@ -11,14 +11,18 @@ agreement of the whole walks.
 Near texts are found by bands of sampled positions of the last doublings, and verified on the fingerprint.
 Members of a band bucket meet its first one; where a bucket then still holds several components, the members
 outside the largest one meet all others, in tiles of a bounded size that spread over tasks, so two near texts
-that share a band are always linked, however many others share it. All walks of a group of texts advance together in numpy.
+that share a band are always linked, however many others share it. Texts that meet are told apart by their lengths
+and by their last samples, where these alone differ too much; only what is left carries whole
+fingerprints. Bands are dealt in slices, one after the other, so a slice's shuffles are gone before the next one's.
+All walks of a group of texts advance together in numpy.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os.path
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,8 @@ NEAR = 0.75
 TILE = 512
 #: Ranges of ids per shuffle partition.
 RANGES = 4
+#: Parts of the bands that are worked on one after the other.
+SLICES = 4
 
 _RNG = np.random.default_rng(20_240_601)
 _MOVES = np.zeros((PERIOD, 257), np.int64)
@@ -109,6 +115,11 @@ def _weights(n: int) -> np.ndarray:
     return np.where(block == 0, 1.0, 2.0 ** (block - 1))
 
 
+def _total(n: np.ndarray) -> np.ndarray:
+    """Weight of all of ``n`` samples."""
+    return np.where(n < SAMPLES, n, (SAMPLES + n % SAMPLES) * 2.0 ** (n // SAMPLES - 1))
+
+
 def likeness(a: str, b: str) -> float:
     """0 to 1: share of steps in which two walks agree, less what chance gives."""
     if a == b:
@@ -165,7 +176,17 @@ def _ranged(df: DataFrame) -> DataFrame:
     return copies.select("doc_id", "text", "key", "at.part", "at.look").repartition(parts, "part").sortWithinPartitions("part", "look", "key", "text")
 
 
-_OUT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bands array<bigint>"
+#: A row as it is held: fingerprints in half their bytes, of the edited one only what follows the samples in common.
+_OUT = "doc_id bigint, n_chars bigint, edited_sha256 binary, packed binary, shared int, packed_tail binary, near_edited double, near_next double"
+
+
+def _pack(fingerprint: str) -> bytes:
+    """A fingerprint in half its bytes; none ends in the digit that fills it up."""
+    return bytes.fromhex(fingerprint + "f" * (len(fingerprint) % 2))
+
+
+def _unpacked(column: pa.Array) -> list[str]:
+    return [x.hex().rstrip("f") for x in column.to_pylist()]
 
 
 def _finished(rows: list[tuple], spare: list[tuple]) -> pa.RecordBatch | None:
@@ -182,18 +203,19 @@ def _finished(rows: list[tuple], spare: list[tuple]) -> pa.RecordBatch | None:
         edited.append(text[: len(text) - cut] + chain[following[k]][3][:cut])
     prints = fingerprints([symbols(t) for t in [r[3] for r in chain] + edited])
     plain, changed = prints[: len(chain)], prints[len(chain) :]
+    shared = [len(os.path.commonprefix([plain[k], c])) for k, c in zip(own, changed)]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([rows[k][0] for k in own], pa.int64()),
             pa.array([len(rows[k][3]) for k in own], pa.int64()),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-            pa.array([plain[k] for k in own], pa.string()),
-            pa.array(changed, pa.string()),
+            pa.array([hashlib.sha256(t.encode()).digest() for t in edited], pa.binary()),
+            pa.array([_pack(plain[k]) for k in own], pa.binary()),
+            pa.array(shared, pa.int32()),
+            pa.array([_pack(c[n:]) for c, n in zip(changed, shared)], pa.binary()),
             pa.array([likeness(plain[k], c) for k, c in zip(own, changed)], pa.float64()),
             pa.array([likeness(plain[k], plain[following[k]]) for k in own], pa.float64()),
-            lists([bands(plain[k]) for k in own], pa.int64()),
         ],
-        ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "bands"],
+        ["doc_id", "n_chars", "edited_sha256", "packed", "shared", "packed_tail", "near_edited", "near_next"],
     )
 
 
@@ -215,113 +237,230 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _walked(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    short_batches(df.sparkSession)
+    rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return _ranged(rows).select("doc_id", "part", "look", "text").mapInArrow(_walk, _OUT)
+
+
+def _hex(packed: str) -> Column:
+    return F.expr(f"trim(TRAILING 'f' FROM lower(hex({packed})))")
+
+
+def _spelled(walked: DataFrame, *more: str) -> DataFrame:
+    """Rows of ``_walked`` with fingerprints and digests as text, and the columns ``more``."""
+    edited = F.concat(F.substring(_hex("packed"), F.lit(1), F.col("shared")), _hex("packed_tail"))
+    sha = F.lower(F.hex("edited_sha256")).alias("edited_sha256")
+    return walked.select("doc_id", "n_chars", sha, _hex("packed").alias("fingerprint"), edited.alias("edited_fingerprint"), "near_edited", "near_next", *more)
+
+
 def fingerprinted(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, bands.
 
     The edited text ends in the first quarter of the next row by doc_id (nulls last, then by text; after
     the last the first; a single row follows itself). Null texts are empty; two empty texts are alike (1).
     """
-    ship_package(df.sparkSession)
-    short_batches(df.sparkSession)
-    rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return _ranged(rows).select("doc_id", "part", "look", "text").mapInArrow(_walk, _OUT)
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.append_column("bands", lists([bands(f) for f in batch.column("fingerprint").to_pylist()], pa.int64()))
 
-def _packed() -> Column:
-    """A fingerprint in half its bytes; none ends in the digit that fills it up."""
-    return F.unhex(F.when(F.length("fingerprint") % 2 == 1, F.concat("fingerprint", F.lit("f"))).otherwise(F.col("fingerprint")))
+    rows = _spelled(_walked(df, doc_id, text))
+    return arrow_map(rows, run, ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", bands array<bigint>")
 
 
-def _unpacked(column: pa.Array) -> list[str]:
-    return [x.hex().rstrip("f") for x in column.to_pylist()]
+def _least(near: float) -> float:
+    """Share of steps that near walks agree in, at least."""
+    return near * (1 - 1 / VALUES) + 1 / VALUES - 1e-9
+
+
+def _first_sample(n: int) -> int:
+    """Where the sketch of a fingerprint of ``n`` samples begins: two whole blocks before its last, unfinished one."""
+    return max(n // SAMPLES - 2, 0) * SAMPLES
+
 
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """``(node, packed)``, with ``bands`` or without, to node, n (samples), sketch (the last ones of them), bands."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = _unpacked(batch.column("packed"))
+        sketches = [_pack(f[_first_sample(len(f)) :]) for f in prints]
+        keys = batch.column("bands") if "bands" in batch.schema.names else lists([bands(f) for f in prints], pa.int64())
+        n = pa.array([len(f) for f in prints], pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column("node"), n, pa.array(sketches, pa.binary()), keys], ["node", "n", "sketch", "bands"])
+
+    return arrow_map(nodes, run, "node bigint, n int, sketch binary, bands array<bigint>")
+
+
+def _laid(sketches: list[bytes], lengths: list[int], width: int) -> np.ndarray:
+    """Sketches as digits, one column per sample from the first on; 0 before a sketch's begin."""
+    lines = (b"\0" * _first_sample(n) + x.hex().encode() for x, n in zip(sketches, lengths))
+    return np.frombuffer(b"".join(x[:width].ljust(width, b"f") for x in lines), np.uint8).reshape(len(sketches), width)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weight of the samples in which sketches laid out differ: the whole fingerprints differ by as much at least."""
+    return ((a != b) & (a != 0) & (b != 0)) @ _weights(a.shape[1])
+
+
+def _possible(pairs: DataFrame, near: float) -> DataFrame:
+    """The pairs that their sketches don't tell apart; see ``likeness``."""
+    most = 1 - _least(near)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        na, nb = (np.asarray(batch.column(c), np.int64) for c in ("na", "nb"))
+        width = int(max(na.max(initial=0), nb.max(initial=0)))
+        a, b = (_laid(batch.column(c).to_pylist(), n.tolist(), width) for c, n in (("sa", na), ("sb", nb)))
+        alike = pa.array(_apart(a, b) <= most * _total(np.maximum(na, nb)), pa.bool_())
+        return pa.RecordBatch.from_arrays([batch.column(c).filter(alike) for c in ("a", "b")], ["a", "b"])
+
+    return arrow_map(pairs, run, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, near: float) -> DataFrame:
+    """The near ones of pairs ``(a, b)`` of nodes, judged by their whole fingerprints."""
 
-def _verified(pairs: DataFrame, near: float) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         alike = [likeness(x, y) >= near for x, y in zip(_unpacked(batch.column("fa")), _unpacked(batch.column("fb")))]
         return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(alike, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    return arrow_map(pairs, run, "a bigint, b bigint")
+    a = nodes.select(F.col("node").alias("a"), F.col("packed").alias("fa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("packed").alias("fb"))
+    return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "fa", "fb"), run, "a bigint, b bigint")
 
 
 def _still_split(members: DataFrame) -> DataFrame:
     """Rows of buckets of more than one component, without their heads, as tiles: band, i, j, role, node, c, outer.
 
     Members outside the largest component (role 0) stand in slots i, all (role 1) in slots j; a tile is one
-    slot of each. A bucket of two is settled by its head.
+    slot of each. A bucket that fits in one tile stands there once: what is outside (role -1) also meets its like,
+    the largest component has role 1. A bucket of two is settled by its head.
     """
     sizes = members.groupBy("band", "c").agg(F.count("*").alias("_n"))
     whole = sizes.groupBy("band").agg(F.max_by("c", F.struct("_n", "c")).alias("main"), F.sum("_n").alias("all"), F.max("_n").alias("most"))
-    rows = members.join(whole.filter("most < all and all > 2"), "band").filter("node <> head")
+    whole = whole.filter("most < all and all > 2")
+    rows, outer, zero = members.filter("node <> head"), F.col("c") != F.col("main"), F.lit(0)
+    role = F.when(outer, -1).otherwise(1).alias("role")
+    small = rows.join(whole.filter(F.col("all") <= TILE), "band").select("band", zero.alias("i"), zero.alias("j"), role, "node", "c", outer.alias("outer"))
+    large = rows.join(whole.filter(F.col("all") > TILE), "band").withColumn("outside", F.col("all") - F.col("most")).withColumn("outer", outer)
     sides = [F.ceil(F.col(n) / F.lit(TILE)).cast("int") for n in ("outside", "all")]
-    rows = rows.withColumn("outside", F.col("all") - F.col("most")).withColumn("outer", F.col("c") != F.col("main"))
     slot = [F.pmod(F.xxhash64(F.lit("slot"), "node"), side).cast("int") for side in sides]
-    each = [F.explode(F.sequence(F.lit(0), side - 1)) for side in sides]
-    ours = rows.filter("outer").select("band", slot[0].alias("i"), each[1].alias("j"), F.lit(0).alias("role"), "node", "c", "outer")
-    return ours.unionByName(rows.select("band", each[0].alias("i"), slot[1].alias("j"), F.lit(1).alias("role"), "node", "c", "outer"))
+    each = [F.explode(F.sequence(zero, side - 1)) for side in sides]
+    ours = large.filter("outer").select("band", slot[0].alias("i"), each[1].alias("j"), zero.alias("role"), "node", "c", "outer")
+    theirs = large.select("band", each[0].alias("i"), slot[1].alias("j"), F.lit(1).alias("role"), "node", "c", "outer")
+    return small.unionByName(ours).unionByName(theirs)
 
 
 def _met(near: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Links between the two sides of each tile, over rows sorted by tile and role; as ``likeness`` has them."""
-    least = near * (1 - 1 / VALUES) + 1 / VALUES - 1e-9
+    """Pairs between the two sides of each tile that may be near, over rows sorted by tile and role; see ``_possible``."""
+    least = _least(near)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, side, ready = None, [], None
+        a: list[int] = []
+        b: list[int] = []
+
+        def meet(before: bool, node: int, c: int, n: int, sketch: bytes) -> None:
+            """A row meets the side; ``before``: only its smaller nodes."""
+            matrix, nodes, cs, totals = ready
+            own = float(_total(np.int64(n)))
+            use = (cs != c) & (np.minimum(totals, own) >= least * np.maximum(totals, own))
+            if before:
+                use &= nodes < node
+            at = np.flatnonzero(use)
+            if len(at):
+                row = _laid([sketch], [n], matrix.shape[1])
+                linked = nodes[at[_apart(matrix[at], row) <= (1 - least) * np.maximum(totals[at], own)]].tolist()
+                a.extend(linked)
+                b.extend([node] * len(linked))
+
+        def stand() -> None:
+            nonlocal ready
+            nodes, cs, lengths = (np.array([r[k] for r in side], np.int64) for k in range(3))
+            ready = _laid([r[3] for r in side], lengths.tolist(), int(lengths.max())), nodes, cs, _total(lengths)
+            for node, c, n, sketch, role in side:
+                if role < 0:
+                    meet(True, node, c, n, sketch)
+
+        def found() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            a.clear()
+            b.clear()
+            return out
+
         for batch in batches:
-            a: list[int] = []
-            b: list[int] = []
-            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer"))
-            for band, i, j, role, node, c, outer, text in zip(*columns, _unpacked(batch.column("packed"))):
+            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer", "n", "sketch"))
+            for band, i, j, role, node, c, outer, n, sketch in zip(*columns):
                 if (band, i, j) != tile:
+                    if side and ready is None:
+                        stand()
                     tile, side, ready = (band, i, j), [], None
-                if role == 0:
-                    side.append((node, c, text))
-                    continue
-                if not side:
-                    continue
-                if ready is None:
-                    width = max(len(t) for _, _, t in side)
-                    matrix = np.frombuffer("".join(t.ljust(width, "f") for _, _, t in side).encode(), np.uint8).reshape(len(side), width)
-                    ready = matrix, np.array([len(t) for _, _, t in side]), np.array([n for n, _, _ in side]), np.array([k for _, k, _ in side])
-                matrix, lengths, nodes, cs = ready
-                width = min(matrix.shape[1], len(text))
-                weights = _weights(max(matrix.shape[1], len(text)))
-                upto = np.concatenate([[0.0], np.cumsum(weights)])
-                total = upto[np.maximum(lengths, len(text))]
-                use = (cs != c) & (upto[np.minimum(lengths, len(text))] >= least * total)
-                if outer:
-                    use &= nodes < node
-                at = np.flatnonzero(use)
-                if not len(at):
-                    continue
-                row = np.frombuffer(text.encode(), np.uint8)[:width]
-                share = (matrix[at, :width] == row).astype(np.float64) @ weights[:width] / total[at]
-                linked = nodes[at[(share - 1 / VALUES) / (1 - 1 / VALUES) >= near]].tolist()
-                a += linked
-                b += [node] * len(linked)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                if role < 1:
+                    side.append((node, c, n, sketch, role))
+                elif side:
+                    if ready is None:
+                        stand()
+                    meet(outer, node, c, n, sketch)
+            yield found()
+        if side and ready is None:
+            stand()
+        yield found()
 
     return run
 
 
-def _links(prints: DataFrame, near: float) -> DataFrame:
-    """Edges that connect all ``(node, fingerprint, bands)`` which share a band and are near."""
-    rows = prints.select(F.explode("bands").alias("band"), "node")
-    first = rows.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
-    members = hold(rows.join(first.select("band", "head"), "band").distinct(), "members")
-    involved = members.select("node").distinct()
-    nodes = hold(prints.select("node", _packed().alias("packed")).join(involved, "node", "left_semi").dropDuplicates(["node"]), "nodes")
-    pairs = members.filter("node <> head").select("node", "head").distinct()
-    a = nodes.select("node", F.col("packed").alias("fa"))
-    b = nodes.select(F.col("node").alias("head"), F.col("packed").alias("fb"))
-    met = pairs.join(a, "node").join(b, "head").select(F.col("node").alias("a"), F.col("head").alias("b"), "fa", "fb")
-    edges = hold(_verified(met, near), "edges")
-    tagged = members.join(components(edges), "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
-    tagged = hold(tagged, "tagged")
-    tiles = _still_split(tagged).join(nodes, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
-    found = hold(edges.unionByName(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct()), "links")
-    release(members, nodes, edges, tagged)
-    return found
+def _total_of(n: str) -> Column:
+    return F.expr(f"if({n} < {SAMPLES}, {n}, ({SAMPLES} + {n} % {SAMPLES}) * pow(2D, {n} div {SAMPLES} - 1))")
+
+
+def _members(keys: DataFrame, part: int, near: float) -> DataFrame:
+    """Rows of the shared buckets of a slice: band, node, head, size, meets (not the head, and of a length that may be near it).
+
+    A bucket of two that can't be near is left out.
+    """
+    rows = keys.select(F.explode(F.array_distinct("bands")).alias("band"), "node", "n").filter(F.pmod("band", F.lit(SLICES)) == part)
+    first = rows.groupBy("band").agg(F.min("node").alias("head"), F.min_by("n", "node").alias("hn"), F.count("*").alias("size")).filter("size > 1")
+    own, head = _total_of("n"), _total_of("hn")
+    meets = (F.col("node") != F.col("head")) & (F.least(own, head) >= F.lit(_least(near)) * F.greatest(own, head))
+    return rows.join(first, "band").select("band", "node", "head", "size", meets.alias("meets")).filter("meets or size > 2")
+
+
+def _links(nodes: DataFrame, keys: DataFrame, near: float) -> DataFrame:
+    """Edges that connect all nodes which share a band and are near."""
+    a = keys.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = keys.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    members, maybe, more = [], [], []
+    for part in range(SLICES):
+        members.append(hold(_members(keys, part, near), "members"))
+        pairs = members[-1].filter("meets").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        maybe.append(hold(_possible(pairs.join(a, "a").join(b, "b"), near), "pairs"))
+    edges = hold(_verified(reduce(DataFrame.unionByName, maybe).distinct(), nodes, near), "edges")
+    release(*maybe)
+    found = components(edges)
+    for rows in members:
+        tagged = rows.filter("size > 2").join(found, "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
+        tagged = hold(tagged, "tagged")
+        tiles = _still_split(tagged).join(keys.select("node", "n", "sketch"), "node")
+        tiles = tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
+        more.append(hold(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct(), "pairs"))
+        release(rows, tagged)
+    links = hold(edges.unionByName(_verified(reduce(DataFrame.unionByName, more).distinct(), nodes, near)), "links")
+    release(edges, *more)
+    return links
+
+
+def _classes(prints: DataFrame, near: float) -> DataFrame:
+    """``(node, doc_id, packed)``, with ``bands`` or without, to one row per node: node, class_id, bands."""
+    ship_package(prints.sparkSession)
+    short_batches(prints.sparkSession)
+    once = [F.first(c).alias(c) for c in prints.columns if c not in ("node", "doc_id")]
+    nodes = hold(prints.groupBy("node").agg(F.min("doc_id").alias("least"), *once), "nodes")
+    keys = hold(_keyed(nodes.drop("least")), "keys")
+    found = components(_links(nodes, keys, near))
+    known = hold(nodes.select("node", "least").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "least"), "known")
+    release(nodes)
+    least = known.groupBy("c").agg(F.min("least").alias("class_id"))
+    return known.join(least, "c").select("node", "class_id").join(keys.select("node", "bands"), "node")
 
 
 def classified(prints: DataFrame, near: float = NEAR) -> DataFrame:
@@ -330,16 +469,18 @@ def classified(prints: DataFrame, near: float = NEAR) -> DataFrame:
     Two texts are linked if they share a band and their likeness is ``near`` at least. Equal fingerprints are
     one node, named by a 64-bit hash. A class of rows without ids has a null class_id.
     """
-    ship_package(prints.sparkSession)
-    short_batches(prints.sparkSession)
+    packed = F.unhex(F.when(F.length("fingerprint") % 2 == 1, F.concat("fingerprint", F.lit("f"))).otherwise(F.col("fingerprint")))
     prints = hold(prints.withColumn("node", F.xxhash64("fingerprint")), "prints")
-    found = components(_links(prints, near))
-    ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
-    known = hold(ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "least"), "known")
-    least = known.groupBy("c").agg(F.min("least").alias("class_id"))
-    return prints.join(known.join(least, "c").select("node", "class_id"), "node").drop("node")
+    classes = _classes(prints.select("node", "doc_id", packed.alias("packed"), "bands"), near)
+    return prints.join(classes.drop("bands"), "node").drop("node")
 
 
 def near_classes(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """``(doc_id, fingerprint, bands)`` to ``(doc_id, class_id)``, see ``classified``."""
     return classified(prints.select("doc_id", "fingerprint", "bands"), near).select("doc_id", "class_id")
+
+
+def fingerprinted_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", near: float = NEAR) -> DataFrame:
+    """Rows of ``fingerprinted`` with the class_id of ``classified``; what is held between is packed and without bands."""
+    prints = hold(_walked(df, doc_id, text).withColumn("node", F.xxhash64("packed")), "prints")
+    return _spelled(prints.join(_classes(prints.select("node", "doc_id", "packed"), near), "node"), "bands", "class_id")

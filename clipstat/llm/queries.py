@@ -36,7 +36,7 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprints.classified(edit_fingerprints.fingerprinted(table(spark, sf_dir, "documents")))
+    return edit_fingerprints.fingerprinted_classes(table(spark, sf_dir, "documents"))
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

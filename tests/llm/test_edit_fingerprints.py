@@ -138,3 +138,53 @@ def test_short_texts_share_bands(spark):
     got = E.near_classes(df).collect()
     assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == brute_classes(rows)
     assert sorted((r.class_id is None, r.class_id) for r in got if r.doc_id is None) == [(False, 0), (True, None)]
+
+
+def _fresh(rng, n):
+    return "".join(rng.choice("0123456789abcde") for _ in range(n))
+
+
+def test_sketches_tell_no_near_texts_apart():
+    import random
+
+    rng, np = random.Random(11), E.np
+    near = far = dropped = 0
+    for _ in range(3000):
+        n = rng.choice([1, 3, 20, 63, 64, 65, 120, 128, 150, 191, 192, 193, 300, 447, 448, 449, 520])
+        a = _fresh(rng, n)
+        m = rng.choice([0, 0.1, 0.2, 0.23, 0.3, 1])
+        b = "".join(rng.choice("0123456789abcde") if rng.random() < m else x for x in a)[: max(1, n - rng.choice([0, 0, 1, 9, 40]))] + _fresh(rng, rng.choice([0, 0, 5, 30]))
+        lengths = [len(a), len(b)]
+        laid = [E._laid([E._pack(f[E._first_sample(len(f)) :])], [len(f)], max(lengths)) for f in (a, b)]
+        possible = E._apart(*laid)[0] <= (1 - E._least(E.NEAR)) * E._total(np.int64(max(lengths)))
+        whole = E._total(np.array(lengths))
+        assert whole.tolist() == [E._weights(k).sum() for k in lengths]
+        if E.likeness(a, b) >= E.NEAR:
+            near += 1
+            assert possible and min(whole) >= E._least(E.NEAR) * max(whole)
+        elif m == 1 and min(lengths) > 200:
+            far += 1
+            dropped += not possible
+    assert near > 500 and far > 100 and dropped > 0.97 * far
+
+
+def test_unlike_texts_that_share_a_band_carry_no_whole_fingerprints(spark, monkeypatch):
+    import random
+
+    rng, seen, whole = random.Random(12), [], E._verified
+    monkeypatch.setattr(E, "_verified", lambda pairs, *more: (seen.append(pairs.count()), whole(pairs, *more))[1])
+    rows = [(d, _fresh(rng, 250), [7]) for d in range(150)]
+    rows += [(d, rows[d - 150][1][:-1] + "0", [7]) for d in range(150, 153)]
+    df = spark.createDataFrame(rows, "doc_id bigint, fingerprint string, bands array<bigint>")
+    got = {r.doc_id: r.class_id for r in E.near_classes(df).collect()}
+    assert got == {d: d if d < 150 else d - 150 for d, *_ in rows} and sum(seen) <= 10
+
+
+def test_held_rows_are_packed_and_without_bands(spark, monkeypatch):
+    held, hold = {}, E.hold
+    monkeypatch.setattr(E, "hold", lambda df, name: (held.setdefault(name, dict(df.dtypes)), hold(df, name))[1])
+    rows = queries.op5_fingerprints(spark, SF)
+    assert rows.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "bands", "class_id"]
+    assert not set(held["prints"].values()) & {"string", "array<bigint>"} and "packed" not in held["members"]
+    r = rows.filter("n_chars > 300").first()
+    assert r.bands == E.bands(r.fingerprint).tolist()
