@@ -9,11 +9,12 @@ can be compared step by step. Weighted by the steps they stand for, the agreeing
 agreement of the whole walks.
 
 Near texts are found by bands of sampled positions of the last doublings, and verified on the fingerprint.
-Members of a band bucket meet its first one; where a bucket then still holds several components, the members
-outside the largest one meet all others, in tiles of a bounded size that spread over tasks, so two near texts
-that share a band are always linked, however many others share it. Texts that meet are told apart by their lengths
-and by their last samples, where these alone differ too much; only what is left carries whole
-fingerprints. Bands are dealt in slices, one after the other, so a slice's shuffles are gone before the next one's.
+A row goes to each of its bands once, with a sketch of its last samples, and the members of a bucket are compared there:
+what lengths and sketches don't tell apart is a group, named by its members, so the same group of many bands is one.
+Groups, mostly pairs, are verified on whole fingerprints; both steps keep what connects a group, not its pairs. A bucket of
+many members is cut into slots; members outside its largest component then meet all others, in tiles of a bounded size
+that spread over tasks, so two near texts that share a band are always linked, however many others share it.
+Bands are dealt in slices, one after the other, so a slice's shuffles are gone before the next one's.
 All walks of a group of texts advance together in numpy.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstat.llm.common import arrow_map, hold, lists, release, short_batches
+from clipstat.llm.common import arrow_map, hold, is_empty_table, lists, mixed, release, short_batches
 from clipstat.llm.components import components
 from clipstat.session import ship_package
 
@@ -39,8 +40,8 @@ SAMPLES, PERIOD, GROUP_CHARS = 64, 8191, 6_000_000
 VALUES, END = 15, 15
 BANDS, ROWS = 24, 6
 NEAR = 0.75
-#: Members of a bucket on each side of a tile.
-TILE = 512
+#: Members of a bucket in a slot and on each side of a tile; members of a bucket compared pair by pair; rows compared at a time.
+TILE, FEW, ROWS_AT_ONCE = 512, 32, 16_000
 #: Ranges of ids per shuffle partition.
 RANGES = 4
 #: Parts of the bands that are worked on one after the other.
@@ -275,8 +276,11 @@ def _least(near: float) -> float:
 
 
 def _first_sample(n: int) -> int:
-    """Where the sketch of a fingerprint of ``n`` samples begins: two whole blocks before its last, unfinished one."""
-    return max(n // SAMPLES - 2, 0) * SAMPLES
+    """Where the sketch of a fingerprint of ``n`` samples begins: a whole block before its last, unfinished one.
+
+    These samples have half of the weight at least.
+    """
+    return max(n // SAMPLES - 1, 0) * SAMPLES
 
 
 def _keyed(nodes: DataFrame) -> DataFrame:
@@ -303,149 +307,240 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a != b) & (a != 0) & (b != 0)) @ _weights(a.shape[1])
 
 
-def _possible(pairs: DataFrame, near: float) -> DataFrame:
-    """The pairs that their sketches don't tell apart; see ``likeness``."""
-    most = 1 - _least(near)
+def _words(sketches: pa.Array) -> np.ndarray:
+    """Sketches as eight 64-bit words, four per block."""
+    offsets = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset : sketches.offset + len(sketches) + 1].astype(np.int64)
+    sizes = np.diff(offsets)
+    laid = np.full(len(sketches) * SAMPLES, 0xFF, np.uint8)
+    if len(sketches) and offsets[-1] > offsets[0]:
+        data = np.frombuffer(sketches.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        laid[np.arange(len(data)) + np.repeat(np.arange(len(sketches)) * SAMPLES - (offsets[:-1] - offsets[0]), sizes)] = data
+    return laid.view(np.uint64).reshape(len(sketches), SAMPLES // 8)
+
+
+def _unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of digits in which lines of words differ."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
+
+
+class _Sketches:
+    """Rows that meet: which pairs of them lengths and sketches don't tell apart; see ``likeness`` and ``_apart``."""
+
+    def __init__(self, sketches: pa.Array, n: np.ndarray, c: np.ndarray, near: float) -> None:
+        self.words, self.c, self.least = _words(sketches), c, _least(near)
+        self.block, self.total = np.maximum(n // SAMPLES - 1, 0), _total(n)
+
+    def possible(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether rows ``i`` and ``j``, of different components, may be near."""
+        ti, tj = self.total[i], self.total[j]
+        out = (self.c[i] != self.c[j]) & (np.minimum(ti, tj) >= self.least * np.maximum(ti, tj))
+        at = np.flatnonzero(out)
+        out[at] = self.apart(i[at], j[at]) <= (1 - self.least) * np.maximum(ti, tj)[at]
+        return out
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Weight of the samples in which the sketches differ. Those of like lengths begin one block apart at most."""
+        turned = self.block[i] > self.block[j]
+        i, j = np.where(turned, j, i), np.where(turned, i, j)
+        half, block = SAMPLES // 16, self.block[j]
+        a, b = self.words[i], self.words[j]
+        later = self.block[i] < block
+        a[later, :half] = a[later, half:]
+        a[later, half:] = ~np.uint64(0)
+        return _unlike(a[:, :half], b[:, :half]) * 2.0 ** np.maximum(block - 1, 0) + _unlike(a[:, half:], b[:, half:]) * 2.0**block
+
+
+def _spread(count: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """``(root, rows)``: the first row of a component and rows linked to one of its rows that none before it reached."""
+    unseen = np.arange(count)
+    while len(unseen) > 1:
+        root, unseen = int(unseen[0]), unseen[1:]
+        ahead = [root]
+        while ahead and len(unseen):
+            row = ahead.pop()
+            hit = linked(row, unseen)
+            if hit.any():
+                yield root, unseen[hit]
+                ahead.extend(unseen[hit].tolist())
+                unseen = unseen[~hit]
+
+
+def _labels(rows: _Sketches, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per row the first row of its tile that it is connected with by pairs that may be near."""
+    label = np.arange(int(sizes.sum()))
+    size_of, left = np.repeat(sizes, sizes), np.repeat(starts + sizes, sizes) - label
+    few = size_of <= FEW
+    pairs = [np.zeros((2, 0), np.int64)]
+    for k in range(1, int(sizes[sizes <= FEW].max(initial=1))):
+        i = np.flatnonzero(few & (left > k))
+        i = i[rows.possible(i, i + k)]
+        pairs.append(np.stack([i, i + k]))
+    i, j = np.concatenate(pairs, axis=1)
+    while len(i):
+        least = np.minimum(label[i], label[j])
+        if (label[i] == label[j]).all():
+            break
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+    for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist()):
+        for root, hit in _spread(size, lambda row, others: rows.possible(np.full(len(others), start + row), start + others)):
+            label[start + hit] = start + root
+    return label
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        na, nb = (np.asarray(batch.column(c), np.int64) for c in ("na", "nb"))
-        width = int(max(na.max(initial=0), nb.max(initial=0)))
-        a, b = (_laid(batch.column(c).to_pylist(), n.tolist(), width) for c, n in (("sa", na), ("sb", nb)))
-        alike = pa.array(_apart(a, b) <= most * _total(np.maximum(na, nb)), pa.bool_())
-        return pa.RecordBatch.from_arrays([batch.column(c).filter(alike) for c in ("a", "b")], ["a", "b"])
 
-    return arrow_map(pairs, run, "a bigint, b bigint")
+def _met(near: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Groups of rows of a tile that may be near, over rows sorted by tile: the group's name, made from its members, and each member."""
+
+    def groups(rows: pa.Table) -> pa.RecordBatch:
+        tile = np.asarray(rows["tile"])
+        starts = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+        sizes = np.diff(np.append(starts, len(tile)))
+        rows = rows.filter(pa.array(np.repeat(sizes > 1, sizes))).combine_chunks()
+        sizes = sizes[sizes > 1]
+        if not len(sizes):
+            return _members_of(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        starts, node = np.cumsum(sizes) - sizes, np.asarray(rows["node"])
+        c = np.asarray(rows["c"]) if "c" in rows.schema.names else node
+        met = _Sketches(rows["sketch"].chunk(0), np.asarray(rows["n"], np.int64), c, near)
+        return _members_of(_labels(met, starts, sizes), node)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, count = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            count += batch.num_rows
+            if count < ROWS_AT_ONCE:
+                continue
+            rows = pa.Table.from_batches(waiting)
+            tile = np.asarray(rows["tile"])
+            whole = int(np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))[-1])
+            if whole:
+                yield groups(rows.slice(0, whole))
+                waiting = rows.slice(whole).combine_chunks().to_batches()
+                count -= whole
+        if count:
+            yield groups(pa.Table.from_batches(waiting))
+
+    return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, near: float) -> DataFrame:
-    """The near ones of pairs ``(a, b)`` of nodes, judged by their whole fingerprints."""
+def _members_of(label: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    """Members of the groups of two nodes or more, once each."""
+    order = np.lexsort((node, label))
+    label, node = label[order], node[order]
+    new = np.append(True, (label[1:] != label[:-1]) | (node[1:] != node[:-1]))[: len(label)]
+    label, node = label[new], node[new]
+    starts = np.flatnonzero(np.append(True, label[1:] != label[:-1])[: len(label)])
+    sizes = np.diff(np.append(starts, len(label)))
+    names = mixed(np.add.reduceat(mixed(node.view(np.uint64)), starts)).view(np.int64) if len(starts) else node
+    kept = np.repeat(sizes > 1, sizes)
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(names, sizes)[kept], pa.int64()), pa.array(node[kept], pa.int64())], ["g", "node"])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        alike = [likeness(x, y) >= near for x, y in zip(_unpacked(batch.column("fa")), _unpacked(batch.column("fb")))]
-        return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(alike, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    a = nodes.select(F.col("node").alias("a"), F.col("packed").alias("fa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("packed").alias("fb"))
-    return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "fa", "fb"), run, "a bigint, b bigint")
+def _grouped(rows: DataFrame, near: float) -> DataFrame:
+    """``(tile, node, n, sketch)``, with ``c`` or without, to groups ``(g, node)``."""
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_met(near), "g bigint, node bigint")
 
 
-def _still_split(members: DataFrame) -> DataFrame:
-    """Rows of buckets of more than one component, without their heads, as tiles: band, i, j, role, node, c, outer.
+def _connected(nodes: list[int], prints: list[str], near: float) -> Iterator[tuple[int, int]]:
+    """Pairs that connect all near nodes of a group: the first one of a component with each other one.
 
-    Members outside the largest component (role 0) stand in slots i, all (role 1) in slots j; a tile is one
-    slot of each. A bucket that fits in one tile stands there once: what is outside (role -1) also meets its like,
-    the largest component has role 1. A bucket of two is settled by its head.
+    Groups of the same texts in many buckets so give the same pairs over and over, not a tree each.
     """
-    sizes = members.groupBy("band", "c").agg(F.count("*").alias("_n"))
-    whole = sizes.groupBy("band").agg(F.max_by("c", F.struct("_n", "c")).alias("main"), F.sum("_n").alias("all"), F.max("_n").alias("most"))
-    whole = whole.filter("most < all and all > 2")
-    rows, outer, zero = members.filter("node <> head"), F.col("c") != F.col("main"), F.lit(0)
-    role = F.when(outer, -1).otherwise(1).alias("role")
-    small = rows.join(whole.filter(F.col("all") <= TILE), "band").select("band", zero.alias("i"), zero.alias("j"), role, "node", "c", outer.alias("outer"))
-    large = rows.join(whole.filter(F.col("all") > TILE), "band").withColumn("outside", F.col("all") - F.col("most")).withColumn("outer", outer)
-    sides = [F.ceil(F.col(n) / F.lit(TILE)).cast("int") for n in ("outside", "all")]
-    slot = [F.pmod(F.xxhash64(F.lit("slot"), "node"), side).cast("int") for side in sides]
-    each = [F.explode(F.sequence(zero, side - 1)) for side in sides]
-    ours = large.filter("outer").select("band", slot[0].alias("i"), each[1].alias("j"), zero.alias("role"), "node", "c", "outer")
-    theirs = large.select("band", each[0].alias("i"), slot[1].alias("j"), F.lit(1).alias("role"), "node", "c", "outer")
-    return small.unionByName(ours).unionByName(theirs)
+    if len(nodes) == 2:
+        if likeness(*prints) >= near:
+            yield nodes[0], nodes[1]
+        return
+    width = max(map(len, prints))
+    laid = np.frombuffer("".join(x.ljust(width, "f") for x in prints).encode(), np.uint8).reshape(len(prints), width)
+    weights, ended = _weights(width), laid == _HEX[END]
 
+    def linked(row: int, others: np.ndarray) -> np.ndarray:
+        both = ~(ended[others] & ended[row])
+        all_of = both @ weights
+        share = ((laid[others] == laid[row]) & both) @ weights / np.maximum(all_of, 1)
+        return (share - 1 / VALUES) / (1 - 1 / VALUES) >= near
 
-def _met(near: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs between the two sides of each tile that may be near, over rows sorted by tile and role; see ``_possible``."""
-    least = _least(near)
+    for root, hit in _spread(len(nodes), linked):
+        for other in hit.tolist():
+            yield nodes[root], nodes[other]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, side, ready = None, [], None
-        a: list[int] = []
-        b: list[int] = []
-
-        def meet(before: bool, node: int, c: int, n: int, sketch: bytes) -> None:
-            """A row meets the side; ``before``: only its smaller nodes."""
-            matrix, nodes, cs, totals = ready
-            own = float(_total(np.int64(n)))
-            use = (cs != c) & (np.minimum(totals, own) >= least * np.maximum(totals, own))
-            if before:
-                use &= nodes < node
-            at = np.flatnonzero(use)
-            if len(at):
-                row = _laid([sketch], [n], matrix.shape[1])
-                linked = nodes[at[_apart(matrix[at], row) <= (1 - least) * np.maximum(totals[at], own)]].tolist()
-                a.extend(linked)
-                b.extend([node] * len(linked))
-
-        def stand() -> None:
-            nonlocal ready
-            nodes, cs, lengths = (np.array([r[k] for r in side], np.int64) for k in range(3))
-            ready = _laid([r[3] for r in side], lengths.tolist(), int(lengths.max())), nodes, cs, _total(lengths)
-            for node, c, n, sketch, role in side:
-                if role < 0:
-                    meet(True, node, c, n, sketch)
-
-        def found() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-            a.clear()
-            b.clear()
-            return out
 
+def _verified(groups: DataFrame, nodes: DataFrame, near: float) -> DataFrame:
+    """Pairs ``(a, b)`` that connect the near ones in groups ``(g, node)``, judged by their whole fingerprints."""
+
+    def found(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members, prints = None, [], []
         for batch in batches:
-            columns = (batch.column(k).to_pylist() for k in ("band", "i", "j", "role", "node", "c", "outer", "n", "sketch"))
-            for band, i, j, role, node, c, outer, n, sketch in zip(*columns):
-                if (band, i, j) != tile:
-                    if side and ready is None:
-                        stand()
-                    tile, side, ready = (band, i, j), [], None
-                if role < 1:
-                    side.append((node, c, n, sketch, role))
-                elif side:
-                    if ready is None:
-                        stand()
-                    meet(outer, node, c, n, sketch)
-            yield found()
-        if side and ready is None:
-            stand()
-        yield found()
+            pairs: list[tuple[int, int]] = []
+            for g, node, fingerprint in zip(batch.column("g").to_pylist(), batch.column("node").to_pylist(), _unpacked(batch.column("packed"))):
+                if g != group:
+                    if members:
+                        pairs.extend(_connected(members, prints, near))
+                    group, members, prints = g, [], []
+                members.append(node)
+                prints.append(fingerprint)
+            yield found(pairs)
+        if members:
+            yield found(list(_connected(members, prints, near)))
 
-    return run
+    rows = groups.join(nodes.select("node", "packed"), "node").select("g", "node", "packed")
+    return rows.repartition("g").sortWithinPartitions("g", "node").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _slot(sides: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("slot"), "band", "node"), sides).cast("int")
 
 
-def _total_of(n: str) -> Column:
-    return F.expr(f"if({n} < {SAMPLES}, {n}, ({SAMPLES} + {n} % {SAMPLES}) * pow(2D, {n} div {SAMPLES} - 1))")
+def _sides(count: str) -> Column:
+    return F.ceil(F.col(count) / F.lit(TILE)).cast("int")
 
 
-def _members(keys: DataFrame, part: int, near: float) -> DataFrame:
-    """Rows of the shared buckets of a slice: band, node, head, size, meets (not the head, and of a length that may be near it).
+def _still_split(members: DataFrame) -> DataFrame:
+    """Rows of buckets of more than one component, as tiles: tile, node, c.
 
-    A bucket of two that can't be near is left out.
+    Members outside the largest component stand in slots i, all in slots j; a tile is one slot of each.
     """
-    rows = keys.select(F.explode(F.array_distinct("bands")).alias("band"), "node", "n").filter(F.pmod("band", F.lit(SLICES)) == part)
-    first = rows.groupBy("band").agg(F.min("node").alias("head"), F.min_by("n", "node").alias("hn"), F.count("*").alias("size")).filter("size > 1")
-    own, head = _total_of("n"), _total_of("hn")
-    meets = (F.col("node") != F.col("head")) & (F.least(own, head) >= F.lit(_least(near)) * F.greatest(own, head))
-    return rows.join(first, "band").select("band", "node", "head", "size", meets.alias("meets")).filter("meets or size > 2")
+    sizes = members.groupBy("band", "c").agg(F.count("*").alias("_n"))
+    whole = sizes.groupBy("band").agg(F.max_by("c", F.struct("_n", "c")).alias("main"), F.sum("_n").alias("all"), F.max("_n").alias("most"))
+    rows = members.join(whole.filter("most < all"), "band").withColumn("outside", F.col("all") - F.col("most"))
+    outside, every, zero = _sides("outside"), _sides("all"), F.lit(0)
+    tile = F.xxhash64("band", "i", "j").alias("tile")
+    ours = rows.filter("c <> main").select("band", _slot(outside).alias("i"), F.explode(F.sequence(zero, every - 1)).alias("j"), "node", "c")
+    theirs = rows.select("band", F.explode(F.sequence(zero, outside - 1)).alias("i"), _slot(every).alias("j"), "node", "c")
+    return ours.unionByName(theirs).select(tile, "node", "c").distinct()
 
 
 def _links(nodes: DataFrame, keys: DataFrame, near: float) -> DataFrame:
     """Edges that connect all nodes which share a band and are near."""
-    a = keys.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = keys.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    members, maybe, more = [], [], []
+    each = F.explode(F.array_distinct("bands")).alias("band")
+    large = hold(keys.select(each).groupBy("band").agg(F.count("*").alias("size")).filter(F.col("size") > TILE), "large")
+    members = hold(keys.select(each, "node").join(large, "band").select("band", "node"), "members")
+    split, groups = not is_empty_table(members), []
     for part in range(SLICES):
-        members.append(hold(_members(keys, part, near), "members"))
-        pairs = members[-1].filter("meets").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-        maybe.append(hold(_possible(pairs.join(a, "a").join(b, "b"), near), "pairs"))
-    edges = hold(_verified(reduce(DataFrame.unionByName, maybe).distinct(), nodes, near), "edges")
-    release(*maybe)
+        rows = keys.select(each, "node", "n", "sketch").filter(F.pmod("band", F.lit(SLICES)) == part)
+        tile = F.col("band")
+        if split:
+            rows = rows.join(large, "band", "left")
+            tile = F.when(F.col("size").isNull(), tile).otherwise(F.xxhash64("band", _slot(_sides("size"))))
+        groups.append(hold(_grouped(rows.select(tile.alias("tile"), "node", "n", "sketch"), near), "groups"))
+    edges = hold(_verified(reduce(DataFrame.unionByName, groups).distinct(), nodes, near), "edges")
+    release(large, *groups)
+    if not split:
+        return edges
     found = components(edges)
-    for rows in members:
-        tagged = rows.filter("size > 2").join(found, "node", "left").select("band", "node", "head", F.coalesce("component", "node").alias("c"))
-        tagged = hold(tagged, "tagged")
-        tiles = _still_split(tagged).join(keys.select("node", "n", "sketch"), "node")
-        tiles = tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "role")
-        more.append(hold(tiles.mapInArrow(_met(near), "a bigint, b bigint").distinct(), "pairs"))
-        release(rows, tagged)
-    links = hold(edges.unionByName(_verified(reduce(DataFrame.unionByName, more).distinct(), nodes, near)), "links")
-    release(edges, *more)
+    tagged = hold(members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("c")), "tagged")
+    release(members)
+    more = hold(_grouped(_still_split(tagged).join(keys.select("node", "n", "sketch"), "node"), near), "groups")
+    stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    links = hold(stars.unionByName(_verified(more.distinct(), nodes, near)), "links")
+    release(edges, tagged, more)
     return links
 
 

@@ -188,3 +188,62 @@ def test_held_rows_are_packed_and_without_bands(spark, monkeypatch):
     assert not set(held["prints"].values()) & {"string", "array<bigint>"} and "packed" not in held["members"]
     r = rows.filter("n_chars > 300").first()
     assert r.bands == E.bands(r.fingerprint).tolist()
+
+
+def _near(rng, f, n):
+    at = rng.sample(range(len(f)), n)
+    return "".join(rng.choice("0123456789abcde") if i in at else x for i, x in enumerate(f))
+
+
+@pytest.mark.parametrize("tile", [16, 512])
+def test_near_copies_away_from_the_first_member_stay_as_many_rows(spark, monkeypatch, tile):
+    """60 copies that are near each other, not the least of their bucket: rows for verification and edges grow with them, not with their square."""
+    import random
+
+    import xxhash
+
+    rng, seen, whole, linked, components = random.Random(13), [], E._verified, [], E.components
+    monkeypatch.setattr(E, "TILE", tile)
+    monkeypatch.setattr(E, "_verified", lambda pairs, *more: (seen.append(pairs.count()), whole(pairs, *more))[1])
+    monkeypatch.setattr(E, "components", lambda edges: (linked.append(edges.count()), components(edges))[1])
+    base = _fresh(rng, 250)
+    copies = list({_near(rng, base, 3) for _ in range(60)})
+    node = lambda f: E.np.uint64(xxhash.xxh64_intdigest(f.encode(), 42)).astype(E.np.int64)
+    head = _fresh(rng, 250)
+    while node(head) > min(map(node, copies)):
+        head = _fresh(rng, 250)
+    rows = list(enumerate([*copies, head]))
+    df = spark.createDataFrame([(d, f, [7, 8, 9]) for d, f in rows], "doc_id bigint, fingerprint string, bands array<bigint>")
+    got = {r.doc_id: r.class_id for r in E.near_classes(df).collect()}
+    assert got == {d: 0 if f != head else d for d, f in rows}
+    assert sum(seen) <= 4 * len(rows) and max(linked) <= 4 * len(rows)
+
+
+def test_words_tell_what_digits_tell():
+    """Pairs of like lengths, sketches packed in words, against the plain form; trees of a group against all its pairs."""
+    import random
+
+    import pyarrow as pa
+
+    rng, np = random.Random(14), E.np
+    texts = [_fresh(rng, rng.choice([1, 5, 63, 64, 65, 127, 128, 129, 191, 192, 200, 255, 256, 300])) for _ in range(80)]
+    texts += [_near(rng, f, len(f) // 6) + _fresh(rng, rng.choice([0, 0, 3, 20])) for f in texts]
+    packed, n = [E._pack(f[E._first_sample(len(f)) :]) for f in texts], np.array([len(f) for f in texts])
+    rows = E._Sketches(pa.array([b"x", *packed], pa.binary())[1:], n, np.arange(len(n)), E.NEAR)
+    i, j = (x.ravel() for x in np.indices((len(n), len(n))))
+    total = E._total(n)
+    like = np.minimum(total[i], total[j]) >= E._least(E.NEAR) * np.maximum(total[i], total[j])
+    i, j = i[like], j[like]
+    laid = E._laid(packed, n.tolist(), 320)
+    assert (rows.apart(i, j) == E._apart(laid[i], laid[j])).all()
+    near = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if a != b and E.likeness(texts[a], texts[b]) >= E.NEAR}
+    assert len(near) > 50 and all(rows.possible(np.array([a]), np.array([b]))[0] for a, b in near)
+    up = dict(enumerate(range(len(n))))
+    for a, b in E._connected(list(up), texts, E.NEAR):
+        assert up[a] == a and up[b] == b
+        up[b] = a
+    want = {d: d for d in up}
+    for _ in up:
+        for a, b in near:
+            want[a] = want[b] = min(want[a], want[b])
+    assert up == want
