@@ -136,11 +136,11 @@ def artifact_counts(
 def source_inventory(
     posts: DataFrame, *, transcripts: DataFrame | None = None, comments: DataFrame | None = None,
     frames: DataFrame | None = None, soundtrack: DataFrame | None = None, covers: DataFrame | None = None,
-    visual: DataFrame | None = None, account: str = "account", key: str = "aweme_id",
+    visual: DataFrame | None = None, frame_counts: DataFrame | None = None, account: str = "account", key: str = "aweme_id",
 ) -> DataFrame:
     """How much of each source an account has, and which sources are missing.
 
-    ``comments`` has one row per post with its count ``n``, ``frames`` one row per frame,
+    ``comments`` has one row per post with its count ``n``, ``frames`` one row per frame (or ``frame_counts`` one per post with its count ``k``),
     ``soundtrack`` one evidence row per post. Frames, covers and summaries count for listed posts.
     """
     out = posts.groupBy(account).agg(F.count(F.lit(1)).alias("n_posts"))
@@ -160,10 +160,9 @@ def source_inventory(
     out = add(out, None if transcripts is None else transcripts.select(account, key).distinct(), n_transcripts=one)
     out = add(out, comments, n_comments=F.sum("n"), n_comment_posts=one)
     out = add(out, None if covers is None else known(covers.select(account, key).distinct()), n_covers=one)
-    per_post = None if frames is None else known(
-        frames.groupBy(account, key).agg(F.count(F.lit(1)).alias("k"))
-    )
-    out = add(out, per_post, n_frame_posts=one, n_frames=F.sum("k"))
+    if frames is not None:
+        frame_counts = frames.groupBy(account, key).agg(F.count(F.lit(1)).alias("k"))
+    out = add(out, known(frame_counts), n_frame_posts=one, n_frames=F.sum("k"))
     out = add(out, soundtrack, n_soundtrack=one)
     out = add(out, known(visual), n_visual=one)
     lacks = [("comments", "n_comments"), ("soundtrack", "n_soundtrack"), ("frames", "n_frame_posts"),
