@@ -60,3 +60,18 @@ def test_the_writing_query_leaves_none_of_its_inputs(spark, monkeypatch):
     (text, files), = given
     assert not re.search("Join|Window|Aggregate", text)
     assert not any(os.path.exists(f) for f in files) and out.count() > 0
+
+
+def test_digests_are_dealt_after_they_are_made(spark, tmp_path, monkeypatch):
+    left = []
+    monkeypatch.setattr(sinks, "release", lambda df: left.append((plan(df), df.count())))
+    sinks.write_profile_digest(two_posts(spark), str(tmp_path / "d"))
+    assert [(n, "Join" in text) for text, n in left] == [(2, False)]
+    assert spark.read.text(str(tmp_path / "d")).count() == 8
+    made = []
+    monkeypatch.setattr(sinks, "write_profile_digest", lambda df, path: made.append(plan(df)))
+    try:
+        entry.queries()["K4_write_digest"](spark, SF)
+    except Exception:  # Nothing was written to read back.
+        pass
+    assert len(made) == 1 and not re.search("Window|Aggregate", made[0])
