@@ -216,8 +216,7 @@ def _(v):
 
     def follow() -> None:
         arriving = streams.stream_posts(v.spark, root, recursiveFileLookup="true", latestFirst="true", maxBytesPerTrigger=BATCH)
-        latest = streams.posts_latest(arriving, seq="arrival")
-        streams.write_changes(latest, out, checkpoint).awaitTermination()
+        streams.write_posts(arriving, out, checkpoint).awaitTermination()
 
     capture(0, 0)
     follow()
@@ -225,7 +224,7 @@ def _(v):
     capture(2, 2)
     capture(1, 3)
     follow()
-    found = streams.current(v.spark, out, *streams.POST)
+    found = streams.merged_posts(v.spark, out, names)
     first = F.regexp_extract("first_seq.file", r"/part=(\d)/", 1).cast("bigint")
     return found.select(*streams.POST, *names, first.alias("first_part"))
 
