@@ -71,3 +71,11 @@ def test_report_tables_are_written_side_by_side_and_a_failure_is_raised(spark, t
     with pytest.raises(Exception):
         sinks.write_report_tables({"good": one, "bad": one.selectExpr("account", "raise_error('x') n")}, str(tmp_path / "again"))
     assert spark.conf.get(setting) == before
+
+
+def test_a_report_is_read_back_in_one_aggregate(spark):
+    from clipstat.plans.registry import QUERIES
+
+    found = QUERIES["K6_write_report_tables"](Views(spark, SF))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [section") <= 2
+    assert found.count() == 29
